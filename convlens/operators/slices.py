@@ -94,18 +94,17 @@ def histogram(df: DataFrame, col: str, bins: int, clip_upper: float | None = Non
     if log1p:
         v = F.log1p(v)
     vals = df.select(v.alias("_v")).where(F.col("_v").isNotNull())
-    rng = vals.agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
-    width = (F.col("_mx") - F.col("_mn"))
-    raw_bin = F.floor((F.col("_v") - F.col("_mn")) / width * bins)
+    # range as scalar subqueries: one tiny aggregate job each, no join
+    mn = vals.agg(F.min("_v")).scalar()
+    mx = vals.agg(F.max("_v")).scalar()
+    width = mx - mn
+    raw_bin = F.floor((F.col("_v") - mn) / width * bins)
     b = F.when(width == 0, F.lit(0)).otherwise(F.least(raw_bin, F.lit(bins - 1))).cast("int")
-    # one-row range: broadcast of a single row
-    counts = (vals.join(F.broadcast(rng), how="inner", on=F.lit(True))
-              .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    counts = vals.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     edges = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-             .join(F.broadcast(rng), how="inner", on=F.lit(True))
              .select("bin",
-                     C.round6(F.col("_mn") + F.col("bin") * (F.col("_mx") - F.col("_mn")) / bins).alias("bin_lo"),
-                     C.round6(F.col("_mn") + (F.col("bin") + 1) * (F.col("_mx") - F.col("_mn")) / bins).alias("bin_hi")))
+                     C.round6(mn + F.col("bin") * width / bins).alias("bin_lo"),
+                     C.round6(mn + (F.col("bin") + 1) * width / bins).alias("bin_hi")))
     return (edges.join(counts, "bin", "left")
             .select("bin", "bin_lo", "bin_hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
@@ -133,13 +132,18 @@ def ranked_values(counts: DataFrame) -> DataFrame:
 
 
 def topn_coverage(df: DataFrame, top_n_by_column: dict) -> DataFrame:
-    """Per column: cardinality, N, % of rows covered by the top-N values."""
+    """Per column: cardinality, N, % of rows covered by the top-N values.
+    Totals come from a plain aggregate; the ranked part keeps only rank <= N
+    (``WindowGroupLimit`` trims each task before the shuffle)."""
+    from convlens.operators.features import top_n_values
+
     cols = [c for c in top_n_by_column if c in df.columns]
-    ranked = ranked_values(value_counts_long(df, cols))
-    ns = df.sparkSession.createDataFrame([(c, int(top_n_by_column[c])) for c in cols],
-                                         "column string, top_n int")
-    j = ranked.join(F.broadcast(ns), "column")
-    return (j.groupBy("column", "top_n")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("cardinality"),
-                 F.round(F.sum(F.when(F.col("rank") <= F.col("top_n"), F.col("n"))) * 100.0 / F.sum("n"), 2)
-                 .alias("coverage_pct")))
+    counts = value_counts_long(df, cols)
+    totals = counts.groupBy("column").agg(F.count(F.lit(1)).cast("bigint").alias("cardinality"),
+                                          F.sum("n").alias("_total"))
+    top = top_n_values(df, {c: top_n_by_column[c] for c in cols}) \
+        .groupBy("column").agg(F.sum("n").alias("_top"))
+    limit = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(int(top_n_by_column[c])))])
+    return (totals.join(top, "column", "left")
+            .select("column", limit[F.col("column")].alias("top_n"), "cardinality",
+                    F.round(F.coalesce("_top", F.lit(0)) * 100.0 / F.col("_total"), 2).alias("coverage_pct")))
