@@ -193,12 +193,21 @@ def pearson_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise Pearson correlations (pairwise NULL deletion) in one pass,
     long form (feature_a, feature_b, r); NaN (constant column) -> NULL."""
     pairs = list(itertools.combinations(cols, 2))
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                   for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[pearson_expr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     stacked = row.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)])).alias("s")).select("s.*")
-    return stacked.withColumn("r", C.round6(F.when(~F.isnan("r"), F.col("r"))))
+    return stacked.withColumn("r", C.round6("r"))
+
+
+def pearson_expr(a: str, b: str):
+    """Pearson r over rows where both are present; NULL for a constant column
+    (plain ``corr`` divides by zero under ANSI)."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    sx = F.stddev_pop(F.when(both, x))
+    sy = F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), sx * sy)
 
 
 def mi_terms(counts: DataFrame, feature: str = "feature", value: str = "value", y: str = "y",
@@ -207,11 +216,11 @@ def mi_terms(counts: DataFrame, feature: str = "feature", value: str = "value",
     w_f = Window.partitionBy(feature)
     w_fv = Window.partitionBy(feature, value)
     w_fy = Window.partitionBy(feature, y)
-    c = counts.select(feature, value, y, F.col(n).cast("double").alias("_n"),
-                      F.sum(n).over(w_f).cast("double").alias("_N"),
+    c = counts.select(feature, value, y, F.col(n).cast("double").alias("_cnt"),
+                      F.sum(n).over(w_f).cast("double").alias("_tot"),
                       F.sum(n).over(w_fv).cast("double").alias("_nx"),
                       F.sum(n).over(w_fy).cast("double").alias("_ny"))
-    term = (F.col("_n") / F.col("_N")) * F.log(F.col("_n") * F.col("_N") / (F.col("_nx") * F.col("_ny")))
+    term = (F.col("_cnt") / F.col("_tot")) * F.log(F.col("_cnt") * F.col("_tot") / (F.col("_nx") * F.col("_ny")))
     return c.groupBy(feature).agg(F.sum(term).alias("mi"))
 
 

@@ -155,3 +155,48 @@ def with_(*ctes: str) -> str:
 
 BASE = (RAW_SESSIONS, HITS, POSITIVES, DATASET)
 EDA_BASE = (*BASE, EDA)
+
+# --- engineered features (from the cleaned dataset) -------------------------
+_RES_RE = r"^(\d+)x(\d+)$"
+FEATURES = f"""feat0 AS (SELECT *, {HOUR} AS h,
+       TRY_CAST(regexp_extract(device_screen_resolution, '{_RES_RE}', 1) AS DOUBLE) AS sw,
+       TRY_CAST(regexp_extract(device_screen_resolution, '{_RES_RE}', 2) AS DOUBLE) AS sh
+  FROM dataset),
+features AS (
+  SELECT session_id, target,
+         CAST(h AS DOUBLE) AS visit_hour,
+         CAST(day(visit_date) AS DOUBLE) AS visit_day,
+         ln(1 + CAST(CASE WHEN visit_number > {CFG.visit_number_clip} THEN {CFG.visit_number_clip}
+                          ELSE visit_number END AS DOUBLE)) AS visit_number_log,
+         CAST(coalesce(isodow(visit_date) - 1 IN (5, 6), false) AS INTEGER) AS is_weekend,
+         CAST({in_false('utm_medium', CFG.organic_mediums)} AS INTEGER) AS is_organic,
+         CAST({in_false('utm_source', CFG.social_sources)} AS INTEGER) AS is_social,
+         CAST({eq_false('visit_number', 1)} AS INTEGER) AS is_first_visit,
+         CAST(utm_campaign <> '{CFG.unknown}' AS INTEGER) AS has_utm_campaign,
+         CAST(utm_keyword <> '{CFG.unknown}' AS INTEGER) AS has_utm_keyword,
+         CAST(utm_adcontent <> '{CFG.unknown}' AS INTEGER) AS has_utm_adcontent,
+         CAST({eq_false('geo_country', CFG.home_country)} AS INTEGER) AS is_russia,
+         CAST({eq_false('geo_city', CFG.capital_city)} AS INTEGER) AS is_moscow,
+         CAST({eq_false('geo_city', CFG.second_city)} AS INTEGER) AS is_spb,
+         sw AS screen_w, sh AS screen_h, CAST(sw IS NOT NULL AS INTEGER) AS screen_is_valid,
+         utm_medium, utm_source, utm_campaign, utm_adcontent, utm_keyword, device_category, device_os,
+         device_brand, device_browser, geo_city,
+         coalesce(CAST(isodow(visit_date) - 1 AS VARCHAR), '{CFG.unknown}') AS visit_dow,
+         coalesce(CAST(month(visit_date) AS VARCHAR), '{CFG.unknown}') AS visit_month,
+         {DAYPART} AS visit_daypart
+  FROM feat0
+)"""
+FEATURE_BASE = (*BASE, FEATURES)
+
+
+def grouped_top(src: str, name: str, top_n: dict, other: str = "other", keep_cols: str = "*") -> str:
+    """CTE ``name``: ``src`` with every column of ``top_n`` outside its top-N
+    (by count desc, value asc) replaced by ``other``."""
+    parts = []
+    for c, n in top_n.items():
+        parts.append(f"""{name}_{c} AS (SELECT {c} AS v FROM (SELECT {c}, row_number() OVER (ORDER BY count(*) DESC, {c}) AS rk
+                FROM {src} WHERE {c} IS NOT NULL GROUP BY {c}) t WHERE rk <= {n})""")
+    repl = ", ".join(f"CASE WHEN {c} IN (SELECT v FROM {name}_{c}) THEN {c} ELSE '{other}' END AS {c}"
+                     for c in top_n)
+    parts.append(f"{name} AS (SELECT * REPLACE ({repl}) FROM {src})")
+    return ",\n".join(parts)

@@ -33,8 +33,8 @@ def testdata_config() -> ConversionConfig:
         organic_mediums=("1-urgent", "2-high", "(none)"),
         social_sources=("BUILDING", "MACHINERY"),
         home_country="EUROPE",
-        capital_city="GERMANY",
-        second_city="FRANCE",
+        capital_city="NATION_3",
+        second_city="NATION_8",
         top_n_by_column={
             "utm_medium": 4, "utm_source": 4, "utm_campaign": 10, "utm_adcontent": 10,
             "utm_keyword": 12, "geo_city": 10, "device_brand": 6, "device_browser": 5,
