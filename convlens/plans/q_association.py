@@ -256,9 +256,9 @@ def mi_by_feature(spark, sf):
     return mi.groupBy("feature").agg(C.round6(F.sum("mi")).alias("mi"))
 
 
-@register("mi_numeric", WF + ", long AS (UNPIVOT INCLUDE NULLS (SELECT target, " + ", ".join(
-    f"CAST({c} AS VARCHAR) AS {c}" for c in NUMERIC_FEATURES) + " FROM features) ON " + ", ".join(NUMERIC_FEATURES)
-    + """ INTO NAME feature VALUE value),
+@register("mi_numeric", WF + ", long AS (SELECT target, feature, value FROM (SELECT target, " + ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c}" for c in NUMERIC_FEATURES) + " FROM features) UNPIVOT INCLUDE NULLS (value FOR feature IN ("
+    + ", ".join(NUMERIC_FEATURES) + """))),
 cnt AS (SELECT feature, value, target AS y, count(*) AS n FROM long GROUP BY 1, 2, 3),
 c AS (SELECT *, CAST(sum(n) OVER (PARTITION BY feature) AS DOUBLE) AS nn,
              CAST(sum(n) OVER (PARTITION BY feature, value) AS DOUBLE) AS nx,
