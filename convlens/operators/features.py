@@ -254,3 +254,72 @@ def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
 def median_impute(df: DataFrame, cols: list[str]) -> DataFrame:
     meds = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols])
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), meds.select(c).scalar()) for c in cols})
+
+
+def one_hot_long(df: DataFrame, vocab: DataFrame, cats: list[str], key: str = "session_id") -> DataFrame:
+    """One-hot in long (sparse) form: one (key, feature, value) row per active
+    indicator; values outside the fitted vocabulary (unseen) give no row, i.e.
+    an all-zero block. ``vocab`` is (feature, value) -- a few values per column
+    after rare grouping, so the broadcast is bounded."""
+    long = df.select(key, *[F.col(c).cast("string").alias(c) for c in cats]).unpivot([key], cats, "feature", "value")
+    return long.join(F.broadcast(vocab.select("feature", "value").distinct()), ["feature", "value"], "inner")
+
+
+def vocabulary(df: DataFrame, cats: list[str]) -> DataFrame:
+    """Distinct (feature, value) pairs of the categorical columns."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cats]).unpivot([], cats, "feature", "value")
+    return long.where(F.col("value").isNotNull()).distinct()
+
+
+def target_stats(df: DataFrame, col: str, target: str = "target") -> DataFrame:
+    return df.groupBy(F.col(col).cast("string").alias("value")).agg(
+        F.count(F.lit(1)).cast("double").alias("_cnt"), F.sum(F.col(target).cast("double")).alias("_pos"))
+
+
+def target_encode(train: DataFrame, apply_to: DataFrame, cols: list[str], target: str = "target",
+                  smoothing: float = 1.0, suffix: str = "_te") -> DataFrame:
+    """Smoothed target mean per category, fitted on ``train``:
+    (pos + smoothing * prior) / (n + smoothing); unseen and NULL -> prior.
+    The per-category table grows with cardinality, so it is joined normally
+    (AQE broadcasts it only when its runtime size is small)."""
+    prior = train.agg(F.avg(F.col(target).cast("double"))).scalar()
+    out = apply_to
+    for c in cols:
+        st = target_stats(train, c, target).select(
+            F.col("value").alias(f"_v_{c}"),
+            ((F.col("_pos") + smoothing * prior) / (F.col("_cnt") + smoothing)).alias(f"_e_{c}"))
+        out = out.join(st, F.col(c).cast("string") == F.col(f"_v_{c}"), "left") \
+                 .withColumn(c + suffix, F.coalesce(F.col(f"_e_{c}"), prior)).drop(f"_v_{c}", f"_e_{c}")
+    return out
+
+
+def target_encode_oof(df: DataFrame, cols: list[str], key: str = "session_id", target: str = "target",
+                      folds: int = 5, smoothing: float = 1.0, seed: int = 42, suffix: str = "_te") -> DataFrame:
+    """Out-of-fold encoding for training rows: a row in fold f is encoded with
+    statistics of the other folds (category total minus its own fold), so its
+    own label never enters its feature. Folds are key hashes; the per
+    (category, fold) table is aggregated once and differenced by a window
+    bounded by ``folds`` rows per category."""
+    from convlens.operators.splits import hash_unit
+
+    d = df.withColumn("_fold", hash_unit(key, seed, "fold") % folds)
+    fold_n = d.groupBy("_fold").agg(F.count(F.lit(1)).cast("double").alias("_fn"),
+                                    F.sum(F.col(target).cast("double")).alias("_fp"))
+    tot_n = fold_n.agg(F.sum("_fn")).scalar()
+    tot_p = fold_n.agg(F.sum("_fp")).scalar()
+    # prior of the other folds, one row per fold (bounded by ``folds``)
+    priors = fold_n.select("_fold", ((tot_p - F.col("_fp")) / (tot_n - F.col("_fn"))).alias("_prior"))
+    out = d.join(F.broadcast(priors), "_fold", "left")
+    for c in cols:
+        v = F.col(c).cast("string")
+        st = d.groupBy(v.alias(f"_v_{c}"), "_fold").agg(F.count(F.lit(1)).cast("double").alias("_cnt"),
+                                                        F.sum(F.col(target).cast("double")).alias("_pos"))
+        w = Window.partitionBy(f"_v_{c}")
+        st = st.select(f"_v_{c}", F.col("_fold").alias(f"_f_{c}"),
+                       (F.sum("_cnt").over(w) - F.col("_cnt")).alias(f"_oc_{c}"),
+                       (F.sum("_pos").over(w) - F.col("_pos")).alias(f"_op_{c}"))
+        out = out.join(st, (v.eqNullSafe(F.col(f"_v_{c}"))) & (F.col("_fold") == F.col(f"_f_{c}")), "left")
+        enc = (F.col(f"_op_{c}") + smoothing * F.col("_prior")) / (F.col(f"_oc_{c}") + smoothing)
+        out = out.withColumn(c + suffix, F.coalesce(enc, F.col("_prior"))) \
+                 .drop(f"_v_{c}", f"_f_{c}", f"_oc_{c}", f"_op_{c}")
+    return out.drop("_fold", "_prior")

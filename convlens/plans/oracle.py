@@ -189,14 +189,27 @@ features AS (
 FEATURE_BASE = (*BASE, FEATURES)
 
 
-def grouped_top(src: str, name: str, top_n: dict, other: str = "other", keep_cols: str = "*") -> str:
-    """CTE ``name``: ``src`` with every column of ``top_n`` outside its top-N
-    (by count desc, value asc) replaced by ``other``."""
+def grouped_top(src: str, name: str, top_n: dict, other: str = "other", apply_to: str | None = None) -> str:
+    """CTE ``name``: ``apply_to`` (default ``src``) with every column of
+    ``top_n`` outside its top-N in ``src`` (by count desc, value asc) replaced
+    by ``other``."""
     parts = []
     for c, n in top_n.items():
         parts.append(f"""{name}_{c} AS (SELECT {c} AS v FROM (SELECT {c}, row_number() OVER (ORDER BY count(*) DESC, {c}) AS rk
                 FROM {src} WHERE {c} IS NOT NULL GROUP BY {c}) t WHERE rk <= {n})""")
     repl = ", ".join(f"CASE WHEN {c} IN (SELECT v FROM {name}_{c}) THEN {c} ELSE '{other}' END AS {c}"
                      for c in top_n)
-    parts.append(f"{name} AS (SELECT * REPLACE ({repl}) FROM {src})")
+    parts.append(f"{name} AS (SELECT * REPLACE ({repl}) FROM {apply_to or src})")
     return ",\n".join(parts)
+
+
+def hash_unit_sql(key: str, seed, salt: str = "") -> str:
+    s = f"{key} || ':{seed}'" + (f" || ':{salt}'" if salt else "")
+    return f"((('0x' || substr(md5({s}), 1, 8))::BIGINT) % 10000)"
+
+
+SPLIT = f"""sp AS (SELECT *, CASE WHEN {hash_unit_sql('session_id', CFG.seed)} < {int(round(CFG.test_size * 10000))}
+                         THEN 'test' ELSE 'train' END AS split FROM features),
+train AS (SELECT * FROM sp WHERE split = 'train'),
+test AS (SELECT * FROM sp WHERE split = 'test')"""
+SPLIT_BASE = (*FEATURE_BASE, SPLIT)
