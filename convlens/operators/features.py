@@ -183,7 +183,9 @@ class MedianImputer(Estimator, _ColsParams, DefaultParamsReadable, DefaultParams
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "MedianImputerModel":
-        cols = self.getOrDefault(self.inputCols)
+        cols = self.getOrDefault(self.inputCols) if self.isDefined(self.inputCols) else []
+        if not cols:
+            return MedianImputerModel(inputCols=[], mediansJson="{}")
         row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
         return MedianImputerModel(inputCols=cols, mediansJson=json.dumps({c: row[c] for c in cols}))
 
@@ -198,6 +200,8 @@ class MedianImputerModel(Model, _ColsParams, DefaultParamsReadable, DefaultParam
 
     def _transform(self, df: DataFrame) -> DataFrame:
         med = json.loads(self.getOrDefault(self.mediansJson))
+        if not med:
+            return df
         return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double"))
                                for c in self.getOrDefault(self.inputCols)})
 
@@ -211,7 +215,9 @@ class PopulationScaler(Estimator, _ColsParams, DefaultParamsReadable, DefaultPar
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "PopulationScalerModel":
-        cols = self.getOrDefault(self.inputCols)
+        cols = self.getOrDefault(self.inputCols) if self.isDefined(self.inputCols) else []
+        if not cols:
+            return PopulationScalerModel(inputCols=[], statsJson="{}")
         aggs = []
         for c in cols:
             aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
@@ -231,6 +237,8 @@ class PopulationScalerModel(Model, _ColsParams, DefaultParamsReadable, DefaultPa
 
     def _transform(self, df: DataFrame) -> DataFrame:
         st = json.loads(self.getOrDefault(self.statsJson))
+        if not st:
+            return df
         out = {}
         for c in self.getOrDefault(self.inputCols):
             m, s = st[c]
