@@ -283,3 +283,55 @@ SELECT "column", round(chi2, 6) AS chi2 FROM sc ORDER BY round(chi2, 6) DESC, "c
 def chi2_feature_scores(spark, sf):
     s = A.chi2_onehot(grouped_features(spark, sf), list(_CATS))
     return s.select("column", C.round6("chi2").alias("chi2")).orderBy(F.desc("chi2"), "column").limit(30)
+
+
+# --- A6: long-format findings behind the report ------------------------------------
+def _sub(sql: str) -> str:
+    return f"({sql})"
+
+
+_BIZ_COLS = ("n_organic", "cr_organic", "n_paid", "cr_paid", "n_social", "cr_social", "cr_other", "cr_new",
+             "cr_returning")
+
+
+def _findings_sql() -> str:
+    from convlens.plans.oracle import EDA_BASE as EB
+    from convlens.plans.q_eda import W as WE
+    from convlens.plans.registry import ORACLE
+
+    biz = ORACLE["business_splits"]
+    parts = [
+        f"SELECT 'business' AS section, 'all' AS name, metric, CAST(value AS DOUBLE) AS value FROM "
+        f"(UNPIVOT (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _BIZ_COLS)} FROM {_sub(biz)} b) "
+        f"ON {', '.join(_BIZ_COLS)} INTO NAME metric VALUE value)",
+        f"SELECT 'association' AS section, feature AS name, 'cramers_v' AS metric, cramers_v AS value FROM "
+        f"{_sub(ORACLE['target_association'])} a",
+        f"SELECT 'hypothesis' AS section, id AS name, 'statistic' AS metric, statistic AS value FROM "
+        f"{_sub(ORACLE['hypothesis_battery'])} h",
+        f"SELECT 'coverage' AS section, \"column\" AS name, 'coverage_pct' AS metric, coverage_pct AS value FROM "
+        f"{_sub(ORACLE['topn_coverage'])} c",
+    ]
+    del EB, WE
+    return " UNION ALL ".join(parts)
+
+
+@register("findings_long", _findings_sql())
+def findings_long(spark, sf):
+    """(section, name, metric, value) rows behind the findings report, one
+    ``unionByName`` of the business splits, target associations, hypothesis
+    statistics and top-N coverage."""
+    from convlens.operators import slices
+    from convlens.plans import q_eda
+
+    biz = slices.business_splits(frames.eda(spark, sf))
+    biz_long = biz.select([F.col(c).cast("double").alias(c) for c in _BIZ_COLS]) \
+                  .unpivot([], list(_BIZ_COLS), "metric", "value") \
+                  .select(F.lit("business").alias("section"), F.lit("all").alias("name"), "metric", "value")
+    assoc = target_association(spark, sf).select(F.lit("association").alias("section"), F.col("feature").alias("name"),
+                                                 F.lit("cramers_v").alias("metric"), F.col("cramers_v").alias("value"))
+    hyp = hypothesis_battery(spark, sf).select(F.lit("hypothesis").alias("section"), F.col("id").alias("name"),
+                                               F.lit("statistic").alias("metric"), F.col("statistic").alias("value"))
+    cov = q_eda.topn_coverage(spark, sf).select(F.lit("coverage").alias("section"), F.col("column").alias("name"),
+                                                F.lit("coverage_pct").alias("metric"),
+                                                F.col("coverage_pct").cast("double").alias("value"))
+    return biz_long.unionByName(assoc).unionByName(hyp).unionByName(cov)
