@@ -69,8 +69,8 @@ def main() -> None:
     # 03 EDA: slices, business splits, hypotheses, V matrix, coverage
     def eda():
         e = slices.eda_frame(dataset, cfg)
-        for col in ("utm_medium", "device_category", "visit_hour", "visit_dow", "geo_region", "visit_bucket"):
-            slices.cr_by(e, col).collect()
+        slices.cr_by_many(e, ["utm_medium", "device_category", "is_organic", "is_social", "is_first_visit",
+                              "visit_bucket", "visit_hour", "visit_dow", "geo_region", "visit_daypart"]).collect()
         slices.business_splits(e).collect()
         A.hypothesis_battery(e).collect()
         g = FE.RareCategoryGrouper(topNJson=json.dumps({"utm_medium": 15, "device_os": 10,
@@ -108,9 +108,7 @@ def main() -> None:
             sc = M.positive_probability(m.transform(test)).select("score", F.col("target").alias("label"))
             sinks.write_phase_table(sc, f"{out}/scores")
             sc = spark.read.parquet(f"{out}/scores")
-            EV.roc_auc_exact(sc).collect()
-            EV.average_precision(sc).collect()
-            EV.best_f1_threshold(sc).collect()
+            EV.evaluate_scores(sc).collect()
             EV.calibration_table(sc).collect()
     timed("evaluate", evaluate)
 

@@ -155,27 +155,35 @@ def _z_columns():
     return [C.round6(p1).alias("cr_group"), C.round6(p2).alias("cr_rest"), C.round6(z).alias("z")]
 
 
-def hypothesis_battery(eda: DataFrame, target: str = "target") -> DataFrame:
+def hypothesis_battery(eda: DataFrame, target: str = "target",
+                       masks=(("H1", "is_organic"), ("H3", "is_first_visit"), ("H4", "is_social")),
+                       chi_factor: tuple[str, str] = ("H2", "device_category")) -> DataFrame:
     """H1 organic vs paid (z), H2 device category (chi2), H3 new vs returning
-    (z), H4 social vs other (z); one row each, one schema."""
-    rows = []
-    for hid, mask in (("H1", "is_organic"), ("H3", "is_first_visit"), ("H4", "is_social")):
-        z = two_proportion_z(eda, mask, target)
-        rows.append(z.select(F.lit(hid).alias("id"), F.lit(mask).alias("factor"), F.lit("z").alias("test"),
-                             F.col("z").alias("statistic"), F.lit(None).cast("int").alias("dof"),
-                             "n_group", "n_rest", "cr_group", "cr_rest",
-                             F.lit(None).cast("double").alias("cramers_v")))
-    chi = chi2_independence(eda, "device_category", target)
-    rows.append(chi.select(F.lit("H2").alias("id"), F.lit("device_category").alias("factor"),
-                           F.lit("chi2").alias("test"), C.round6("chi2").alias("statistic"), "dof",
-                           F.col("N").cast("bigint").alias("n_group"), F.lit(None).cast("bigint").alias("n_rest"),
-                           F.lit(None).cast("double").alias("cr_group"),
-                           F.lit(None).cast("double").alias("cr_rest"),
-                           F.round("cramers_v", 4).alias("cramers_v")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    (z), H4 social vs other (z); one row each, one schema. All z-tests come
+    from one conditional-aggregate pass; the chi2 test from the crosstab."""
+    t = F.col(target).cast("double")
+    aggs = []
+    for _, m in masks:
+        g = F.col(m) == 1
+        aggs += [F.count_if(g).cast("bigint").alias(f"{m}__n_group"), F.sum(F.when(g, t)).alias(f"{m}__x_group"),
+                 F.count_if(~g).cast("bigint").alias(f"{m}__n_rest"), F.sum(F.when(~g, t)).alias(f"{m}__x_rest")]
+    row = eda.agg(*aggs)
+    z_rows = row.select(F.explode(F.array(*[
+        F.struct(F.lit(hid).alias("id"), F.lit(m).alias("factor"),
+                 *[F.col(f"{m}__{k}").alias(k) for k in ("n_group", "x_group", "n_rest", "x_rest")])
+        for hid, m in masks])).alias("s")).select("s.*")
+    z_rows = z_rows.select("id", "factor", F.lit("z").alias("test"), "n_group", "n_rest", *_z_columns()) \
+                   .select("id", "factor", "test", F.col("z").alias("statistic"), F.lit(None).cast("int").alias("dof"),
+                           "n_group", "n_rest", "cr_group", "cr_rest", F.lit(None).cast("double").alias("cramers_v"))
+    hid, factor = chi_factor
+    chi = chi2_independence(eda, factor, target)
+    chi_row = chi.select(F.lit(hid).alias("id"), F.lit(factor).alias("factor"),
+                         F.lit("chi2").alias("test"), C.round6("chi2").alias("statistic"), "dof",
+                         F.col("N").cast("bigint").alias("n_group"), F.lit(None).cast("bigint").alias("n_rest"),
+                         F.lit(None).cast("double").alias("cr_group"),
+                         F.lit(None).cast("double").alias("cr_rest"),
+                         F.round("cramers_v", 4).alias("cramers_v"))
+    return z_rows.unionByName(chi_row)
 
 
 def with_pvalues(battery: DataFrame, alpha: float = 0.05, n_tests: int = 4) -> DataFrame:

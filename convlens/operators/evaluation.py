@@ -205,3 +205,20 @@ def threshold_sweep(df: DataFrame, thresholds, score: str = "score", label: str
 def rank_leads(df: DataFrame, k: int, score: str = "score", key: str = "row_id") -> DataFrame:
     """Highest propensity first (top-k is a ``TakeOrderedAndProject``)."""
     return df.orderBy(F.desc(score), F.asc(key)).limit(k)
+
+
+def evaluate_scores(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """ROC-AUC, AP and the best-F1 threshold from ONE cumulative table
+    (checkpointed: three aggregates read it instead of recomputing it)."""
+    from convlens.session import cut_lineage
+
+    cum = cut_lineage(cumulative(df, score, label))
+    f1 = 2.0 * F.col("tp") / (F.col("tp") + F.col("fp") + F.col("P"))
+    best = cum.select(F.col("score").alias("threshold"), f1.alias("f1")) \
+              .orderBy(F.desc("f1"), F.asc("threshold")).limit(1)
+    return cum.agg(
+        C.round6(F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))) / (F.first("P") * F.first("N")))
+        .alias("roc_auc"),
+        C.round6(F.sum(F.col("pos") / F.col("P") * F.col("tp") / (F.col("tp") + F.col("fp")))).alias("average_precision"),
+        F.lit(best.select("threshold").scalar()).alias("best_threshold"),
+        C.round6(best.select("f1").scalar()).alias("best_f1"))

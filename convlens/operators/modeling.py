@@ -48,11 +48,22 @@ def logistic(reg_param: float, max_iter: int = 1000) -> LogisticRegression:
                               regParam=reg_param, elasticNetParam=0.0, standardization=False, tol=1e-6)
 
 
+def fit_featurized(train: DataFrame, stages: list) -> PipelineModel:
+    """Fit a pipeline whose first stage is the (stateless, regex-heavy) feature
+    builder: its output is checkpointed once, so the later estimators (grouper,
+    indexer, imputer, scaler, learner) each read the checkpoint instead of
+    re-running the builder. The returned model still starts from raw fields."""
+    builder, rest = stages[0], stages[1:]
+    feats = cut_lineage(builder.transform(train))
+    fitted = Pipeline(stages=rest).fit(feats)
+    return PipelineModel(stages=[builder, *fitted.stages])
+
+
 def fit_logistic(train: DataFrame, cfg: ConversionConfig, C_: float = 1.0, cats=CATEGORICAL_FEATURES,
                  nums=NUMERIC_FEATURES) -> PipelineModel:
     w = with_class_weight(train, "target")
     n = train.count()
-    return Pipeline(stages=[*encoder_stages(cfg, cats, nums), logistic(1.0 / (C_ * n))]).fit(w)
+    return fit_featurized(w, [*encoder_stages(cfg, cats, nums), logistic(1.0 / (C_ * n))])
 
 
 def fit_forest(train: DataFrame, cfg: ConversionConfig, num_trees: int = 120, max_depth: int = 14,
@@ -60,7 +71,7 @@ def fit_forest(train: DataFrame, cfg: ConversionConfig, num_trees: int = 120, ma
     rf = RandomForestClassifier(featuresCol="features", labelCol="target", weightCol="weight", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_leaf, subsamplingRate=sample,
                                 featureSubsetStrategy="sqrt", seed=cfg.seed)
-    return Pipeline(stages=[*encoder_stages(cfg), rf]).fit(with_class_weight(train, "target"))
+    return fit_featurized(with_class_weight(train, "target"), [*encoder_stages(cfg), rf])
 
 
 def _te_stages(cfg: ConversionConfig) -> tuple[list, list[str]]:
@@ -82,8 +93,8 @@ def fit_boosted(train: DataFrame, cfg: ConversionConfig, max_iter: int = 1500, d
     rows and is what scoring uses. Early stopping on a hash-chosen validation
     part (``validationIndicatorCol``). Returns (model, trees used)."""
     pre, te = _te_stages(cfg)
-    pre_model = Pipeline(stages=pre).fit(train)
-    base = pre_model.transform(train)
+    pre_model = fit_featurized(train, pre)
+    base = cut_lineage(pre_model.transform(train))
     idx = [f"{c}__idx" for c in CATEGORICAL_FEATURES]
     enc_model = TargetEncoder(inputCols=idx, outputCols=te, labelCol="target", targetType="binary",
                               handleInvalid="keep", smoothing=smoothing).fit(base)
@@ -124,7 +135,10 @@ def cv_logistic(train: DataFrame, cfg: ConversionConfig, grid=(0.3, 1.0, 3.0), f
     w = with_class_weight(train, "target").withColumn("fold", hash_unit("session_id", cfg.seed, "cv") % folds)
     n = w.count()
     lr = logistic(1.0)
-    pipe = Pipeline(stages=[*encoder_stages(cfg), lr])
+    stages = encoder_stages(cfg)
+    # the builder is stateless: featurize once, cross-validate the rest
+    w = cut_lineage(stages[0].transform(w))
+    pipe = Pipeline(stages=[*stages[1:], lr])
     params = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in grid]).build()
     ev = BinaryClassificationEvaluator(labelCol="target", rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC", numBins=0)

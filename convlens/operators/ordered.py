@@ -23,28 +23,26 @@ from pyspark.sql import functions as F
 
 def sequence_within_group(df: DataFrame, group: list[str], slice_col: str,
                           order_cols: list[str], out: str) -> DataFrame:
-    """Exact ``row_number() over (partition by group order by slice_col, order_cols)``.
+    """Exact ``row_number() over (partition by group order by slice_col, order_cols)``
+    for non-NULL group and slice keys.
 
     ``slice_col`` must be the leading sort key (e.g. a date); tasks hold one
-    (group, slice) at a time, and the prefix window runs over distinct slices
-    of a group only.
+    (group, slice) at a time, and the prefix window runs over the distinct
+    slices of a group only. The offsets side is distinct on the join keys and
+    joined LEFT, so when ``out`` is not used downstream Catalyst removes the
+    whole branch (and the unused window) from the plan.
     """
-    counts = df.groupBy(*group, slice_col).agg(F.count(F.lit(1)).alias("_n_slice"))
+    keys = [*group, slice_col]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_slice"))
     w_prefix = (Window.partitionBy(*group).orderBy(slice_col)
                 .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*group, slice_col,
-                            F.coalesce(F.sum("_n_slice").over(w_prefix), F.lit(0)).alias("_before"))
-    w_in = Window.partitionBy(*group, slice_col).orderBy(*order_cols)
+    offsets = (counts.select(*keys, F.coalesce(F.sum("_n_slice").over(w_prefix), F.lit(0)).alias("_b"))
+               .groupBy(*keys).agg(F.max("_b").alias("_before")))  # makes distinctness visible
+    w_in = Window.partitionBy(*keys).orderBy(*order_cols)
     ranked = df.withColumn("_rn_in_slice", F.row_number().over(w_in))
-    keys = [*group, slice_col]
-    offsets = offsets.select(*[F.col(k).alias(f"_o_{k}") for k in keys], "_before")
-    cond = None
-    for k in keys:  # null-safe: rows with a NULL group or slice keep their number
-        c = ranked[k].eqNullSafe(offsets[f"_o_{k}"])
-        cond = c if cond is None else cond & c
-    return (ranked.join(offsets, on=cond, how="inner")
-            .withColumn(out, (F.col("_before") + F.col("_rn_in_slice")).cast("int"))
-            .drop("_before", "_rn_in_slice", *[f"_o_{k}" for k in keys]))
+    return (ranked.join(offsets, on=keys, how="left")
+            .withColumn(out, (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_rn_in_slice")).cast("int"))
+            .drop("_before", "_rn_in_slice"))
 
 
 def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str],

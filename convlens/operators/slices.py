@@ -147,3 +147,22 @@ def topn_coverage(df: DataFrame, top_n_by_column: dict) -> DataFrame:
     return (totals.join(top, "column", "left")
             .select("column", limit[F.col("column")].alias("top_n"), "cardinality",
                     F.round(F.coalesce("_top", F.lit(0)) * 100.0 / F.col("_total"), 2).alias("coverage_pct")))
+
+
+def cr_by_many(df: DataFrame, cols: list[str], target: str = "target") -> DataFrame:
+    """CR slices for several columns from ONE scan and ONE shuffle:
+    GROUPING SETS of single columns (partial aggregation map-side), long
+    output (dimension, value, n, cr). Slices are told apart by
+    ``grouping_id``; NULL keys are dropped as in :func:`cr_by`."""
+    m = len(cols)
+    base = df.select(*[F.col(c).cast("string").alias(c) for c in cols], F.col(target).cast("double").alias("_t"))
+    g = base.groupingSets([[F.col(c)] for c in cols], *cols).agg(
+        F.count("_t").cast("bigint").alias("n"), F.avg("_t").alias("_cr"), F.grouping_id().alias("_gid"))
+    dim = F.lit(None).cast("string")
+    val = F.lit(None).cast("string")
+    for i, c in enumerate(cols):
+        gid = (1 << m) - 1 - (1 << (m - 1 - i))  # every column but c aggregated away
+        dim = F.when(F.col("_gid") == gid, F.lit(c)).otherwise(dim)
+        val = F.when(F.col("_gid") == gid, F.col(c)).otherwise(val)
+    return (g.select(dim.alias("dimension"), val.alias("value"), "n", C.round6("_cr").alias("cr"))
+            .where(F.col("value").isNotNull()))

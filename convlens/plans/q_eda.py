@@ -120,3 +120,16 @@ SELECT rk."column", CAST(lim.top_n AS INTEGER) AS top_n, CAST(count(*) AS BIGINT
 FROM rk JOIN lim ON rk."column" = lim."column" GROUP BY rk."column", lim.top_n""")
 def topn_coverage(spark, sf):
     return slices.topn_coverage(frames.eda(spark, sf), CFG.top_n_by_column)
+
+
+_SLICE_COLS = ["utm_medium", "device_category", "is_organic", "is_social", "is_first_visit", "visit_bucket",
+               "visit_hour", "visit_dow", "geo_region", "visit_daypart"]
+
+
+@register("cr_slices", W + " UNION ALL ".join(
+    f"SELECT '{c}' AS dimension, CAST({c} AS VARCHAR) AS value, CAST(count(target) AS BIGINT) AS n, "
+    f"round(avg(CAST(target AS DOUBLE)), 6) AS cr FROM eda WHERE {c} IS NOT NULL GROUP BY {c}"
+    for c in _SLICE_COLS))
+def cr_slices(spark, sf):
+    """Every CR slice of the report from one GROUPING SETS aggregate."""
+    return slices.cr_by_many(frames.eda(spark, sf), _SLICE_COLS)
