@@ -268,9 +268,11 @@ def one_hot_long(df: DataFrame, vocab: DataFrame, cats: list[str], key: str = "s
     """One-hot in long (sparse) form: one (key, feature, value) row per active
     indicator; values outside the fitted vocabulary (unseen) give no row, i.e.
     an all-zero block. ``vocab`` is (feature, value) -- a few values per column
-    after rare grouping, so the broadcast is bounded."""
+    after rare grouping; it is broadcast only after a size check."""
+    from convlens.session import bounded_broadcast
+
     long = df.select(key, *[F.col(c).cast("string").alias(c) for c in cats]).unpivot([key], cats, "feature", "value")
-    return long.join(F.broadcast(vocab.select("feature", "value").distinct()), ["feature", "value"], "inner")
+    return long.join(bounded_broadcast(vocab.select("feature", "value").distinct()), ["feature", "value"], "inner")
 
 
 def vocabulary(df: DataFrame, cats: list[str]) -> DataFrame:

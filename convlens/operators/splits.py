@@ -54,9 +54,25 @@ def split_by_time(df: DataFrame, date_col: str = "visit_date", test_size: float
 
 
 def sample_n(df: DataFrame, n: int, key: str = "session_id", seed: int = 42) -> DataFrame:
-    """Uniform sample of exactly n rows (top-n by a keyed hash -> TakeOrdered)."""
+    """Uniform sample of exactly n rows: the n smallest ``md5(key:seed)``.
+
+    A plain ``orderBy(hash).limit(n)`` ships n rows from *every* partition to
+    one place; instead rows are first pre-filtered on the hash prefix with a
+    cut expected to keep ~3n rows (a pure filter, no shuffle), and the exact
+    top-n is taken among those. The n smallest hashes always pass the cut once
+    at least n rows do, so the result is exact; the cut widens if too few pass.
+    """
     h = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
-    return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+    prefix = F.conv(F.substring(h, 1, 15), 16, 10).cast("decimal(20,0)")  # 60 uniform bits
+    total = df.count()
+    frac = min(1.0, 3.0 * n / max(total, 1))
+    while True:
+        cut = int(frac * (1 << 60))
+        kept = df.withColumn("_h", h).where((prefix < F.lit(cut)) | F.lit(frac >= 1.0))
+        if frac >= 1.0 or kept.count() >= min(n, total):
+            break
+        frac = min(1.0, frac * 4)
+    return kept.orderBy("_h", key).limit(n).drop("_h")
 
 
 def class_weights(df: DataFrame, target: str = "target") -> DataFrame:

@@ -64,3 +64,13 @@ def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     spark = spark or df.sparkSession
     checkpoint_root(spark)
     return df.checkpoint(eager=True)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast hint only after checking the side's size: at most ``max_rows``
+    rows -> broadcast; larger -> returned as is, so the planner (AQE) picks a
+    shuffle join."""
+    from pyspark.sql import functions as F
+
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
