@@ -260,8 +260,10 @@ def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def median_impute(df: DataFrame, cols: list[str]) -> DataFrame:
-    meds = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols])
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), meds.select(c).scalar()) for c in cols})
+    """Exact medians from ONE aggregate (len(cols) numbers reach the driver),
+    applied as literals."""
+    row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(row[c]).cast("double")) for c in cols})
 
 
 def one_hot_long(df: DataFrame, vocab: DataFrame, cats: list[str], key: str = "session_id") -> DataFrame:

@@ -188,23 +188,29 @@ def vif_pair(spark, sf):
 
 def vif_table(df, cols: list[str]):
     """VIF = diag(inv(R)) of the correlation matrix of median-imputed columns.
-    One distributed pass builds the p x p matrix (p^2 numbers reach the
-    driver); zero-variance columns get NULL."""
+
+    One aggregate pass collects count, sums and cross-products (p + p(p+1)/2
+    numbers for p columns reach the driver); R and its inverse are p x p
+    driver-side arithmetic. Zero-variance columns get NULL."""
     imp = FE.median_impute(df, cols)
-    stds = imp.agg(*[F.stddev_pop(c).alias(c) for c in cols]).first()
-    live = [c for c in cols if stds[c] not in (None, 0.0)]
-    pairs = list(itertools.combinations(live, 2))
-    row = imp.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]).first() if pairs else {}
-    p = len(live)
-    R = np.eye(p)
-    for i, (a, b) in enumerate(pairs):
-        ia, ib = live.index(a), live.index(b)
-        R[ia, ib] = R[ib, ia] = row[f"c{i}"]
+    p = len(cols)
+    idx = [(i, j) for i in range(p) for j in range(i, p)]
+    x = [F.col(c).cast("double") for c in cols]
+    row = imp.agg(F.count(F.lit(1)).alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(p)],
+                  *[F.sum(x[i] * x[j]).alias(f"q{i}_{j}") for i, j in idx]).first()
+    n = float(row["n"])
+    mean = np.array([row[f"s{i}"] / n for i in range(p)])
+    cov = np.zeros((p, p))
+    for i, j in idx:
+        cov[i, j] = cov[j, i] = row[f"q{i}_{j}"] / n - mean[i] * mean[j]
+    sd = np.sqrt(np.clip(np.diag(cov), 0.0, None))
+    live = [i for i in range(p) if sd[i] > 1e-12 * max(1.0, abs(mean[i]))]
+    R = cov[np.ix_(live, live)] / np.outer(sd[live], sd[live])
     try:
         inv = np.linalg.inv(R)
     except np.linalg.LinAlgError:
         inv = np.linalg.pinv(R)
-    vif = {c: float(inv[i, i]) for i, c in enumerate(live)}
+    vif = {cols[i]: float(inv[k, k]) for k, i in enumerate(live)}
     rows = [(c, round(vif[c], 4) if c in vif else None, int(c in vif and vif[c] > 10)) for c in cols]
     return df.sparkSession.createDataFrame(rows, "feature string, vif double, above_10 int")
 

@@ -91,3 +91,22 @@ def test_matrix_equals_separate_crosstabs(spark):
         want = None if single is None else round(single, 6)
         assert m[(a, b)] == want and m[(b, a)] == want
     assert m[("x", "x")] == 1.0
+
+
+def test_vif_matches_numpy(spark, sf):
+    import numpy as np
+
+    from convlens.contracts import NUMERIC_FEATURES
+    from convlens.operators import features as FE
+    from convlens.plans import frames
+    from convlens.plans.q_association import vif_table
+
+    f = FE.build_features(frames.dataset(spark, sf), frames.CFG)
+    cols = list(NUMERIC_FEATURES)
+    got = {r.feature: r.vif for r in vif_table(f, cols).collect()}
+    pdf = f.select(cols).toPandas().astype(float)
+    pdf = pdf.fillna(pdf.median())
+    live = [c for c in cols if pdf[c].std(ddof=0) > 0]
+    inv = np.linalg.inv(np.corrcoef(pdf[live].to_numpy(), rowvar=False))
+    for k, c in enumerate(live):
+        assert abs(got[c] - inv[k, k]) < 1e-3 * max(1.0, inv[k, k]), c
