@@ -91,7 +91,8 @@ def main() -> None:
         A.chi2_onehot(g, list(_CATS)).collect()
     timed("feature_analysis", feature_analysis)
 
-    # 05 training: split, logistic (full), boosted trees with early stopping
+    # 05 training, all models: split, logistic (full), C tuning by 3-fold CV,
+    # random forest, boosted trees with early stopping
     parts = SP.split_nested(dataset.select("session_id", "target", *MODEL_INPUT_COLUMNS), "session_id",
                             cfg.test_size, cfg.val_size, cfg.seed)
     sinks.write_phase_table(parts, f"{out}/split")
@@ -100,6 +101,8 @@ def main() -> None:
     test = parts.where(F.col("split") == "test")
     models = {}
     models["logreg_full"] = timed("train_logreg", lambda: M.fit_logistic(fit, cfg, 1.0))
+    timed("cv_logistic", lambda: M.cv_logistic(fit, cfg).collect())
+    models["forest"] = timed("train_forest", lambda: M.fit_forest(fit, cfg))
     models["boosted"] = timed("train_boosted", lambda: M.fit_boosted(fit, cfg)[0])
 
     # evaluation on the test part (exact AUC, AP, best-F1, calibration)

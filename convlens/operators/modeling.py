@@ -129,24 +129,24 @@ def positive_probability(scored: DataFrame, out: str = "score") -> DataFrame:
     return scored.withColumn(out, vector_to_array("probability")[1])
 
 
-def cv_logistic(train: DataFrame, cfg: ConversionConfig, grid=(0.3, 1.0, 3.0), folds: int = 3) -> DataFrame:
-    """k-fold CV of C on hash folds (``foldCol``), ROC-AUC with exact ranks
-    (``numBins=0``); folds fit in parallel."""
-    w = with_class_weight(train, "target").withColumn("fold", hash_unit("session_id", cfg.seed, "cv") % folds)
-    n = w.count()
+def cv_logistic(fit: DataFrame, cfg: ConversionConfig, grid=(0.3, 1.0, 3.0), folds: int = 3) -> DataFrame:
+    """Tune C by k-fold CV on hash folds (``foldCol``) with exact-rank ROC-AUC
+    (``numBins=0``). As in the analysed workflow, the feature encoder is fitted
+    once on the fit part and only the learner is cross-validated; the encoded
+    matrix is checkpointed, and folds x C fits run ``len(grid)`` at a time."""
+    w = with_class_weight(fit, "target").withColumn("fold", hash_unit("session_id", cfg.seed, "cv") % folds)
+    n = fit.count()
+    encoder = fit_featurized(w, encoder_stages(cfg))
+    encoded = cut_lineage(encoder.transform(w).select("features", "target", "weight", "fold"))
     lr = logistic(1.0)
-    stages = encoder_stages(cfg)
-    # the builder is stateless: featurize once, cross-validate the rest
-    w = cut_lineage(stages[0].transform(w))
-    pipe = Pipeline(stages=[*stages[1:], lr])
     params = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in grid]).build()
     ev = BinaryClassificationEvaluator(labelCol="target", rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=params, evaluator=ev, foldCol="fold",
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=params, evaluator=ev, foldCol="fold",
                         parallelism=len(grid), seed=cfg.seed)
-    model = cv.fit(w)
+    model = cv.fit(encoded)
     rows = [(float(c), float(round(m, 6))) for c, m in zip(grid, model.avgMetrics)]
-    return train.sparkSession.createDataFrame(rows, "C double, mean_roc_auc double")
+    return fit.sparkSession.createDataFrame(rows, "C double, mean_roc_auc double")
 
 
 def feature_names(df: DataFrame, col: str = "features") -> list[str]:

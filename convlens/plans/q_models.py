@@ -73,8 +73,8 @@ for _q, _m in (("train_logreg_base", "logreg_base"), ("train_logreg_full", "logr
 
 @register("cv_logistic")
 def cv_logistic(spark, sf):
-    _, _, _, train = parts(spark, sf)
-    return M.cv_logistic(train, CFG)
+    fit, _, _, _ = parts(spark, sf)
+    return M.cv_logistic(fit, CFG)
 
 
 def threshold(spark, sf, name) -> float:
