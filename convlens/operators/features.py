@@ -175,17 +175,29 @@ class _ColsParams(Params):
 
 
 class MedianImputer(Estimator, _ColsParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Exact median (linear interpolation, as numpy) learned on train."""
+    """Median learned on train. ``relativeError = 0`` (default) is the exact
+    median with linear interpolation, as numpy; its aggregation buffer holds
+    one entry per distinct value, which suits the low-cardinality features
+    here. A positive ``relativeError`` switches to ``percentile_approx``
+    (bounded sketch) for high-cardinality columns."""
+
+    relativeError = Param(Params._dummy(), "relativeError", "0 = exact median", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, inputCols: list | None = None):
+    def __init__(self, inputCols: list | None = None, relativeError: float = 0.0):
         super().__init__()
+        self._setDefault(relativeError=0.0)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "MedianImputerModel":
         cols = self.getOrDefault(self.inputCols) if self.isDefined(self.inputCols) else []
         if not cols:
             return MedianImputerModel(inputCols=[], mediansJson="{}")
+        err = self.getOrDefault(self.relativeError)
+        if err > 0:
+            acc = int(max(1, round(1.0 / err)))
+            row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, acc).alias(c) for c in cols]).first()
+            return MedianImputerModel(inputCols=cols, mediansJson=json.dumps({c: row[c] for c in cols}))
         row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
         return MedianImputerModel(inputCols=cols, mediansJson=json.dumps({c: row[c] for c in cols}))
 

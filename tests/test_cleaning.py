@@ -98,3 +98,21 @@ def test_isin_null_is_false(spark):
     df = spark.createDataFrame([(None,), ("organic",)], "m string")
     assert [r[0] for r in df.select(C.isin_false("m", ["organic"])).collect()] == [False, True]
     assert df.select(F.col("m").isin("organic")).collect()[0][0] is None
+
+
+def test_csv_readers_keep_ids_as_strings_and_prune(spark, tmp_path):
+    from convlens.sources import readers
+
+    p = tmp_path / "sessions.csv"
+    p.write_text("session_id,client_id,visit_date,visit_time,visit_number,utm_source,utm_medium,utm_campaign,"
+                 "utm_adcontent,utm_keyword,device_category,device_os,device_brand,device_model,"
+                 "device_screen_resolution,device_browser,geo_country,geo_city\n"
+                 "0012,0007,2021-06-01,10:00:00,1,src,organic,,,,mobile,,,,360x800,Chrome,Russia,Moscow\n")
+    s = readers.read_sessions_csv(spark, str(p)).first()
+    assert s.session_id == "0012" and s.client_id == "0007"
+    h = tmp_path / "hits.csv"
+    h.write_text("session_id,hit_date,hit_time,hit_number,hit_type,hit_referer,hit_page_path,event_category,"
+                 "event_action,event_label,event_value\n0012,2021-06-01,1,1,event,,/,cat,sub_submit_success,,\n")
+    hits = readers.read_hits_csv(spark, str(h))
+    assert hits.columns == ["session_id", "event_action"]
+    assert hits.first().event_action == "sub_submit_success"
