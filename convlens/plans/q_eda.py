@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from convlens.operators import slices
 from convlens.plans import frames

@@ -9,7 +9,7 @@ from convlens.functions import columns as C
 from convlens.operators import cleaning, labeling, profiling
 from convlens.plans import frames
 from convlens.plans.oracle import (
-    BASE, CFG, HITS, POSITIVES, RAW_SESSIONS, TARGET_SET, date_lenient, norm, q, seconds, strip, with_,
+    BASE, CFG, HITS, POSITIVES, RAW_SESSIONS, TARGET_SET, date_lenient, norm, seconds, strip, with_,
 )
 from convlens.plans.registry import register
 from convlens.sources import readers
