@@ -6,8 +6,9 @@ helpers here split the work in two phases so that no task ever holds more
 than one *bounded* slice:
 
 * :func:`sequence_within_group` – ``row_number`` per group, computed as
-  (rows of the group in earlier coarse slices) + (row number inside the slice).
-  The prefix runs over the small per-(group, slice) count table.
+  (rows of the group in earlier cells) + (row number inside the cell), where a
+  cell is a (group, day) or, for a hot one, a count-balanced part of it. The
+  prefix runs over the small per-cell count table.
 * :func:`ordered_prefix` – global running sums over an ordered key (ROC/PR
   curves, cumulative gains). The key is cut into ranges of near-equal row
   count by ``percentile_approx``; range totals (one row per range) give the
@@ -22,27 +23,44 @@ from pyspark.sql import functions as F
 
 
 def sequence_within_group(df: DataFrame, group: list[str], slice_col: str,
-                          order_cols: list[str], out: str) -> DataFrame:
+                          order_cols: list[str], out: str, max_group_rows: int = 1_000_000,
+                          n_cuts: int = 256) -> DataFrame:
     """Exact ``row_number() over (partition by group order by slice_col, order_cols)``
-    for non-NULL group and slice keys.
+    for non-NULL group and slice keys, without one task per whole group.
 
-    ``slice_col`` must be the leading sort key (e.g. a date); tasks hold one
-    (group, slice) at a time, and the prefix window runs over the distinct
-    slices of a group only. The offsets side is distinct on the join keys and
-    joined LEFT, so when ``out`` is not used downstream Catalyst removes the
-    whole branch (and the unused window) from the plan.
+    * rows are numbered inside a (group, slice, sub) cell and offset by the
+      rows of the group in earlier cells; the offset window runs over the small
+      per-cell count table.
+    * ``slice_col`` (e.g. a day) is the leading sort key. A (group, slice)
+      holding more than ``max_group_rows`` rows is cut into ``n_cuts``
+      count-balanced sub-slices at approximate quantiles of the first order
+      column (numeric); the sub-slice id is monotone in that column, so the
+      ordering -- and the numbering -- stays exact.
+    * every helper side is distinct on its join keys and joined LEFT, so when
+      ``out`` is unused Catalyst drops the whole branch from the plan.
     """
     keys = [*group, slice_col]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_slice"))
-    w_prefix = (Window.partitionBy(*group).orderBy(slice_col)
+    first = order_cols[0]
+    per_slice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = per_slice.where(F.col("_n") > max_group_rows).select(*keys)
+    probs = [i / n_cuts for i in range(1, n_cuts)]
+    # quantile sketches only for hot cells (a semi join keeps the rest out)
+    cuts = (df.join(hot, keys, "left_semi")
+            .groupBy(*keys).agg(F.percentile_approx(F.col(first).cast("double"), probs, 10_000).alias("_cuts")))
+    with_sub = df.join(cuts, keys, "left").withColumn(
+        "_sub", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(first).cast("double"))), F.lit(0))
+    ).drop("_cuts")
+    cell = [*keys, "_sub"]
+    counts = with_sub.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n_cell"))
+    w_prefix = (Window.partitionBy(*group).orderBy(slice_col, "_sub")
                 .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (counts.select(*keys, F.coalesce(F.sum("_n_slice").over(w_prefix), F.lit(0)).alias("_b"))
-               .groupBy(*keys).agg(F.max("_b").alias("_before")))  # makes distinctness visible
-    w_in = Window.partitionBy(*keys).orderBy(*order_cols)
-    ranked = df.withColumn("_rn_in_slice", F.row_number().over(w_in))
-    return (ranked.join(offsets, on=keys, how="left")
-            .withColumn(out, (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_rn_in_slice")).cast("int"))
-            .drop("_before", "_rn_in_slice"))
+    offsets = (counts.select(*cell, F.coalesce(F.sum("_n_cell").over(w_prefix), F.lit(0)).alias("_b"))
+               .groupBy(*cell).agg(F.max("_b").alias("_before")))  # makes distinctness visible
+    w_in = Window.partitionBy(*cell).orderBy(*order_cols)
+    ranked = with_sub.withColumn("_rn_in_cell", F.row_number().over(w_in))
+    return (ranked.join(offsets, on=cell, how="left")
+            .withColumn(out, (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_rn_in_cell")).cast("int"))
+            .drop("_before", "_rn_in_cell", "_sub"))
 
 
 def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str],

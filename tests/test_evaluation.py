@@ -93,3 +93,16 @@ def test_repartition_invariance(spark, sf):
     a = EV.roc_auc_exact(df).first().roc_auc
     b = EV.roc_auc_exact(df.repartition(13)).first().roc_auc
     assert a == b
+
+
+def test_sequence_splits_hot_groups_exactly(spark):
+    from pyspark.sql import Window
+
+    # one group holds most rows, ties on the order key included
+    rows = [(0, i % 2, i // 3) for i in range(900)] + [(g, 0, g * 10 + i) for g in range(1, 5) for i in range(7)]
+    df = spark.createDataFrame(rows, "g int, day int, k long").withColumn("rid", F.monotonically_increasing_id())
+    got = sequence_within_group(df, ["g"], "day", ["k", "rid"], "seq", max_group_rows=20, n_cuts=16)
+    w = Window.partitionBy("g").orderBy("day", "k", "rid")
+    want = df.select("rid", F.row_number().over(w).alias("rn"))
+    bad = got.join(want, "rid").where(F.col("seq") != F.col("rn")).count()
+    assert bad == 0 and got.count() == len(rows)
