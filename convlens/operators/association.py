@@ -216,14 +216,18 @@ def pearson_expr(a: str, b: str):
 
 def mi_terms(counts: DataFrame, feature: str = "feature", value: str = "value", y: str = "y",
              n: str = "n") -> DataFrame:
-    """Plug-in MI sum(p ln(p / (px py))) per feature from (feature, value, y, n)."""
-    w_f = Window.partitionBy(feature)
+    """Plug-in MI sum(p ln(p / (px py))) per feature from (feature, value, y, n).
+
+    A numeric feature may have as many values as rows, so nothing is windowed
+    by feature: per-feature and per-(feature, class) totals are aggregates
+    with one row per feature / class (broadcast, bounded by the feature list),
+    and the per-value total is a window over the classes of one value."""
+    tot = counts.groupBy(feature).agg(F.sum(n).cast("double").alias("_tot"))
+    ny = counts.groupBy(feature, y).agg(F.sum(n).cast("double").alias("_ny"))
     w_fv = Window.partitionBy(feature, value)
-    w_fy = Window.partitionBy(feature, y)
-    c = counts.select(feature, value, y, F.col(n).cast("double").alias("_cnt"),
-                      F.sum(n).over(w_f).cast("double").alias("_tot"),
-                      F.sum(n).over(w_fv).cast("double").alias("_nx"),
-                      F.sum(n).over(w_fy).cast("double").alias("_ny"))
+    c = (counts.select(feature, value, y, F.col(n).cast("double").alias("_cnt"),
+                       F.sum(n).over(w_fv).cast("double").alias("_nx"))
+         .join(F.broadcast(tot), feature).join(F.broadcast(ny), [feature, y]))
     term = (F.col("_cnt") / F.col("_tot")) * F.log(F.col("_cnt") * F.col("_tot") / (F.col("_nx") * F.col("_ny")))
     return c.groupBy(feature).agg(F.sum(term).alias("mi"))
 
