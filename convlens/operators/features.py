@@ -347,3 +347,48 @@ def target_encode_oof(df: DataFrame, cols: list[str], key: str = "session_id", t
         out = out.withColumn(c + suffix, F.coalesce(enc, F.col("_prior"))) \
                  .drop(f"_v_{c}", f"_f_{c}", f"_oc_{c}", f"_op_{c}")
     return out.drop("_fold", "_prior")
+
+
+# Where each engineered feature comes from and how the model sees it
+# (documentation rows; joined to data-derived statistics, never used alone).
+FEATURE_SOURCES = {
+    "visit_hour": ("visit_time", "numeric"),
+    "visit_day": ("visit_date", "numeric"),
+    "visit_number_log": ("visit_number", "numeric"),
+    "is_weekend": ("visit_date", "flag"),
+    "is_organic": ("utm_medium", "flag"),
+    "is_social": ("utm_source", "flag"),
+    "is_first_visit": ("visit_number", "flag"),
+    "has_utm_campaign": ("utm_campaign", "flag"),
+    "has_utm_keyword": ("utm_keyword", "flag"),
+    "has_utm_adcontent": ("utm_adcontent", "flag"),
+    "is_russia": ("geo_country", "flag"),
+    "is_moscow": ("geo_city", "flag"),
+    "is_spb": ("geo_city", "flag"),
+    "screen_w": ("device_screen_resolution", "numeric"),
+    "screen_h": ("device_screen_resolution", "numeric"),
+    "screen_is_valid": ("device_screen_resolution", "flag"),
+    "utm_medium": ("utm_medium", "category"),
+    "utm_source": ("utm_source", "category"),
+    "utm_campaign": ("utm_campaign", "category"),
+    "utm_adcontent": ("utm_adcontent", "category"),
+    "utm_keyword": ("utm_keyword", "category"),
+    "device_category": ("device_category", "category"),
+    "device_os": ("device_os", "category"),
+    "device_brand": ("device_brand", "category"),
+    "device_browser": ("device_browser", "category"),
+    "geo_city": ("geo_city", "category"),
+    "visit_dow": ("visit_date", "category"),
+    "visit_month": ("visit_date", "category"),
+    "visit_daypart": ("visit_time", "category"),
+}
+
+
+def feature_dictionary(spark, mi_by_feature: DataFrame) -> DataFrame:
+    """(feature, source, kind, encoding, mi): the 29 feature specs joined to
+    the mutual information measured on the data (one row per feature)."""
+    spec = spark.createDataFrame(
+        [(f, src, kind, "one-hot after top-N grouping" if kind == "category" else "median impute + scale")
+         for f, (src, kind) in FEATURE_SOURCES.items()],
+        "feature string, source string, kind string, encoding string")
+    return spec.join(mi_by_feature.select("feature", "mi"), "feature", "left")

@@ -341,3 +341,22 @@ def findings_long(spark, sf):
                                                 F.lit("coverage_pct").alias("metric"),
                                                 F.col("coverage_pct").cast("double").alias("value"))
     return biz_long.unionByName(assoc).unionByName(hyp).unionByName(cov)
+
+
+def _dictionary_sql() -> str:
+    from convlens.plans.registry import ORACLE
+
+    spec = ", ".join(
+        f"('{f}', '{src}', '{kind}', '{'one-hot after top-N grouping' if kind == 'category' else 'median impute + scale'}')"
+        for f, (src, kind) in FE.FEATURE_SOURCES.items())
+    return (f"SELECT s.feature, s.source, s.kind, s.encoding, m.mi FROM (VALUES {spec}) s(feature, source, kind, encoding) "
+            f"LEFT JOIN (SELECT * FROM ({ORACLE['mi_by_feature']}) a UNION ALL SELECT * FROM ({ORACLE['mi_numeric']}) b) m "
+            f"ON s.feature = m.feature")
+
+
+@register("feature_dictionary", _dictionary_sql())
+def feature_dictionary(spark, sf):
+    """Feature specs with the measured MI of each feature (one-hot MI summed
+    for categories, plug-in MI for numeric features)."""
+    mi = mi_by_feature(spark, sf).unionByName(mi_numeric(spark, sf))
+    return FE.feature_dictionary(spark, mi)
