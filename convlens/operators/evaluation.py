@@ -222,3 +222,29 @@ def evaluate_scores(df: DataFrame, score: str = "score", label: str = "label") -
         C.round6(F.sum(F.col("pos") / F.col("P") * F.col("tp") / (F.col("tp") + F.col("fp")))).alias("average_precision"),
         F.lit(best.select("threshold").scalar()).alias("best_threshold"),
         C.round6(best.select("f1").scalar()).alias("best_f1"))
+
+
+def roc_curve_thinned(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """ROC points with collinear intermediate points dropped (a point is kept
+    when the second difference of fp or tp at it is non-zero, or it is the
+    first / last threshold), preceded by the (inf, 0, 0) start point.
+
+    Neighbours come from a global rank of the distinct scores (the ordered
+    prefix of a column of ones) and equi-joins on rank +- 1 -- no lag/lead
+    over a single window partition."""
+    cum = cumulative(df, score, label)
+    ranked = ordered_prefix(cum.withColumn("_one", F.lit(1)), "score", ["_one"]).withColumnRenamed("cum__one", "_rk")
+    base = ranked.select("score", "tp", "fp", "P", "N", "_rk")
+    nxt = base.select((F.col("_rk") - 1).alias("_rk"), F.col("tp").alias("_tp_up"), F.col("fp").alias("_fp_up"))
+    prv = base.select((F.col("_rk") + 1).alias("_rk"), F.col("tp").alias("_tp_dn"), F.col("fp").alias("_fp_dn"))
+    j = base.join(nxt, "_rk", "left").join(prv, "_rk", "left")
+    # ascending rank: the "up" neighbour (higher score) comes before in the
+    # descending-threshold sequence, the "dn" neighbour after it
+    d2fp = F.col("_fp_up") - 2 * F.col("fp") + F.col("_fp_dn")
+    d2tp = F.col("_tp_up") - 2 * F.col("tp") + F.col("_tp_dn")
+    keep = F.col("_tp_up").isNull() | F.col("_tp_dn").isNull() | (d2fp != 0) | (d2tp != 0)
+    pts = j.where(keep).select(F.col("score").alias("threshold"), C.round6(F.col("fp") / F.col("N")).alias("fpr"),
+                               C.round6(F.col("tp") / F.col("P")).alias("tpr"))
+    start = df.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
+                                            F.lit(0.0).alias("tpr"))
+    return start.unionByName(pts)

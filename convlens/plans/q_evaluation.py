@@ -138,3 +138,15 @@ def threshold_sweep(spark, sf):
 SELECT row_id, score, label FROM scored ORDER BY score DESC, row_id LIMIT 20""")
 def rank_leads(spark, sf):
     return EV.rank_leads(scored(spark, sf), 20)
+
+
+@register("roc_curve_thinned", SCORED + """
+, nb AS (SELECT *, lag(tp) OVER (ORDER BY score DESC) AS tp_up, lead(tp) OVER (ORDER BY score DESC) AS tp_dn,
+                lag(fp) OVER (ORDER BY score DESC) AS fp_up, lead(fp) OVER (ORDER BY score DESC) AS fp_dn FROM cum)
+SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+UNION ALL
+SELECT score, round(fp / N, 6), round(tp / P, 6) FROM nb
+WHERE tp_up IS NULL OR tp_dn IS NULL OR fp_up - 2 * fp + fp_dn <> 0 OR tp_up - 2 * tp + tp_dn <> 0""")
+def roc_curve_thinned(spark, sf):
+    """ROC points as plotted (intermediate collinear points dropped)."""
+    return EV.roc_curve_thinned(scored(spark, sf))

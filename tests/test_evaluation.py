@@ -106,3 +106,17 @@ def test_sequence_splits_hot_groups_exactly(spark):
     want = df.select("rid", F.row_number().over(w).alias("rn"))
     bad = got.join(want, "rid").where(F.col("seq") != F.col("rn")).count()
     assert bad == 0 and got.count() == len(rows)
+
+
+def test_roc_thinning_drops_collinear_points(spark):
+    # descending thresholds 0.9..0.1: three negatives in a row make a straight run
+    rows = [(0.9, 1), (0.8, 0), (0.7, 0), (0.6, 0), (0.5, 1), (0.4, 1), (0.3, 0), (0.2, 1), (0.1, 0)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    got = sorted((r.threshold for r in EV.roc_curve_thinned(df).collect()), reverse=True)
+    s = np.array([r[0] for r in rows])
+    y = np.array([r[1] for r in rows])
+    order = np.argsort(-s)
+    tps, fps = np.cumsum(y[order]), np.cumsum(1 - y[order])
+    keep = np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True]
+    want = [float("inf")] + list(s[order][keep])
+    assert got == want and len(want) < len(rows) + 1
