@@ -33,6 +33,12 @@ def parts(spark, sf):
 
 
 def _memo(key, fn):
+    """Per-process cache of fitted models / checkpointed splits, keyed by the
+    running Spark application too (a new session never sees stale frames)."""
+    from pyspark.sql import SparkSession
+
+    active = SparkSession.getActiveSession()
+    key = (active.sparkContext.applicationId if active else None, *key)
     if key not in _CACHE:
         _CACHE[key] = fn()
     return _CACHE[key]
@@ -80,13 +86,12 @@ def cv_logistic(spark, sf):
 def threshold(spark, sf, name) -> float:
     """Best-F1 threshold on the validation part (the final model reuses the
     boosted model's)."""
-    key = (sf, "thr", name)
-    if key not in _CACHE:
+    def best():
         src = "boosted" if name == "boosted_final" else name
         _, val, _, _ = parts(spark, sf)
         sc = M.positive_probability(_pipeline(spark, sf, src).transform(val)).select("score", F.col("target").alias("label"))
-        _CACHE[key] = float(EV.best_f1_threshold(sc).first()["threshold"])
-    return _CACHE[key]
+        return float(EV.best_f1_threshold(sc).first()["threshold"])
+    return _memo((sf, "thr", name), best)
 
 
 @register("model_comparison")
