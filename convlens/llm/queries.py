@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import fingerprints, sharding
+from convlens.llm import fingerprints, hnsw, ngram_join, sharding, warc
 from convlens.llm.common import table
 
 ORACLE: dict[str, str] = {}
@@ -20,6 +20,58 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"), "page_id", "url", "html", least_bytes=1000)
+    return warc.read_records(index, with_payload=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op7_warc"] = """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+         m AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+    SELECT page_id, payload_bytes, p.payload_digest AS payload_digest,
+           CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id < last THEN last END AS refers_to
+    FROM p LEFT JOIN m ON p.payload_digest = m.payload_digest AND p.payload_bytes >= 1000"""
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+ORACLE["op8_ngram_join"] = r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+              ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id != b.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+    reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(r.m, d.doc_id))::BIGINT AS component_id
+    FROM documents d LEFT JOIN n USING (doc_id)
+    LEFT JOIN (SELECT doc_id, min(other) AS m FROM reach GROUP BY 1) r USING (doc_id)"""
+
+
+def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op9_hnsw"] = """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id != b.vec_id
+              AND list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach AS (SELECT a AS vec_id, b AS other FROM links UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+    SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(r.m, e.vec_id))::BIGINT AS component_id,
+           e.vec_id <= coalesce(r.m, e.vec_id) AS kept
+    FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+    LEFT JOIN (SELECT vec_id, min(other) AS m FROM reach GROUP BY 1) r ON r.vec_id = e.vec_id"""
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     own = fingerprints.with_fingerprint(docs, "text", "fp")
@@ -35,4 +87,4 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
 
 
-QUERIES = {f.__name__: f for f in (op6_sharding, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints)}
