@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import fingerprints, hnsw, ngram_join, sharding, warc
+from convlens.llm import fingerprints, hnsw, ngram_join, sharding, toxicity, warc
 from convlens.llm.common import table
 
 ORACLE: dict[str, str] = {}
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")), F.lit(5)) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn_from=~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -87,4 +95,4 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
 
 
-QUERIES = {f.__name__: f for f in (op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints)}
