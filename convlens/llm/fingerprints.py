@@ -1,7 +1,7 @@
 """Document fingerprints by consistent weighted sampling, in Spark SQL functions only.
 
-A text is a weighted set: its terms are pairs of neighbouring words (a text of one word: that word), the weight of
-a term is how often it occurs. Every term falls into one of ``bins`` bins by its hash, and within a bin the sample is
+A text is a weighted set: its terms are its words, each with the next one (the last alone), the weight of a term is how often it
+occurs. Every term falls into one of ``bins`` bins by its hash, and within a bin the sample is
 drawn by improved consistent weighted sampling: r and c are Gamma(2, 1) and beta uniform, all fixed by the term's
 hash; with t = floor(ln w / r + beta) and ln y = r (t - beta) the term with the least ln c - ln y - r is the bin's
 sample, recorded as (term, t). Two texts agree in a bin with a probability equal to the generalised Jaccard similarity
@@ -15,67 +15,75 @@ matter.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convlens.llm.common import fresh, uniform
+from convlens.llm.common import fresh
 
-_SCALE, _SHIFT = 2.0 ** 20, 48.0  # ln a in [-48, 16) as 26 bits
+_SCALE, _SHIFT = 2.0 ** 19, 64.0  # ln a lies in (-64, 4) for weights below e ** 20: 26 bits
+_SPACES = "\t\n\x0b\x0c\r"
+_MASK = 2 ** 21 - 1
 
 
 def _bin_of(x: Column) -> Column:
     return F.shiftrightunsigned(x, 57)
 
 
-def _exponential_pair(h: Column, salt: int) -> Column:
-    """Gamma(2, 1): minus the log of a product of two uniforms."""
-    return -F.log(uniform(h, salt) * uniform(h, salt + 1))
+def _sample_of(x: Column) -> Column:
+    return x.bitwiseAND(F.lit(2 ** 31 - 1))
+
 
+def _gamma(x: Column, low: int, high: int) -> Column:
+    """Gamma(2, 1) from two disjoint stretches of 21 bits of a hash: minus the log of a product of two uniforms."""
+    bits = lambda at: F.shiftrightunsigned(x, at).bitwiseAND(F.lit(_MASK)) + F.lit(0.5)
+    return F.lit(42 * math.log(2)) - F.log(bits(low) * bits(high))
 
-def _level(h: Column, w: Column, seed: int) -> Column:
-    return F.floor(F.log(w) / _exponential_pair(h, 8 * seed) + uniform(h, 8 * seed + 4))
 
+def _packed(h: Column, w: Column, bins: int, seed: int) -> Column:
+    """A term's bin (6 bits), ln a (26 bits) and sample (31 bits) in one long, so that a bin's sample is its least long.
+
+    The hash's lowest 6 bits choose the bin and its other bits r and beta; a second hash gives c.
+    """
+    r = _gamma(h, 6, 27)
+    beta = (F.shiftrightunsigned(h, 48) + F.lit(0.5)) * F.lit(2.0 ** -16)
 
-def _log_a(h: Column, w: Column, seed: int) -> Column:
-    r = _exponential_pair(h, 8 * seed)
-    return F.log(_exponential_pair(h, 8 * seed + 2)) - r * (_level(h, w, seed) - uniform(h, 8 * seed + 4)) - r
+    def at(level: Column) -> Column:
+        log_a = F.log(_gamma(F.xxhash64(h, F.lit(seed)), 0, 21)) - r * (level - beta + F.lit(1.0))
+        q = F.floor((log_a + F.lit(_SHIFT)) * F.lit(_SCALE))
+        return F.shiftleft(q, 31).bitwiseOR(_sample_of(F.xxhash64(h, level, F.lit(seed))))
+
+    # most terms occur once: ln w is 0 and so is the level
+    least = F.when(w == 1, at(F.lit(0).cast("bigint"))).otherwise(at(F.floor(F.log(w) / r + beta)))
+    return F.coalesce(F.shiftleft(h.bitwiseAND(F.lit(bins - 1)), 57).bitwiseOR(least), F.lit(0))
 
 
 def with_fingerprint(df: DataFrame, text_col: str, out: str, bins: int = 64, seed: int = 1) -> DataFrame:
     """Adds ``out``: a long for each bin that is not empty, the bin's number in its upper bits and the sample below."""
-    if not 1 <= bins <= 64:
-        raise ValueError("bins must lie in 1..64")
+    if bins not in (1, 2, 4, 8, 16, 32, 64):
+        raise ValueError("bins must be a power of two up to 64")
     words, terms, starts, packed = fresh(df, "words", "terms", "starts", "packed")
-    at = lambda a, i: F.element_at(a, i.cast("int"))
     w, t, s, p = F.col(words), F.col(terms), F.col(starts), F.col(packed)
-    n, m = F.size(w), F.size(t)
-    weight = lambda j: (F.when(j < F.size(s), at(s, j + 1)).otherwise(m + 1) - at(s, j)).cast("double")
-    h = lambda j: at(t, at(s, j))
-
-    def pack(j: Column) -> Column:
-        q = F.floor((F.greatest(F.lit(-_SHIFT), F.least(F.lit(15.999), _log_a(h(j), weight(j), seed))) + _SHIFT) * _SCALE)
-        return F.shiftleft(F.pmod(h(j), F.lit(bins)), 57).bitwiseOR(F.shiftleft(q, 31)).bitwiseOR(j.cast("long"))
-
-    bin_of, term_of = _bin_of, lambda x: x.bitwiseAND(F.lit(2 ** 31 - 1))
+    spaced = F.coalesce(F.col(text_col), F.lit(""))
+    for c in _SPACES:  # plain replacing and a one-character split are much cheaper than a regular expression
+        spaced = F.replace(spaced, F.lit(c), F.lit(" "))
+    none = lambda kind: F.array().cast(f"array<{kind}>")
     return (
         # every helper column is used at least twice below: the optimizer then never moves it into a lambda
-        df.withColumn(words, F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[ \t-\r]+"), lambda x: x != ""))
-        .withColumn(terms, F.sort_array(F.when(n == 0, F.array().cast("array<bigint>")).when(
-            n == 1, F.transform(w, lambda x: F.xxhash64(x))).otherwise(
-            F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                        lambda i: F.xxhash64(at(w, i), at(w, i + 1))))))
-        .withColumn(starts, F.when(m == 0, F.array().cast("array<int>")).otherwise(
-            F.filter(F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
-                     lambda i: (i == 1) | (at(t, i) != at(t, F.greatest(i - 1, F.lit(1)))))))
-        .withColumn(packed, F.sort_array(F.when(F.size(s) == 0, F.array().cast("array<bigint>")).otherwise(
-            F.transform(F.sequence(F.lit(1), F.greatest(F.size(s), F.lit(1))), pack))))
-        # the least of each bin, with its sample in place of the term's number
-        .withColumn(packed, F.when(F.size(p) == 0, p).otherwise(F.transform(
-            F.filter(F.sequence(F.lit(1), F.greatest(F.size(p), F.lit(1))),
-                     lambda i: (i == 1) | (bin_of(at(p, i)) != bin_of(at(p, F.greatest(i - 1, F.lit(1)))))),
-            lambda i: at(p, i))))
-        .withColumn(out, F.transform(p, lambda x: F.shiftleft(bin_of(x), 57).bitwiseOR(F.shiftrightunsigned(
-            F.xxhash64(h(term_of(x)), _level(h(term_of(x)), weight(term_of(x)), seed)), 7))))
+        df.withColumn(words, F.array_remove(F.split(spaced, " "), ""))
+        # each word with the next one; the last word stands alone
+        .withColumn(terms, F.sort_array(F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.xxhash64(a, b))))
+        # where runs of equal terms begin: a run's length is the term's weight
+        .withColumn(starts, F.when(F.size(t) == 0, none("int")).otherwise(F.filter(
+            F.sequence(F.lit(0), F.greatest(F.size(t) - 1, F.lit(0))), lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1)))))
+        .withColumn(packed, F.sort_array(F.zip_with(
+            F.transform(s, lambda x: F.get(t, x)),
+            F.transform(s, lambda x, i: (F.coalesce(F.get(s, i + 1), F.size(t)) - x).cast("double")),
+            lambda h, n: _packed(h, n, bins, seed))))
+        .withColumn(out, F.transform(
+            F.filter(p, lambda x, i: (i == 0) | (_bin_of(x) != _bin_of(F.get(p, i - 1)))),
+            lambda x: F.shiftleft(_bin_of(x), 57).bitwiseOR(_sample_of(x))))
         .drop(words, terms, starts, packed)
     )
 

@@ -147,8 +147,10 @@ def plan_reads(index: DataFrame, gap_bytes: int = 64 << 10, read_bytes: int = 8
         plan, "archive string, start bigint, end bigint, offsets array<bigint>, lengths array<bigint>")
 
 
-def read_records(index: DataFrame, with_payload: bool = True, gap_bytes: int = 64 << 10, read_bytes: int = 8 << 20) -> DataFrame:
-    """The selected records (see ``RECORD``), each index row once; ``with_payload=False`` leaves ``payload`` null."""
+def read_records(index: DataFrame, with_payload: bool = True, gap_bytes: int = 64 << 10, read_bytes: int = 8 << 20,
+                 task_bytes: int = 64 << 20) -> DataFrame:
+    """The selected records (see ``RECORD``), each index row once; ``with_payload=False`` leaves ``payload`` null. A task reads
+    about ``task_bytes``: the planned reads are small rows, so their number says nothing of what they make a task read."""
     schema = pa.schema([("id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                         ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
@@ -166,4 +168,5 @@ def read_records(index: DataFrame, with_payload: bool = True, gap_bytes: int = 6
                         found[-1]["payload"] = None
                 yield pa.RecordBatch.from_pylist(found, schema)
 
-    return plan_reads(index, gap_bytes, read_bytes).mapInArrow(read, RECORD)
+    tasks = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // task_bytes))
+    return plan_reads(index, gap_bytes, read_bytes).repartition(tasks, "archive", "start").mapInArrow(read, RECORD)
