@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from convlens.session import scratch_path
 
@@ -36,3 +37,19 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def thinned(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, bits: int = 25) -> DataFrame:
+    """``df`` without rows whose ``key`` cannot be among ``wanted``: a filter before a join that would shuffle all of ``df``.
+
+    The wanted keys are hashed into a bitmap of 2 ** ``bits`` bits, which is all that is broadcast, whatever the tables'
+    sizes; what passes by chance is left to the join. The more keys, the less it filters; it never drops a wanted row.
+    """
+    page, spot, bitmap = fresh(df, "page", "spot", "bitmap")
+    place = lambda k: F.xxhash64(k).bitwiseAND(F.lit((1 << bits) - 1))
+    pages = (wanted.select(place(wanted_key).alias(spot))
+             .groupBy(F.shiftright(spot, 15).alias(page)).agg(F.bitmap_construct_agg(F.col(spot).bitwiseAND(F.lit(32767))).alias(bitmap)))
+    at = df.withColumn(spot, place(key)).withColumn(page, F.shiftright(spot, 15)).withColumn(spot, F.col(spot).bitwiseAND(F.lit(32767)))
+    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(spot, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.shiftright(byte, F.col(spot).bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1))
+    return at.join(F.broadcast(pages), page).where(bit == 1).select(*df.columns)

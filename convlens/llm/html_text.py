@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import LongType, StringType, StructType
 
 # fixed values: element names and words in class, id and role that name clutter
 _RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|title|textarea|select|audio|video"
@@ -167,4 +168,4 @@ def extract(df: DataFrame, html_col: str = "html", text_col: str = "text", chars
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                                              [*rest, text_col, chars_col])
 
-    return df.mapInArrow(run, df.drop(html_col).schema.add(text_col, "string").add(chars_col, "bigint"))
+    return df.mapInArrow(run, StructType(list(df.drop(html_col).schema.fields)).add(text_col, StringType()).add(chars_col, LongType()))

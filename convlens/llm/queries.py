@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import fingerprints, hnsw, html_text, ngram_join, packing, pii, sharding, toxicity, warc
+from convlens.llm import fingerprints, hnsw, html_text, ngram_join, packing, pii, sentencepiece_fst, sharding, toxicity, warc
 from convlens.llm.common import table
 
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
+    model = sentencepiece_fst.read_model(model_path)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = sentencepiece_fst.encode(docs, model)
+    return sentencepiece_fst.decode(encoded, model).select(
+        "doc_id", F.size("ids").alias("n_ids"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, key="op4", count_col="n_replaced")
@@ -110,4 +118,4 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_toxicity, op4_pii, op5_packing, op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_sentencepiece, op4_pii, op5_packing, op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints)}

@@ -27,6 +27,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 GRAM, WINDOW, GAINS = 5, 64, (1, 2, 3, 4)
 _PAD = b"\x01"
@@ -176,11 +177,11 @@ def hash_order(value) -> int:
     return zlib.crc32(f"order:{value}".encode())
 
 
-def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``df`` without the text, with the score of the whole text."""
+def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score", keep_text: bool = False) -> DataFrame:
+    """``df`` with the score of the whole text; without the text itself unless ``keep_text``."""
     if score_col.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"column {score_col} exists already; pass another name for score_col")
-    rest = [c for c in df.columns if c != text_col]
+    rest = [c for c in df.columns if keep_text or c != text_col]
     at = df.columns.index(text_col)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,8 +194,8 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
                 for text in batch.column(at):  # one text's windows at a time: memory follows the longest text
                     x.append(features(gains([windows(text.as_py())], compressors)))
                 s = 1 / (1 + np.exp(-np.clip(np.vstack(x) @ np.array(model.weights), -30, 30))) if x else np.empty(0)
-            kept = [c for i, c in enumerate(batch.columns) if i != at]
+            kept = [c for i, c in enumerate(batch.columns) if keep_text or i != at]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(s, pa.float64())], [*rest, score_col])
 
-    schema = df.drop(text_col).schema.add(score_col, "double")
+    schema = StructType(list(df.select(*rest).schema.fields)).add(score_col, "double")
     return df.mapInArrow(scored, schema)
