@@ -16,6 +16,7 @@ matter.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,14 +100,14 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(bins == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / bins)
 
 
-def with_next(df: DataFrame, order_col: str, carried: dict[str, str], pieces: int | None = None) -> DataFrame:
-    """Adds, under new names, columns of the next row in descending ``order_col`` (after the last: the first), without
-    a window over all rows: rows are cut into ranges of equal count, each range looks ahead by itself, and its last row
-    takes the first row of the next range that has any. Nulls come last; ties are ordered by the carried columns.
+def with_next(df: DataFrame, order_col: str, tie_col: str, carried: dict[str, str],
+              enrich: Callable[[DataFrame], DataFrame] = lambda df: df, pieces: int | None = None) -> DataFrame:
+    """``enrich(df)`` with columns of the next row, under new names, in descending ``order_col`` and ascending ``tie_col`` (after
+    the last row: the first), without a window over all rows: rows are cut into ranges of equal count, each range looks
+    ahead by itself, and its last row takes the first row of the next range that has any. Nulls come last.
     """
-    spark = df.sparkSession
     piece, lead, head = fresh(df, "piece", "lead", "head")
-    pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
     grid = [i / pieces for i in range(1, pieces)]
     cuts = df.agg(F.percentile_approx(order_col, grid, 10 * pieces)).first()[0] if grid else []
     cuts = sorted({int(c) for c in cuts or []})
@@ -114,14 +115,16 @@ def with_next(df: DataFrame, order_col: str, carried: dict[str, str], pieces: in
     # piece 0 has the largest ids; rows without id come after all others
     cut = df.withColumn(piece, F.when(F.col(order_col).isNull(), F.lit(len(cuts) + 1)).otherwise(
         F.size(F.filter(edges, lambda c: c > F.col(order_col)))))
-    order = [F.col(order_col).desc_nulls_last(), *[F.col(c) for c in carried]]
-    load = F.struct(*[F.col(c).alias(n) for c, n in carried.items()])
-    first = F.min(F.struct((-F.coalesce(F.col(order_col), F.lit(-2 ** 63 + 1))).alias("k"), load.alias("v")))
+    rank = F.struct((-F.coalesce(F.col(order_col), F.lit(-2 ** 63 + 1))).alias("k"), F.col(tie_col).alias("t"))
+    firsts = cut.groupBy(piece).agg(F.min(rank).alias(head)).select(piece, F.col(f"{head}.t").alias(tie_col))
     ring = Window.orderBy(piece)  # one row per range
-    ahead = cut.groupBy(piece).agg(first.alias(head)).select(piece, F.coalesce(
-        F.lead(f"{head}.v").over(ring),
-        F.first(f"{head}.v").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias(head))
-    return (cut.withColumn(lead, F.lead(load).over(Window.partitionBy(piece).orderBy(*order)))
+    load = F.struct(*[F.col(c).alias(n) for c, n in carried.items()])
+    ahead = enrich(firsts).select(piece, load.alias(lead)).select(piece, F.coalesce(
+        F.lead(lead).over(ring),
+        F.first(lead).over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias(head))
+    rich = enrich(cut)
+    order = [F.col(order_col).desc_nulls_last(), F.col(tie_col)]
+    return (rich.withColumn(lead, F.lead(load).over(Window.partitionBy(piece).orderBy(*order)))
             .join(ahead, piece)
             .withColumn(lead, F.coalesce(lead, head))
-            .select(*df.columns, *[F.col(f"{lead}.{n}").alias(n) for n in carried.values()]))
+            .select(*[c for c in rich.columns if c != piece], *[F.col(f"{lead}.{n}").alias(n) for n in carried.values()]))

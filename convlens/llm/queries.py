@@ -105,8 +105,8 @@ ORACLE["op9_hnsw"] = """
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = fingerprints.with_fingerprint(docs, "text", "fp")
-    pairs = fingerprints.with_next(own, "doc_id", {"text": "next_text", "fp": "next_fp"})
+    pairs = fingerprints.with_next(docs, "doc_id", "text", {"text": "next_text", "fp": "next_fp"},
+                                   lambda df: fingerprints.with_fingerprint(df, "text", "fp"))
     n, half = F.char_length("text"), F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
     done = fingerprints.with_fingerprint(pairs.withColumn("edited", edited), "edited", "edited_fp")
