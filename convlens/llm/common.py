@@ -51,5 +51,5 @@ def thinned(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, b
              .groupBy(F.shiftright(spot, 15).alias(page)).agg(F.bitmap_construct_agg(F.col(spot).bitwiseAND(F.lit(32767))).alias(bitmap)))
     at = df.withColumn(spot, place(key)).withColumn(page, F.shiftright(spot, 15)).withColumn(spot, F.col(spot).bitwiseAND(F.lit(32767)))
     byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(spot, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.shiftright(byte, F.col(spot).bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1))
+    bit = F.getbit(byte, F.col(spot).bitwiseAND(F.lit(7)).cast("int"))
     return at.join(F.broadcast(pages), page).where(bit == 1).select(*df.columns)
