@@ -104,7 +104,8 @@ def with_next(df: DataFrame, order_col: str, tie_col: str, carried: dict[str, st
               enrich: Callable[[DataFrame], DataFrame] = lambda df: df, pieces: int | None = None) -> DataFrame:
     """``enrich(df)`` with columns of the next row, under new names, in descending ``order_col`` and ascending ``tie_col`` (after
     the last row: the first), without a window over all rows: rows are cut into ranges of equal count, each range looks
-    ahead by itself, and its last row takes the first row of the next range that has any. Nulls come last.
+    ahead by itself, and its last row takes the first row of the next range that has any. Nulls come last. Only these two columns, and what ``enrich``
+    makes of them, can be carried.
     """
     piece, lead, head = fresh(df, "piece", "lead", "head")
     pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
@@ -115,8 +116,9 @@ def with_next(df: DataFrame, order_col: str, tie_col: str, carried: dict[str, st
     # piece 0 has the largest ids; rows without id come after all others
     cut = df.withColumn(piece, F.when(F.col(order_col).isNull(), F.lit(len(cuts) + 1)).otherwise(
         F.size(F.filter(edges, lambda c: c > F.col(order_col)))))
-    rank = F.struct((-F.coalesce(F.col(order_col), F.lit(-2 ** 63 + 1))).alias("k"), F.col(tie_col).alias("t"))
-    firsts = cut.groupBy(piece).agg(F.min(rank).alias(head)).select(piece, F.col(f"{head}.t").alias(tie_col))
+    rank = F.struct((-F.coalesce(F.col(order_col), F.lit(-2 ** 63 + 1))).alias("k"), F.col(tie_col).alias("t"), F.col(order_col).alias("o"))
+    firsts = cut.groupBy(piece).agg(F.min(rank).alias(head)).select(
+        piece, F.col(f"{head}.o").alias(order_col), F.col(f"{head}.t").alias(tie_col))
     ring = Window.orderBy(piece)  # one row per range
     load = F.struct(*[F.col(c).alias(n) for c, n in carried.items()])
     ahead = enrich(firsts).select(piece, load.alias(lead)).select(piece, F.coalesce(

@@ -33,7 +33,8 @@ DATE = _START + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]
 SSN = _START + r"(?<![0-9]-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-[0-9])" + _END
 NANP = r"(?:(?<![0-9A-Za-z+])\+?1[ .-]?)?(?<![0-9A-Za-z.-])(?:\([0-9]{3}\) ?|(?<!\()[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _END
 ABROAD = r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}" + _END
-CARD = _START + r"(?<![0-9][ -])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![ -][0-9]{4})" + _END
+_GROUPS = r"(?<![0-9][ -])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![ -][0-9]{4})"
+CARD = _START + r"(?:[0-9]{13,19}|" + _GROUPS + ")" + _END
 PATTERN = "|".join((EMAIL, IPV4, DATE, SSN, NANP, ABROAD, CARD))
 _PLAIN = r"^[0-9.@/()+ -]"
 

@@ -18,8 +18,11 @@ surface, malformed byte runs into U+FFFD and drops control pieces; null ids give
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
+import sys
+import types
 from collections.abc import Iterator
 from itertools import chain
 
@@ -33,6 +36,16 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 
+def per_process(key: tuple | None, make):
+    """``make()``, once per worker process: later tasks of a reused worker find it again. No key: made anew."""
+    if key is None:
+        return make()
+    kept = sys.modules.setdefault("_convlens_llm_kept", types.ModuleType("_convlens_llm_kept")).__dict__.setdefault("table", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
     """The numbered fields of a protocol buffer message."""
     at = 0
@@ -62,10 +75,11 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 def read_model(path: str) -> dict:
     """What encoding needs of a SentencePiece model file, as plain values."""
     with open(path, "rb") as f:
-        fields = list(_fields(f.read()))
+        raw = f.read()
+    fields = list(_fields(raw))
     pieces = []
-    for _, raw in ((k, v) for k, v in fields if k == 1):
-        p = dict(_fields(raw))
+    for v in (v for k, v in fields if k == 1):
+        p = dict(_fields(v))
         pieces.append((p.get(1, b"").decode(), struct.unpack("<f", p[2])[0] if 2 in p else 0.0, p.get(3, NORMAL)))
     trainer = dict(_fields(next((v for k, v in fields if k == 2), b"")))
     norm = dict(_fields(next((v for k, v in fields if k == 3), b"")))
@@ -73,15 +87,16 @@ def read_model(path: str) -> dict:
         raise ValueError("a precompiled character map is not supported; pass its rules to Encoder instead")
     if trainer.get(3, UNIGRAM) not in (UNIGRAM, BPE):
         raise ValueError("only unigram and BPE models are supported")
-    return {"pieces": pieces, "kind": trainer.get(3, UNIGRAM), "unknown": trainer.get(44, b" \xe2\x81\x87 ").decode(),
+    return {"key": hashlib.sha1(raw).hexdigest(), "pieces": pieces, "kind": trainer.get(3, UNIGRAM), "unknown": trainer.get(44, b" \xe2\x81\x87 ").decode(),
             "prefix": bool(norm.get(3, 1)), "collapse": bool(norm.get(4, 1)), "escape": bool(norm.get(5, 1))}
 
 
 class Encoder(dict):
     """The composed transducer. As a mapping it keeps the ids of parts of texts already composed."""
 
-    def __init__(self, model: dict, rules: dict[str, str] | None = None, keep: int = 400_000):
+    def __init__(self, model: dict, rules: dict[str, str] | None = None, keep: int = 150_000):
         super().__init__()
+        self.older: dict[str, list[int]] = {}  # the parts kept before: those used again are taken over
         self.pieces, self.kind, self.keep, self.model = model["pieces"], model["kind"], keep, model
         self.rules = rules or {}
         self.rewrite = re.compile("|".join(re.escape(k) for k in sorted(self.rules, key=len, reverse=True))) if self.rules else None
@@ -153,24 +168,32 @@ class Encoder(dict):
         """BPE: the one path of finite weight. Depth first, longest piece first; what comes before a position is the
         same on every accepted path, so a position that led nowhere is not tried again."""
         n, i, before, dead = len(part), 0, -1, set()
-        length, shorter, follows = self.length, self.shorter, self.follows
+        trie, longest, length, shorter, follows = self.trie, self.longest, self.length, self.shorter, self.follows
         path: list[tuple[int, int, int]] = []  # position, piece before it, piece taken (-1: fallback)
-        k = self._match(part, 0)
+        forward = True
         while i < n:
+            if forward:  # the longest piece from here; the others follow by ``shorter``
+                node, k = trie, -1
+                for c in part[i:i + longest]:
+                    if (arc := node.get(c)) is None:
+                        break
+                    node = arc[0]
+                    if arc[1] >= 0:
+                        k = arc[1]
             while k >= 0:
-                if (i + length[k]) not in dead and (before < 0 or (
-                        ok if (ok := follows.get(before << 24 | k)) is not None else self.accepts(before, k))):
-                    break
+                if before < 0 or (ok := follows.get(before << 24 | k)) or (ok is None and self.accepts(before, k)):
+                    if not dead or (i + length[k]) not in dead:
+                        break
                 k = shorter[k]
             if k < 0 and part[i] in self.ids:
                 dead.add(i)
                 i, before, k = path.pop()
                 k = shorter[k]
+                forward = False
                 continue
             path.append((i, before, k))
             # without a piece: the character's bytes, next to which everything is accepted
-            i, before = i + (length[k] if k >= 0 else 1), k
-            k = self._match(part, i)
+            i, before, forward = i + (length[k] if k >= 0 else 1), k, True
         out: list[int] = []
         for at, _, k in path:
             if k >= 0:
@@ -206,8 +229,11 @@ class Encoder(dict):
         return out
 
     def __missing__(self, part: str) -> list[int]:
-        out = self._only_path(part) if self.kind == BPE else self._least_path(part)
+        out = self.older.get(part)
+        if out is None:
+            out = self._only_path(part) if self.kind == BPE else self._least_path(part)
         if len(self) >= self.keep:
+            self.older = dict(self)
             self.clear()
         if len(part) <= 64:
             self[part] = out
@@ -233,14 +259,22 @@ class Decoder:
     def __init__(self, model: dict):
         self.prefix = model["prefix"] or model["collapse"]
         surface = {UNKNOWN: model["unknown"], CONTROL: ""}
-        self.text = [surface.get(kind, p.replace(SPACE, " ")) if kind != BYTE else None for p, _, kind in model["pieces"]]
+        # an ASCII byte is a character by itself
+        self.text = [chr(int(p[1:-1], 16)) if kind == BYTE and int(p[1:-1], 16) < 128 else surface.get(kind, p.replace(SPACE, " ")) if kind != BYTE else None for p, _, kind in model["pieces"]]
         self.byte = {i: int(p[1:-1], 16) for i, (p, _, kind) in enumerate(model["pieces"]) if kind == BYTE}
+        self.plain = np.array([t is not None for t in self.text])
         self.unknown = model["unknown"]
-        self.unknown_id = next((i for i, p in enumerate(model["pieces"]) if p[2] == UNKNOWN), -1)
-
-    def decode(self, ids: list[int]) -> str:
+        self.spaced = {i for i, (p, _, kind) in enumerate(model["pieces"]) if p.startswith(SPACE) and kind not in (UNKNOWN, CONTROL, BYTE)}
+
+    def decode(self, ids: list[int] | np.ndarray) -> str:
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and ids.min() >= 0 and ids.max() < len(self.text) and self.plain[ids].all():
+            ids = ids.tolist()
+            first = next((k for k, i in enumerate(ids) if self.text[i]), len(ids))
+            text = "".join(map(self.text.__getitem__, ids))
+            return text[1:] if self.prefix and first < len(ids) and ids[first] in self.spaced else text
         out, run = [], bytearray()
-        for i in ids:
+        for i in ids.tolist():
             piece = self.text[i] if 0 <= i < len(self.text) else self.unknown
             if piece is None:
                 run.append(self.byte[i])
@@ -250,7 +284,7 @@ class Decoder:
                 run.clear()
             if piece:
                 # the leading space is only that of a first piece from the text
-                out.append(piece[1:] if self.prefix and not out and piece[0] == " " and i != self.unknown_id else piece)
+                out.append(piece[1:] if self.prefix and not out and i in self.spaced else piece)
         if run:
             out.append(self._bytes(run))
         return "".join(out)
@@ -289,7 +323,8 @@ def encode(df: DataFrame, model: dict, text_col: str = "text", ids_col: str = "i
     held = df.sparkSession.sparkContext.broadcast(model)  # the vocabulary: as large as the model file
 
     def make():
-        encoder = Encoder(held.value, rules)
+        key = ("encoder", held.value["key"], str(rules)) if "key" in held.value else None
+        encoder = per_process(key, lambda: Encoder(held.value, rules))
 
         def convert(texts: pa.Array) -> pa.Array:
             ids = [None if (t := x.as_py()) is None else encoder.encode(t) for x in texts]
@@ -308,10 +343,11 @@ def decode(df: DataFrame, model: dict, ids_col: str = "ids", text_col: str = "de
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        decoder = Decoder(held.value)
+        key = ("decoder", held.value["key"]) if "key" in held.value else None
+        decoder = per_process(key, lambda: Decoder(held.value))
 
         def convert(ids: pa.Array) -> pa.Array:
-            return pa.array([None if not x.is_valid else decoder.decode(x.values.to_pylist()) for x in ids], pa.string())
+            return pa.array([None if not x.is_valid else decoder.decode(x.values.to_numpy()) for x in ids], pa.string())
 
         return convert
 
