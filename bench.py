@@ -98,12 +98,13 @@ def main() -> None:
     sinks.write_phase_table(parts, f"{out}/split")
     parts = spark.read.parquet(f"{out}/split")
     fit = parts.where(F.col("split") == "fit")
+    val = parts.where(F.col("split") == "val")
     test = parts.where(F.col("split") == "test")
     models = {}
     models["logreg_full"] = timed("train_logreg", lambda: M.fit_logistic(fit, cfg, 1.0))
     timed("cv_logistic", lambda: M.cv_logistic(fit, cfg).collect())
     models["forest"] = timed("train_forest", lambda: M.fit_forest(fit, cfg))
-    models["boosted"] = timed("train_boosted", lambda: M.fit_boosted(fit, cfg)[0])
+    models["boosted"] = timed("train_boosted", lambda: M.fit_boosted(fit, cfg, val)[0])
 
     # evaluation on the test part (exact AUC, AP, best-F1, calibration)
     def evaluate():

@@ -52,28 +52,36 @@ def normalize_category(c, junk: Iterable[str], unknown: str = "unknown",
 
 
 def parse_date_lenient(c, fmt: str = "yyyy-MM-dd") -> Column:
-    """String ``yyyy-MM-dd`` -> DATE, bad values -> NULL; dates and timestamps
-    pass through (``to_date`` of a timestamp drops the time)."""
-    return F.try_to_date(col_(c).cast("string"), fmt)
+    """String ``yyyy-MM-dd`` -> DATE, bad values -> NULL; the text of a date or timestamp is one too (its time is
+    dropped), so columns of those types pass through."""
+    s = strip_ws(c)
+    stamp = F.regexp_extract(s, r"^(\d{4}-\d{2}-\d{2})[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?$", 1)
+    return F.coalesce(F.try_to_date(s, fmt), F.try_to_date(F.when(stamp != "", stamp), "yyyy-MM-dd"))
 
 
 def time_to_seconds(c) -> Column:
     """``H:MM:SS`` (hours may exceed 23, like a timedelta) or a number of
-    seconds -> rounded integer seconds; anything else -> NULL."""
+    seconds -> rounded integer seconds; anything else, NaN, infinities and
+    values beyond an integer -> NULL."""
     s = strip_ws(c)
     m = F.regexp_extract(s, r"^(\d+):(\d{1,2}):(\d{1,2}(?:\.\d+)?)$", 1)
     mi = F.regexp_extract(s, r"^(\d+):(\d{1,2}):(\d{1,2}(?:\.\d+)?)$", 2)
     se = F.regexp_extract(s, r"^(\d+):(\d{1,2}):(\d{1,2}(?:\.\d+)?)$", 3)
-    hms = (m.try_cast("bigint") * 3600 + mi.try_cast("bigint") * 60
-           + se.try_cast("double"))
+    hms = m.try_cast("double") * 3600 + mi.try_cast("double") * 60 + se.try_cast("double")
     num = s.try_cast("double")
-    total = F.when(m != "", hms).otherwise(num)
-    return F.round(total).cast("int")
+    total = F.round(F.when(m != "", hms).otherwise(num))
+    return F.when(F.abs(total) <= 2 ** 31 - 1, total).cast("int")  # false for NaN: it is greater than any number
 
 
 def numeric_lenient(c, to: str = "int") -> Column:
-    """``to_numeric(errors='coerce')``: bad text -> NULL."""
-    return strip_ws(c).try_cast(to)
+    """``to_numeric(errors='coerce')``: bad text -> NULL. For whole-number types, text such as ``3.0`` and ``1e2`` counts;
+    numbers with a fraction, NaN and values out of range give NULL."""
+    s = strip_ws(c)
+    if to in ("int", "bigint"):
+        d = s.try_cast("double")
+        most = 2 ** 31 - 1 if to == "int" else 2 ** 53
+        return F.coalesce(s.try_cast(to), F.when((F.abs(d) <= most) & (d == F.round(d)), d).cast(to))
+    return s.try_cast(to)
 
 
 def visit_hour(seconds) -> Column:

@@ -28,22 +28,12 @@ def chi2_sf(x: float, dof: int) -> float:
     if x <= 0:
         return 1.0
     half = x / 2.0
-    if dof % 2 == 0:
-        # Q(k/2, x/2) = exp(-x/2) * sum_{i < k/2} (x/2)^i / i!
-        term, total = 1.0, 1.0
-        for i in range(1, dof // 2):
-            term *= half / i
-            total += term
-        return min(1.0, math.exp(-half) * total)
-    # odd: erfc(sqrt(x/2)) + exp(-x/2) * sum_{i=1}^{(k-1)/2} (x/2)^(i-1/2) / Gamma(i+1/2)
-    total = math.erfc(math.sqrt(half))
-    term = math.sqrt(half) / math.gamma(1.5)
-    acc = 0.0
-    for i in range(1, (dof - 1) // 2 + 1):
-        if i > 1:
-            term *= half / (i - 0.5)
-        acc += term
-    return min(1.0, total + math.exp(-half) * acc)
+    # even dof: exp(-x/2) * sum_{i < k/2} (x/2)^i / i!
+    # odd dof: erfc(sqrt(x/2)) + exp(-x/2) * sum_{i=1}^{(k-1)/2} (x/2)^(i-1/2) / Gamma(i+1/2)
+    # each term as its logarithm, so that neither large x nor large dof overflows
+    first, tail = (0.0, 0.0) if dof % 2 == 0 else (0.5, math.erfc(math.sqrt(half)))
+    logs = [(i + first) * math.log(half) - math.lgamma(i + first + 1) - half for i in range(dof // 2)]
+    return min(1.0, tail + math.fsum(math.exp(v) for v in logs if v > -745))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -79,35 +79,48 @@ def clean(sessions: DataFrame, target: DataFrame | None, cfg: ConversionConfig =
     return df
 
 
+def reject_empty(records: DataFrame) -> DataFrame:
+    """The records; an empty batch is an error, as scoring nothing is a caller's mistake."""
+    if records.isEmpty():
+        raise ValueError("the batch holds no records")
+    return records
+
+
 def validate_contract(records: DataFrame, json_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split JSON visit records into (accepted, rejected).
 
-    Required fields must be present and non-null strings; ``visit_number``
-    must be >= 1. Defaults apply only when a key is *absent* (an explicit null
-    stays null). Extra keys are ignored. Rejected rows carry the raw JSON and an
-    array of reasons.
+    Text fields must be JSON strings (or null, if not required): numbers, booleans, arrays and objects are rejected.
+    ``visit_number`` must be a whole number >= 1, as an integer, an integral float or integer text (``2``, ``2.0``, ``"2"``).
+    Defaults apply only when a key is *absent* (an explicit null stays null). Extra keys are ignored.
+    Rejected rows carry the raw JSON and an array of reasons.
     """
+    # variant keeps each value's JSON type; what is no JSON object gives NULL
+    v = F.try_parse_json(F.col(json_col))
     keys = F.from_json(F.col(json_col), "map<string,string>")
-    parsed = F.from_json(F.col(json_col), CONTRACT_SCHEMA)
-    df = records.select(F.col(json_col), keys.alias("_m"), parsed.alias("_r"))
-    reasons = []
-    for f in REQUIRED_INPUT_FIELDS:
-        reasons.append(F.when(F.col(f"_r.{f}").isNull(), F.lit(f"missing:{f}")))
-    vn_raw = F.col("_m")["visit_number"]
-    vn_present = F.map_contains_key(F.col("_m"), F.lit("visit_number"))
-    vn_num = vn_raw.try_cast("int")
-    reasons.append(F.when(vn_present & vn_raw.isNotNull() & (vn_num.isNull() | (vn_num < 1)),
-                          F.lit("invalid:visit_number")))
-    reasons.append(F.when(F.col("_m").isNull(), F.lit("invalid:json")))
-    reason_arr = F.filter(F.array(*reasons), lambda x: x.isNotNull())
-    df = df.withColumn("_reasons", reason_arr)
-    fields = []
+    df = records.select(F.col(json_col), keys.alias("_m"), v.alias("_v"))
+    field = lambda name, kind: F.try_variant_get(F.col("_v"), f"$.{name}", kind)
+    is_text = lambda name: F.schema_of_variant(F.variant_get(F.col("_v"), f"$.{name}", "variant")) == "STRING"
+    missing, invalid, fields = [], [], []
+    number = F.coalesce(field("visit_number", "string"), F.lit(None).cast("string"))
+    whole = C.numeric_lenient(number, "int")
     for fld in CONTRACT_SCHEMA.fields:
-        c = F.col(f"_r.{fld.name}")
-        if fld.name in INPUT_DEFAULTS:
-            present = F.map_contains_key(F.col("_m"), F.lit(fld.name))
-            c = F.when(present, c).otherwise(F.lit(INPUT_DEFAULTS[fld.name]).cast(fld.dataType))
-        fields.append(c.alias(fld.name))
+        name, present = fld.name, F.map_contains_key(F.col("_m"), F.lit(fld.name))
+        given = present & F.col("_m")[name].isNotNull()
+        if name == "visit_number":
+            # integer text must be plain digits; JSON numbers may carry a zero fraction
+            fine = whole.isNotNull() & (whole >= 1) & (~is_text(name) | number.rlike(r"^\s*[+-]?\d+\s*$"))
+            invalid.append(F.when(given & ~F.coalesce(fine, F.lit(False)), F.lit("invalid:visit_number")))
+            c = whole
+        else:
+            if name in REQUIRED_INPUT_FIELDS:
+                missing.append(F.when(F.col("_m").isNotNull() & ~F.coalesce(given, F.lit(False)), F.lit(f"missing:{name}")))
+            invalid.append(F.when(given & ~F.coalesce(is_text(name), F.lit(False)), F.lit(f"invalid:{name}")))
+            c = field(name, "string").cast(fld.dataType)
+        if name in INPUT_DEFAULTS:
+            c = F.when(present, c).otherwise(F.lit(INPUT_DEFAULTS[name]).cast(fld.dataType))
+        fields.append(c.alias(name))
+    broken = F.when(F.col("_m").isNull(), F.lit("invalid:json"))
+    df = df.withColumn("_reasons", F.filter(F.array(*missing, *invalid, broken), lambda x: x.isNotNull()))
     accepted = df.where(F.size("_reasons") == 0).select(*fields)
     rejected = df.where(F.size("_reasons") > 0).select(F.col(json_col).alias("record"),
                                                         F.col("_reasons").alias("reasons"))

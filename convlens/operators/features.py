@@ -259,18 +259,6 @@ class PopulationScalerModel(Model, _ColsParams, DefaultParamsReadable, DefaultPa
         return df.withColumns(out)
 
 
-def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Standardisation as pure expressions over a scalar aggregate (used by the
-    oracle-checked query)."""
-    stats = df.agg(*[x for c in cols for x in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))])
-    out = {}
-    for c in cols:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
-        out[c] = (F.col(c) - m) / F.when(s == 0, F.lit(1.0)).otherwise(s)
-    return df.withColumns(out)
-
-
 def median_impute(df: DataFrame, cols: list[str]) -> DataFrame:
     """Exact medians from ONE aggregate (len(cols) numbers reach the driver),
     applied as literals."""
@@ -282,11 +270,9 @@ def one_hot_long(df: DataFrame, vocab: DataFrame, cats: list[str], key: str = "s
     """One-hot in long (sparse) form: one (key, feature, value) row per active
     indicator; values outside the fitted vocabulary (unseen) give no row, i.e.
     an all-zero block. ``vocab`` is (feature, value) -- a few values per column
-    after rare grouping; it is broadcast only after a size check."""
-    from convlens.session import bounded_broadcast
-
+    after rare grouping; AQE broadcasts it by its runtime size."""
     long = df.select(key, *[F.col(c).cast("string").alias(c) for c in cats]).unpivot([key], cats, "feature", "value")
-    return long.join(bounded_broadcast(vocab.select("feature", "value").distinct()), ["feature", "value"], "inner")
+    return long.join(vocab.select("feature", "value").distinct(), ["feature", "value"], "inner")
 
 
 def vocabulary(df: DataFrame, cats: list[str]) -> DataFrame:
@@ -295,22 +281,30 @@ def vocabulary(df: DataFrame, cats: list[str]) -> DataFrame:
     return long.where(F.col("value").isNotNull()).distinct()
 
 
-def target_stats(df: DataFrame, col: str, target: str = "target") -> DataFrame:
-    return df.groupBy(F.col(col).cast("string").alias("value")).agg(
-        F.count(F.lit(1)).cast("double").alias("_cnt"), F.sum(F.col(target).cast("double")).alias("_pos"))
+def _long_stats(df: DataFrame, cols: list[str], target: str, by: list[str]) -> DataFrame:
+    """(feature, value, *by, cnt, pos) of all columns from one aggregate, cut from its lineage: the joins below read it as a
+    small table instead of repeating the aggregate per column."""
+    from convlens.session import cut_lineage
+
+    long = df.select(*by, F.col(target).cast("double").alias("_y"), *[F.col(c).cast("string").alias(c) for c in cols])
+    stats = long.unpivot([*by, "_y"], cols, "_feature", "_value").groupBy("_feature", "_value", *by).agg(
+        F.count(F.lit(1)).cast("double").alias("_cnt"), F.sum("_y").alias("_pos"))
+    return cut_lineage(stats)
 
 
 def target_encode(train: DataFrame, apply_to: DataFrame, cols: list[str], target: str = "target",
                   smoothing: float = 1.0, suffix: str = "_te") -> DataFrame:
     """Smoothed target mean per category, fitted on ``train``:
     (pos + smoothing * prior) / (n + smoothing); unseen and NULL -> prior.
-    The per-category table grows with cardinality, so it is joined normally
-    (AQE broadcasts it only when its runtime size is small)."""
-    prior = train.agg(F.avg(F.col(target).cast("double"))).scalar()
+    The per-category table grows with cardinality, so it is joined normally: AQE broadcasts it when its runtime
+    size is small, which also spares the hot categories a shuffle, and splits hot ones otherwise."""
+    stats = _long_stats(train, cols, target, [])
+    total = stats.where(F.col("_feature") == cols[0]).agg(F.sum("_pos"), F.sum("_cnt")).first()
+    prior = F.lit(total[0] / total[1] if total[1] else None).cast("double")
     out = apply_to
     for c in cols:
-        st = target_stats(train, c, target).select(
-            F.col("value").alias(f"_v_{c}"),
+        st = stats.where(F.col("_feature") == c).select(
+            F.col("_value").alias(f"_v_{c}"),
             ((F.col("_pos") + smoothing * prior) / (F.col("_cnt") + smoothing)).alias(f"_e_{c}"))
         out = out.join(st, F.col(c).cast("string") == F.col(f"_v_{c}"), "left") \
                  .withColumn(c + suffix, F.coalesce(F.col(f"_e_{c}"), prior)).drop(f"_v_{c}", f"_e_{c}")
@@ -321,32 +315,28 @@ def target_encode_oof(df: DataFrame, cols: list[str], key: str = "session_id", t
                       folds: int = 5, smoothing: float = 1.0, seed: int = 42, suffix: str = "_te") -> DataFrame:
     """Out-of-fold encoding for training rows: a row in fold f is encoded with
     statistics of the other folds (category total minus its own fold), so its
-    own label never enters its feature. Folds are key hashes; the per
-    (category, fold) table is aggregated once and differenced by a window
-    bounded by ``folds`` rows per category."""
+    own label never enters its feature. Folds are key hashes; all columns' (category, fold) counts come from one
+    aggregate and are differenced by a window bounded by ``folds`` rows per category."""
     from convlens.operators.splits import hash_unit
 
     d = df.withColumn("_fold", hash_unit(key, seed, "fold") % folds)
-    fold_n = d.groupBy("_fold").agg(F.count(F.lit(1)).cast("double").alias("_fn"),
-                                    F.sum(F.col(target).cast("double")).alias("_fp"))
-    tot_n = fold_n.agg(F.sum("_fn")).scalar()
-    tot_p = fold_n.agg(F.sum("_fp")).scalar()
-    # prior of the other folds, one row per fold (bounded by ``folds``)
-    priors = fold_n.select("_fold", ((tot_p - F.col("_fp")) / (tot_n - F.col("_fn"))).alias("_prior"))
-    out = d.join(F.broadcast(priors), "_fold", "left")
+    stats = _long_stats(d, cols, target, ["_fold"])
+    per_fold = {r[0]: (r[1], r[2]) for r in stats.where(F.col("_feature") == cols[0]).groupBy("_fold").agg(
+        F.sum("_pos"), F.sum("_cnt")).collect()}  # one row per fold
+    pos, cnt = (sum(v[i] for v in per_fold.values()) for i in (0, 1))
+    prior = F.lit(None).cast("double")
+    for f, (p, n) in per_fold.items():
+        prior = F.when(F.col("_fold") == f, F.lit((pos - p) / (cnt - n) if cnt > n else None).cast("double")).otherwise(prior)
+    w = Window.partitionBy("_feature", "_value")
+    others = stats.select("_feature", "_value", F.col("_fold").alias("_f"), (F.sum("_cnt").over(w) - F.col("_cnt")).alias("_oc"),
+                          (F.sum("_pos").over(w) - F.col("_pos")).alias("_op"))
+    out = d
     for c in cols:
-        v = F.col(c).cast("string")
-        st = d.groupBy(v.alias(f"_v_{c}"), "_fold").agg(F.count(F.lit(1)).cast("double").alias("_cnt"),
-                                                        F.sum(F.col(target).cast("double")).alias("_pos"))
-        w = Window.partitionBy(f"_v_{c}")
-        st = st.select(f"_v_{c}", F.col("_fold").alias(f"_f_{c}"),
-                       (F.sum("_cnt").over(w) - F.col("_cnt")).alias(f"_oc_{c}"),
-                       (F.sum("_pos").over(w) - F.col("_pos")).alias(f"_op_{c}"))
-        out = out.join(st, (v.eqNullSafe(F.col(f"_v_{c}"))) & (F.col("_fold") == F.col(f"_f_{c}")), "left")
-        enc = (F.col(f"_op_{c}") + smoothing * F.col("_prior")) / (F.col(f"_oc_{c}") + smoothing)
-        out = out.withColumn(c + suffix, F.coalesce(enc, F.col("_prior"))) \
-                 .drop(f"_v_{c}", f"_f_{c}", f"_oc_{c}", f"_op_{c}")
-    return out.drop("_fold", "_prior")
+        st = others.where(F.col("_feature") == c).select("_value", "_f", "_oc", "_op")
+        out = out.join(st, F.col(c).cast("string").eqNullSafe(F.col("_value")) & (F.col("_fold") == F.col("_f")), "left")
+        enc = (F.col("_op") + smoothing * prior) / (F.col("_oc") + smoothing)
+        out = out.withColumn(c + suffix, F.coalesce(enc, prior)).drop("_value", "_f", "_oc", "_op")
+    return out.drop("_fold")
 
 
 # Where each engineered feature comes from and how the model sees it

@@ -92,15 +92,3 @@ def union_distinct_ids(*frames: DataFrame, key: str = "session_id") -> DataFrame
         ids = f.select(key)
         out = ids if out is None else out.unionByName(ids)
     return out.where(F.col(key).isNotNull()).distinct()
-
-
-def group_rare(df: DataFrame, top_values: DataFrame, col: str, other: str = "other",
-               value_col: str = "value") -> DataFrame:
-    """Replace values of ``col`` that are not in the learned ``top_values``
-    (one row per kept value) by ``other``; NULL and unseen -> ``other``.
-    The kept set is N rows per column; it is broadcast only after a size check."""
-    from convlens.session import bounded_broadcast
-
-    keep = top_values.select(F.col(value_col).alias("_keep")).distinct()
-    joined = df.join(bounded_broadcast(keep), F.col(col) == F.col("_keep"), "left")
-    return joined.withColumn(col, F.when(F.col("_keep").isNull(), F.lit(other)).otherwise(F.col(col))).drop("_keep")

@@ -14,8 +14,9 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convlens.contracts import CATEGORICAL_FEATURES, NUMERIC_FEATURES, ConversionConfig
@@ -84,14 +85,9 @@ def _te_stages(cfg: ConversionConfig) -> tuple[list, list[str]]:
     return pre, te
 
 
-def fit_boosted(train: DataFrame, cfg: ConversionConfig, max_iter: int = 1500, depth: int = 6, lr: float = 0.05,
-                val_size: float = 0.1, smoothing: float = 1.0, tol: float = 0.01) -> tuple[PipelineModel, int]:
-    """Gradient-boosted trees on target-encoded categories + numeric features.
-
-    Training rows get *out-of-fold* encodings (their own label never enters
-    their feature); the encoder stored in the model is fitted on all training
-    rows and is what scoring uses. Early stopping on a hash-chosen validation
-    part (``validationIndicatorCol``). Returns (model, trees used)."""
+def _boosting_frame(train: DataFrame, cfg: ConversionConfig, smoothing: float) -> tuple[DataFrame, list]:
+    """Training rows with *out-of-fold* target encodings (a row's own label never enters its feature) and the stages
+    that turn raw rows into the same columns at scoring, where the encoder is fitted on all training rows."""
     pre, te = _te_stages(cfg)
     pre_model = fit_featurized(train, pre)
     base = cut_lineage(pre_model.transform(train))
@@ -104,24 +100,48 @@ def fit_boosted(train: DataFrame, cfg: ConversionConfig, max_iter: int = 1500, d
     nums = list(NUMERIC_FEATURES)
     imp = FE.MedianImputer(inputCols=nums).fit(oof)
     asm = VectorAssembler(inputCols=nums + te, outputCol="features", handleInvalid="keep")
-    data = asm.transform(imp.transform(oof))
-    data = with_class_weight(data, "target") \
-        .withColumn("is_val", hash_unit("session_id", cfg.seed, "es") < int(round(val_size * 10000)))
-    # boosting runs one job per tree: read a checkpoint, not the encoding lineage
-    data = cut_lineage(data.select("features", "target", "weight", "is_val"))
-    gbt = GBTClassifier(featuresCol="features", labelCol="target", weightCol="weight", maxIter=max_iter,
-                        maxDepth=depth, stepSize=lr, seed=cfg.seed, validationTol=tol, featureSubsetStrategy="all")
-    if val_size > 0:  # early stopping on the hash-chosen validation rows
-        gbt.setValidationIndicatorCol("is_val")
-    gbt_model = gbt.fit(data)
-    trees = gbt_model.getNumTrees
-    model = PipelineModel(stages=[*pre_model.stages, enc_model, imp, asm, gbt_model])
-    return model, trees
+    data = with_class_weight(asm.transform(imp.transform(oof)), "target")
+    # boosting runs jobs per tree: read a checkpoint, not the encoding lineage
+    return cut_lineage(data.select("features", "target", "weight")), [*pre_model.stages, enc_model, imp, asm]
+
+
+def _boost(data: DataFrame, cfg: ConversionConfig, trees: int, depth: int, lr: float):
+    return GBTClassifier(featuresCol="features", labelCol="target", weightCol="weight", maxIter=trees, maxDepth=depth,
+                         stepSize=lr, seed=cfg.seed, featureSubsetStrategy="all").fit(data)
+
+
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """(trees up to the best loss, whether ``patience`` further ones brought no better)."""
+    best = min(range(len(losses)), key=losses.__getitem__)
+    return best + 1, len(losses) - best - 1 >= patience
+
+
+def fit_boosted(train: DataFrame, cfg: ConversionConfig, val: DataFrame | None = None, max_iter: int = 1500, depth: int = 6,
+                lr: float = 0.05, patience: int = 20, smoothing: float = 1.0) -> tuple[PipelineModel, int]:
+    """Gradient-boosted trees on target-encoded categories + numeric features. Returns (model, trees used).
+
+    With ``val``, the loss on it after every tree is read off one fit; the fit is repeated with twice the trees until
+    ``patience`` trees past the best one bring no gain (Spark's own early stop ends at the first tree that does not gain), and the
+    model is the fit with the best number of trees. Without ``val`` it has ``max_iter`` trees."""
+    data, stages = _boosting_frame(train, cfg, smoothing)
+    if val is None:
+        return PipelineModel(stages=[*stages, _boost(data, cfg, max_iter, depth, lr)]), max_iter
+    held = cut_lineage(PipelineModel(stages=stages).transform(val).select("features", "target", F.lit(1.0).alias("weight")))
+    trees = min(max_iter, 2 * patience)
+    while True:
+        gbt = _boost(data, cfg, trees, depth, lr)
+        best, done = best_round(gbt.evaluateEachIteration(held), patience)
+        if done or trees >= max_iter:
+            break
+        trees = min(max_iter, 2 * trees)
+    if best < trees:  # the same seed gives the same first trees
+        gbt = _boost(data, cfg, best, depth, lr)
+    return PipelineModel(stages=[*stages, gbt]), best
 
 
 def refit_boosted(train: DataFrame, cfg: ConversionConfig, n_trees: int, **kw) -> PipelineModel:
     """Refit on all of train at the early-stopped size (no validation hold-out)."""
-    model, _ = fit_boosted(train, cfg, max_iter=max(1, n_trees), val_size=0.0, **kw)
+    model, _ = fit_boosted(train, cfg, max_iter=max(1, n_trees), **kw)
     return model
 
 
@@ -168,52 +188,32 @@ def feature_importance(model: PipelineModel, sample: DataFrame) -> DataFrame:
     return sample.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
-def roc_auc_by_group(df: DataFrame, group: str, score: str = "score", label: str = "target") -> DataFrame:
-    """Exact AUC per group. Each group is a capped sample (the permutation
-    operator's row cap), so the per-group window is bounded by that cap."""
-    st = df.groupBy(group, F.col(score).alias("s")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    w = Window.partitionBy(group).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    cum = st.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    return cum.groupBy(group).agg(
-        (F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg")))
-        .alias("roc_auc"))
-
-
-def permutation_importance(model: PipelineModel, data: DataFrame, columns: list[str], repeats: int = 5,
-                           max_rows: int = 15_000, seed: int = 42, key: str = "session_id") -> DataFrame:
-    """Mean ROC-AUC drop when one raw input column is shuffled, ``repeats``
-    times per column. All variants are one DataFrame (variant id exploded
-    from a literal array), scored by one ``transform``; a permutation pairs
-    row ranks inside each variant (window bounded by ``max_rows``)."""
-    from convlens.operators.splits import sample_n
-
-    base = sample_n(data, max_rows, key, seed)
-    w_all = Window.partitionBy(F.lit(0)).orderBy(key)  # <= max_rows rows
-    base = base.withColumn("_rid", F.row_number().over(w_all))
-    variants = [(c, r) for c in columns for r in range(repeats)]
-    vid = F.explode(F.array(*[F.lit(i) for i in range(len(variants) + 1)]))  # 0 = unpermuted
-    multi = base.withColumn("_variant", vid)
-    perm_key = F.md5(F.concat_ws(":", F.col("_rid").cast("string"), F.col("_variant").cast("string"),
-                                 F.lit(str(seed))))
-    w_perm = Window.partitionBy("_variant").orderBy(perm_key, "_rid")
-    multi = multi.withColumn("_src", F.when(F.col("_variant") == 0, F.col("_rid"))
-                             .otherwise(F.row_number().over(w_perm)))
-    donors = multi.select("_variant", F.col("_rid").alias("_src"),
-                          *[F.col(c).alias(f"_d_{c}") for c in columns])
-    joined = multi.join(donors, ["_variant", "_src"], "inner")
-    repl = {}
+def permutation_importance(model: PipelineModel, data: DataFrame, columns: list[str], repeats: int = 1,
+                           seed: int = 42, key: str = "session_id") -> DataFrame:
+    """Mean exact ROC-AUC drop when one raw input column is shuffled over all rows, ``repeats`` times per column.
+
+    A shuffle pairs the rows' ranks by their key with the ranks by a keyed hash. Ranks come from ``ordered_prefix`` over
+    hashes, so no task holds more than one range of rows; the variants run one after another, each with its own AUC."""
+    from convlens.operators.evaluation import roc_auc_exact
+    from convlens.operators.ordered import ordered_prefix
+
+    def ranked(df: DataFrame, salt: str) -> DataFrame:
+        h = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(f"{seed}:{salt}")), 11).cast("double")
+        one = df.withColumn("_h", h).withColumn("_one", F.lit(1))
+        return ordered_prefix(one, "_h", ["_one"]).withColumnRenamed("cum__one", "_rank").drop("_h", "_one")
+
+    base = cut_lineage(ranked(data, "base"))
+    auc = lambda df: roc_auc_exact(positive_probability(model.transform(df)).select("score", F.col("target").alias("label"))).first()[0]
+    whole = auc(base.drop("_rank"))
+    rows = []
     for c in columns:
-        ids = [i + 1 for i, (cc, _) in enumerate(variants) if cc == c]
-        repl[c] = F.when(F.col("_variant").isin(ids), F.col(f"_d_{c}")).otherwise(F.col(c))
-    permuted = joined.withColumns(repl).drop(*[f"_d_{c}" for c in columns], "_src")
-    scored = positive_probability(model.transform(permuted))
-    auc = roc_auc_by_group(scored, "_variant")
-    vmap = data.sparkSession.createDataFrame([(i + 1, c) for i, (c, _) in enumerate(variants)],
-                                             "_variant int, feature string")
-    base_auc = auc.where(F.col("_variant") == 0).select("roc_auc").scalar()
-    return (auc.join(F.broadcast(vmap), "_variant")  # one row per variant
-            .groupBy("feature").agg(C.round6(base_auc - F.avg("roc_auc")).alias("importance")))
+        drops = []
+        for r in range(repeats):
+            donors = ranked(data.select(key, c), f"{c}:{r}").select("_rank", F.col(c).alias("_donor"))
+            shuffled = base.join(donors, "_rank").withColumn(c, F.col("_donor")).drop("_donor", "_rank")
+            drops.append(whole - auc(shuffled))
+        rows.append((c, round(sum(drops) / len(drops), 6)))
+    return data.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
 def linear_contributions(model: PipelineModel, data: DataFrame) -> DataFrame:
@@ -222,16 +222,13 @@ def linear_contributions(model: PipelineModel, data: DataFrame) -> DataFrame:
     beta = lr.coefficients.toArray().tolist()
     prepared = PipelineModel(stages=model.stages[:-1]).transform(data)
     names = feature_names(prepared)
-    arr = prepared.select(vector_to_array("features").alias("x"))
-    long = arr.select(F.posexplode("x").alias("j", "v"))
-    means = long.groupBy("j").agg(F.avg("v").alias("mu"))
-    coef = data.sparkSession.createDataFrame([(i, float(b), names[i] if i < len(names) else f"f{i}")
-                                              for i, b in enumerate(beta)], "j int, beta double, feature string")
-    # coefficient table: one row per slot (bounded by the model width)
-    c2 = means.join(F.broadcast(coef), "j")
-    contrib = long.join(F.broadcast(c2.select("j", "beta", "mu", "feature")), "j") \
-                  .select("feature", F.abs(F.col("beta") * (F.col("v") - F.col("mu"))).alias("c"))
-    return contrib.groupBy("feature").agg(C.round6(F.avg("c")).alias("mean_abs_contribution"))
+    mu = prepared.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray().tolist()
+    # one aggregate per slot over the dense array; as many numbers as slots reach the driver
+    x = vector_to_array("features")
+    slots = [F.avg(F.abs(F.lit(float(b)) * (F.get(F.col("x"), F.lit(j)) - F.lit(float(m))))).alias(f"s{j}") for j, (b, m) in enumerate(zip(beta, mu))]
+    row = prepared.select(x.alias("x")).agg(*slots).first()
+    return data.sparkSession.createDataFrame(
+        [(names[j] if j < len(names) else f"f{j}", round(float(v), 6)) for j, v in enumerate(row)], "feature string, mean_abs_contribution double")
 
 
 def score_batch(model: PipelineModel, records: DataFrame, threshold: float, version: str,

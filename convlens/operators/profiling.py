@@ -74,10 +74,11 @@ def ingestion_summary(sessions: DataFrame, hits: DataFrame, cfg: ConversionConfi
     return flagged.agg(
         n_s.cast("bigint").alias("n_sessions"),
         F.count_distinct(F.when(is_s, F.col(key))).cast("bigint").alias("n_unique_ids"),
-        F.count_if(is_s & F.col("_t").isNotNull()).cast("bigint").alias("n_target"),
+        # distinct ids: a session row that occurs twice is one session
+        F.count_distinct(F.when(is_s & F.col("_t").isNotNull(), F.col(key))).cast("bigint").alias("n_target"),
         F.round(F.count_if(is_s & F.col("_t").isNotNull()) / n_s, 6).alias("cr"),
-        F.count_if(F.col("_h").isNotNull()).cast("bigint").alias("n_hit_sessions"),
-        F.count_if(is_s & F.col("_h").isNotNull()).cast("bigint").alias("n_matched_hit_sessions"),
+        F.count_distinct(F.when(F.col("_h").isNotNull(), F.col(key))).cast("bigint").alias("n_hit_sessions"),
+        F.count_distinct(F.when(is_s & F.col("_h").isNotNull(), F.col(key))).cast("bigint").alias("n_matched_hit_sessions"),
         F.round(F.count_if(is_s & F.col("_h").isNull()) * 100.0 / n_s, 6).alias("pct_without_hits"),
         F.min(date_col).alias("date_min"),
         F.max(date_col).alias("date_max"),

@@ -75,19 +75,26 @@ def sample_n(df: DataFrame, n: int, key: str = "session_id", seed: int = 42) ->
     return kept.orderBy("_h", key).limit(n).drop("_h")
 
 
+def _class_counts(df: DataFrame, target: str) -> dict:
+    """Rows per class, one aggregate (as many rows as classes)."""
+    return {r[0]: r[1] for r in df.groupBy(target).agg(F.count(F.lit(1))).collect()}
+
+
 def class_weights(df: DataFrame, target: str = "target") -> DataFrame:
     """Per class: n, balanced weight n / (k * n_c), and max_c(n_c) / n_c.
     One row per class (bounded by the number of classes)."""
-    per = df.groupBy(target).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    tot = per.agg(F.sum("n")).scalar()
-    k = per.agg(F.count(F.lit(1))).scalar()
-    mx = per.agg(F.max("n")).scalar()
-    return per.select(target, "n", C.round6(tot / (k * F.col("n"))).alias("weight_balanced"),
-                      C.round6(mx / F.col("n")).alias("weight_max_ratio"))
+    per = _class_counts(df, target)
+    total, most, k = sum(per.values()), max(per.values(), default=0), len(per)
+    rows = [(c, n, total / (k * n), most / n) for c, n in per.items()]
+    kind = df.schema[target].dataType.simpleString()
+    out = df.sparkSession.createDataFrame(rows, f"`{target}` {kind}, n bigint, b double, m double")
+    return out.select(target, "n", C.round6("b").alias("weight_balanced"), C.round6("m").alias("weight_max_ratio"))
 
 
 def with_class_weight(df: DataFrame, target: str = "target", out: str = "weight") -> DataFrame:
-    """Attach the balanced class weight (the per-class table has one row per
-    class: a size-bounded broadcast)."""
-    w = class_weights(df, target).select(target, F.col("weight_balanced").alias(out))
-    return df.join(F.broadcast(w), target, "left")
+    """Attach the exact balanced class weight, as literals per class."""
+    per = _class_counts(df, target)
+    weight = F.lit(None).cast("double")
+    for c, n in per.items():
+        weight = F.when(F.col(target).eqNullSafe(F.lit(c)), F.lit(sum(per.values()) / (len(per) * n))).otherwise(weight)
+    return df.withColumn(out, weight)

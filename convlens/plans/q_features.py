@@ -121,7 +121,7 @@ def group_rare(spark, sf):
     return model.transform(test).select("session_id", *TOPN)
 
 
-_IMP = ["visit_hour", "visit_day", "screen_w", "screen_h"]
+_IMP = list(NUMERIC_FEATURES)
 
 
 @register("impute_median", WS + """
@@ -132,7 +132,7 @@ def impute_median(spark, sf):
     return FE.MedianImputer(inputCols=_IMP).fit(train).transform(test).select("session_id", *_IMP)
 
 
-_STD = ["visit_hour", "visit_number_log", "screen_w", "is_organic"]
+_STD = list(NUMERIC_FEATURES)
 
 
 @register("standardize", WS + """
@@ -142,7 +142,7 @@ SELECT session_id, """ + ", ".join(
     + " FROM train, s")
 def standardize(spark, sf):
     train, _ = train_test(spark, sf)
-    out = FE.standardize(train, _STD)
+    out = FE.PopulationScaler(inputCols=_STD).fit(train).transform(train)
     return out.select("session_id", *[C.round6(c).alias(c) for c in _STD])
 
 
@@ -159,7 +159,7 @@ def one_hot_long(spark, sf):
     return FE.one_hot_long(model.transform(test), vocab, CATS).select("session_id", "feature", "value")
 
 
-_TE = ["utm_source", "geo_city", "device_brand"]
+_TE = list(CATS)
 
 
 @register("target_encode", WS + ", prior AS (SELECT avg(CAST(target AS DOUBLE)) AS p FROM train), " + ", ".join(

@@ -193,8 +193,10 @@ def missing_before_after(spark, sf):
     return profiling.missing_before_after(frames.sessions(spark, sf), frames.dataset(spark, sf))
 
 
-_PROFILE_COLS = ("session_id", "client_id", "visit_date", "visit_time", "visit_number", "utm_source",
-                 "utm_medium", "device_category", "device_screen_resolution", "geo_city", "target")
+_PROFILE_TYPES = {"visit_date": "date", "visit_time": "int", "visit_number": "int", "target": "int"}
+_PROFILE_COLS = ("session_id", "client_id", "visit_date", "visit_time", "visit_number", "utm_source", "utm_medium",
+                 "utm_campaign", "utm_adcontent", "utm_keyword", "device_category", "device_os", "device_brand",
+                 "device_screen_resolution", "device_browser", "geo_country", "geo_city", "target")
 
 
 @register("column_profile", with_(*BASE) + """
@@ -205,9 +207,7 @@ d AS (UNPIVOT (SELECT """ + ", ".join(f"count(DISTINCT {c}) AS {c}" for c in _PR
    FROM dataset) ON COLUMNS(*) INTO NAME "column" VALUE n_distinct)
 SELECT n."column", t.dtype, round(n.null_pct, 6) AS null_pct, CAST(d.n_distinct AS BIGINT) AS n_distinct
 FROM n JOIN d ON n."column" = d."column"
-JOIN (VALUES ('session_id','string'),('client_id','string'),('visit_date','date'),('visit_time','int'),
-             ('visit_number','int'),('utm_source','string'),('utm_medium','string'),('device_category','string'),
-             ('device_screen_resolution','string'),('geo_city','string'),('target','int')) t(col, dtype)
+JOIN (VALUES """ + ", ".join(f"('{c}', '{_PROFILE_TYPES.get(c, 'string')}')" for c in _PROFILE_COLS) + """) t(col, dtype)
   ON t.col = n."column"
 """)
 def column_profile(spark, sf):
@@ -218,10 +218,10 @@ def column_profile(spark, sf):
 , hs AS (SELECT DISTINCT session_id FROM hits WHERE session_id IS NOT NULL)
 SELECT CAST(count(s.session_id) AS BIGINT) AS n_sessions,
        CAST(count(DISTINCT s.session_id) AS BIGINT) AS n_unique_ids,
-       CAST(count(s.session_id) FILTER (WHERE p.session_id IS NOT NULL) AS BIGINT) AS n_target,
+       CAST(count(DISTINCT s.session_id) FILTER (WHERE p.session_id IS NOT NULL) AS BIGINT) AS n_target,
        round(count(s.session_id) FILTER (WHERE p.session_id IS NOT NULL) / count(s.session_id), 6) AS cr,
-       CAST(count(hs.session_id) AS BIGINT) AS n_hit_sessions,
-       CAST(count(s.session_id) FILTER (WHERE hs.session_id IS NOT NULL) AS BIGINT) AS n_matched_hit_sessions,
+       CAST(count(DISTINCT hs.session_id) AS BIGINT) AS n_hit_sessions,
+       CAST(count(DISTINCT s.session_id) FILTER (WHERE hs.session_id IS NOT NULL) AS BIGINT) AS n_matched_hit_sessions,
        round(count(s.session_id) FILTER (WHERE hs.session_id IS NULL) * 100.0 / count(s.session_id), 6)
          AS pct_without_hits,
        min(s.visit_date) AS date_min, max(s.visit_date) AS date_max,
@@ -264,15 +264,19 @@ def cleaning_summary(spark, sf):
     "device_os", "device_brand", "device_screen_resolution", "device_browser", "geo_country", "geo_city"))
     + """ AS DOUBLE) AS nullcat
    FROM dataset)
-SELECT 'row_count_kept' AS rule, n_rows AS value, 1 AS passed FROM agg
+SELECT 'row_count_kept' AS rule, n_rows AS value,
+       CAST(n_rows = (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_sessions)) AS INTEGER) AS passed FROM agg
 UNION ALL SELECT 'key_unique', dup, CAST(dup = 0 AS INTEGER) FROM agg
 UNION ALL SELECT 'target_binary', bad, CAST(bad = 0 AS INTEGER) FROM agg
 UNION ALL SELECT 'cr_in_range', round(cr, 6), CAST(cr BETWEEN 0.0 AND 1.0 AS INTEGER) FROM agg
 UNION ALL SELECT 'no_null_category', nullcat, CAST(nullcat = 0 AS INTEGER) FROM agg
-UNION ALL SELECT 'no_leak_columns', 0.0, 1 FROM agg
+UNION ALL SELECT 'no_leak_columns', CAST(l.n AS DOUBLE), CAST(l.n = 0 AS INTEGER)
+FROM (SELECT count(*) AS n FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM dataset LIMIT 1) ON COLUMNS(*) INTO NAME c VALUE v)
+      WHERE c LIKE 'hit\\_%' ESCAPE '\\' OR c LIKE 'event\\_%' ESCAPE '\\') l
 """)
 def quality_checks(spark, sf):
-    return profiling.quality_checks(frames.dataset(spark, sf), cfg=CFG)
+    kept = frames.sessions(spark, sf).distinct().count()
+    return profiling.quality_checks(frames.dataset(spark, sf), n_expected=kept, cfg=CFG)
 
 
 # --- C: joins ------------------------------------------------------------------------

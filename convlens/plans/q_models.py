@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from convlens.contracts import MODEL_INPUT_COLUMNS
+from convlens.contracts import CATEGORICAL_FEATURES, MODEL_INPUT_COLUMNS, NUMERIC_FEATURES
 from convlens.operators import evaluation as EV
 from convlens.operators import modeling as M
 from convlens.operators import splits as SP
@@ -50,11 +50,11 @@ def model(spark, sf, name: str):
         return _memo((sf, name), lambda: M.fit_logistic(fit, CFG, 1.0, cats=["utm_medium", "device_category"],
                                                         nums=[]))
     if name == "logreg_full":
-        return _memo((sf, name), lambda: M.fit_logistic(fit, CFG, 1.0))
+        return _memo((sf, name), lambda: M.fit_logistic(fit, CFG, tuned_c(spark, sf)))
     if name == "forest":
         return _memo((sf, name), lambda: M.fit_forest(fit, CFG))
     if name == "boosted":
-        return _memo((sf, name), lambda: M.fit_boosted(fit, CFG))
+        return _memo((sf, name), lambda: M.fit_boosted(fit, CFG, val))
     if name == "boosted_final":
         _, trees = model(spark, sf, "boosted")
         return _memo((sf, name), lambda: M.refit_boosted(train, CFG, trees))
@@ -67,20 +67,26 @@ def _pipeline(spark, sf, name):
 
 
 def test_scores(spark, sf, name):
+    """Unrounded scores of the test part."""
     _, _, test, _ = parts(spark, sf)
-    return M.positive_probability(_pipeline(spark, sf, name).transform(test)) \
-            .select("session_id", "target", F.round("score", 6).alias("score"))
+    return M.positive_probability(_pipeline(spark, sf, name).transform(test)).select("session_id", "target", "score")
+
+
+def tuned_c(spark, sf) -> float:
+    """The C with the best mean AUC over the folds, the smallest on ties."""
+    rows = _memo((sf, "cv"), lambda: M.cv_logistic(parts(spark, sf)[0], CFG).collect())
+    return min(rows, key=lambda r: (-r["mean_roc_auc"], r["C"]))["C"]
 
 
 for _q, _m in (("train_logreg_base", "logreg_base"), ("train_logreg_full", "logreg_full"),
                ("train_forest", "forest"), ("train_boosted", "boosted"), ("refit_final", "boosted_final")):
-    register(_q)((lambda mm: lambda spark, sf: test_scores(spark, sf, mm))(_m))
+    register(_q)((lambda mm: lambda spark, sf: test_scores(spark, sf, mm).withColumn("score", F.round("score", 6)))(_m))
 
 
 @register("cv_logistic")
 def cv_logistic(spark, sf):
-    fit, _, _, _ = parts(spark, sf)
-    return M.cv_logistic(fit, CFG)
+    rows = _memo((sf, "cv"), lambda: M.cv_logistic(parts(spark, sf)[0], CFG).collect())
+    return spark.createDataFrame(rows, "C double, mean_roc_auc double")
 
 
 def threshold(spark, sf, name) -> float:
@@ -105,7 +111,8 @@ def model_comparison(spark, sf):
             sc, t = test.select(F.lit(prior).alias("score"), F.col("target").alias("label")), 0.5
         else:
             sc = test_scores(spark, sf, name).select("score", F.col("target").alias("label"))
-            t = threshold(spark, sf, name)
+            # only the final model has a tuned threshold
+            t = threshold(spark, sf, name) if name == "boosted_final" else 0.5
         m = EV.evaluate_scores(sc).first()  # AUC and AP from one cumulative table
         prf = EV.prf_at_threshold(sc, t)
         row = prf.select(F.lit(name).alias("model"), F.lit(m["roc_auc"]).alias("roc_auc"),
@@ -125,8 +132,7 @@ def feature_importance(spark, sf):
 @register("permutation_importance")
 def permutation_importance(spark, sf):
     _, _, test, _ = parts(spark, sf)
-    return M.permutation_importance(_pipeline(spark, sf, "logreg_full"), test, list(MODEL_INPUT_COLUMNS),
-                                    repeats=5, max_rows=15_000, seed=CFG.seed)
+    return M.permutation_importance(_pipeline(spark, sf, "boosted_final"), test, list(MODEL_INPUT_COLUMNS), seed=CFG.seed)
 
 
 @register("linear_contributions")
@@ -150,20 +156,38 @@ def feature_encoding(spark, sf):
                                       F.size(F.filter(arr, lambda x: x != 0)).alias("active"))
 
 
+def metadata(spark, sf) -> dict:
+    """What is stored beside the final model."""
+    import platform
+
+    import pyspark
+
+    _, _, test, train = parts(spark, sf)
+    t = threshold(spark, sf, "boosted_final")
+    sc = test_scores(spark, sf, "boosted_final").select("score", F.col("target").alias("label"))
+    m, prf = EV.evaluate_scores(sc).first(), EV.prf_at_threshold(sc, t).first()
+    return {"model_version": MODEL_VERSION, "threshold": t, "target_actions": list(CFG.target_actions),
+            "input_columns": list(MODEL_INPUT_COLUMNS), "numeric_features": list(NUMERIC_FEATURES),
+            "categorical_features": list(CATEGORICAL_FEATURES), "feature_order": [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES],
+            "best_iteration": model(spark, sf, "boosted")[1], "split": "md5 of the session id", "test_size": CFG.test_size,
+            "n_train": train.count(), "n_test": test.count(),
+            "test_metrics": {"roc_auc": m["roc_auc"], "pr_auc": m["average_precision"], "f1": prf["f1"], "precision": prf["precision"], "recall": prf["recall"]},
+            "versions": {"spark": pyspark.__version__, "python": platform.python_version()}}
+
+
 @register("score_batch")
 def score_batch(spark, sf):
     """Save the final model + metadata, load them back, score the accepted
     contract records (batch = the serving path)."""
     from convlens.plans.q_ingest import _records
-    from convlens.operators.cleaning import validate_contract
+    from convlens.operators.cleaning import reject_empty, validate_contract
 
     m = _pipeline(spark, sf, "boosted_final")
     path = scratch_path(spark, "model")
     sinks.save_model(m, path + "/pipeline")
-    meta = {"model_version": MODEL_VERSION, "threshold": threshold(spark, sf, "boosted_final"),
-            "target_actions": list(CFG.target_actions), "input_columns": list(MODEL_INPUT_COLUMNS)}
+    meta = metadata(spark, sf)
     sinks.stats_row(spark, meta).write.mode("overwrite").json(path + "/metadata")
     loaded = sinks.load_pipeline_model(path + "/pipeline")
     meta2 = __import__("json").loads(spark.read.json(path + "/metadata").first()["meta"])
-    accepted, _ = validate_contract(_records(spark, sf))
+    accepted, _ = validate_contract(reject_empty(_records(spark, sf)))
     return M.score_batch(loaded, accepted, meta2["threshold"], meta2["model_version"])

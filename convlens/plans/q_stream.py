@@ -18,13 +18,12 @@ def stream_label(spark, sf):
     batch label (C1) once the stream has caught up."""
     path = f"{sf.rstrip('/')}/lineitem.parquet"
     schema = spark.read.parquet(path).schema
-    # the stream watches the table folder; the glob keeps it to line-item files
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-           .option("pathGlobFilter", "lineitem*.parquet").parquet(sf.rstrip("/")))
-    hits = src.select(F.col("l_orderkey").cast("string").alias("session_id"),
-                      F.concat("l_returnflag", "l_linestatus").alias("event_action"),
-                      F.col("l_shipdate").alias("hit_ts"))
     base = scratch_path(spark, "stream-label")
+    # the table replayed as eight shuffled files, in micro-batches of two: ids recur over batches, old hits come late
+    spark.read.parquet(path).repartition(8).write.parquet(base + "/in")
+    src = SL.hits_stream(spark, base + "/in", schema, max_files=2)
+    hits = src.select(F.col("l_orderkey").cast("string").alias("session_id"),
+                      F.concat("l_returnflag", "l_linestatus").alias("event_action"))
     SL.run_to_table(SL.converted_sessions_stream(hits, CFG), base + "/out", base + "/ckpt")
     return SL.read_converted(spark, base + "/out")
 

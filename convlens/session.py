@@ -41,12 +41,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and is read, never replaced. Only
-    when it is unset (local tests) a private folder is created and registered.
+    when it is unset on a local master (tests) a private folder is created and
+    registered; elsewhere executors could not share such a folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getCheckpointDir()
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="convlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -64,13 +67,3 @@ def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     spark = spark or df.sparkSession
     checkpoint_root(spark)
     return df.checkpoint(eager=True)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only after checking the side's size: at most ``max_rows``
-    rows -> broadcast; larger -> returned as is, so the planner (AQE) picks a
-    shuffle join."""
-    from pyspark.sql import functions as F
-
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

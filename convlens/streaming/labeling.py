@@ -1,10 +1,9 @@
 """Incremental labelling with Structured Streaming.
 
-Hits arrive as files; each micro-batch keeps target actions only, and
-``dropDuplicatesWithinWatermark`` emits every converted session once while the
-state stays bounded by the watermark. The sink is an append-only Parquet
-table in the shared checkpoint folder; readers take ``distinct`` ids (a session
-whose duplicate hit arrives later than the watermark may appear twice).
+Hits arrive as files; each micro-batch keeps target actions only and writes the distinct session ids it holds into a
+folder of its own, overwritten when a batch is replayed. No hit is ever too late: there is no watermark and no
+state, so nothing is dropped however old a hit is and in whatever order files arrive. A session that converts in several
+batches is in several folders; readers take distinct ids.
 """
 
 from __future__ import annotations
@@ -15,32 +14,32 @@ from pyspark.sql import functions as F
 from convlens.contracts import DEFAULT_CONFIG, ConversionConfig
 
 
+def hits_stream(spark: SparkSession, path: str, schema, glob: str | None = None, max_files: int | None = None) -> DataFrame:
+    """Hit files of a folder as a stream; ``max_files`` bounds a micro-batch, by default all new files are one."""
+    reader = spark.readStream.schema(schema)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
+
+
 def converted_sessions_stream(hits: DataFrame, cfg: ConversionConfig = DEFAULT_CONFIG, key: str = "session_id",
-                              action: str = "event_action", event_time: str = "hit_ts",
-                              watermark: str = "30 days") -> DataFrame:
-    """Streaming DataFrame of newly converted session ids."""
-    return (hits.where(F.col(action).isin(list(cfg.target_actions)) & F.col(key).isNotNull())
-            .select(key, F.col(event_time).cast("timestamp").alias("_ts"))
-            .withWatermark("_ts", watermark)
-            .dropDuplicatesWithinWatermark([key]))
-
-
-def run_to_table(stream_df: DataFrame, out_path: str, checkpoint: str, query_name: str | None = None,
-                 timeout_s: int = 600) -> None:
-    """Process everything available now, append to Parquet, stop."""
-    w = (stream_df.writeStream.format("parquet").outputMode("append")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True))
+                              action: str = "event_action") -> DataFrame:
+    """Streaming DataFrame of session ids with a target action (repeated ids are dropped per batch when written)."""
+    return hits.where(F.col(action).isin(list(cfg.target_actions)) & F.col(key).isNotNull()).select(key)
+
+
+def run_to_table(stream_df: DataFrame, out_path: str, checkpoint: str, query_name: str | None = None) -> None:
+    """Process everything available now and stop; a failed batch raises."""
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        batch.distinct().write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+
+    w = stream_df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if query_name:
         w = w.queryName(query_name)
-    q = w.start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream did not finish within {timeout_s}s")
-    if q.exception() is not None:
-        raise q.exception()
+    w.start().awaitTermination()
 
 
 def read_converted(spark: SparkSession, out_path: str, key: str = "session_id") -> DataFrame:
-    return spark.read.parquet(out_path).select(key).distinct()
+    return spark.read.schema(f"`{key}` string").parquet(out_path).select(key).distinct()

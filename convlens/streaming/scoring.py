@@ -15,22 +15,20 @@ from convlens.operators.modeling import score_batch
 
 
 def score_stream(spark: SparkSession, in_path: str, model, threshold: float, version: str,
-                 out_path: str, rejects_path: str, checkpoint: str, timeout_s: int = 600) -> None:
-    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(in_path)
+                 out_path: str, rejects_path: str, checkpoint: str, max_files: int | None = None) -> None:
+    """``max_files`` bounds a micro-batch; by default all new files are one."""
+    reader = spark.readStream.format("text")
+    raw = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(in_path)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         # one folder per epoch, overwritten: a replayed epoch after a failure
         # rewrites the same files instead of appending duplicates
+        if batch.isEmpty():
+            return
         accepted, rejected = validate_contract(batch, "value")
         score_batch(model, accepted, threshold, version).write.mode("overwrite") \
             .parquet(f"{out_path}/epoch={epoch}")
         rejected.write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch}")
 
-    q = (raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream did not finish within {timeout_s}s")
-    if q.exception() is not None:
-        raise q.exception()
+    (raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())

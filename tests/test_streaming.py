@@ -1,11 +1,29 @@
 """Stream = batch for incremental labelling."""
 
+from pyspark.sql import functions as F
+
+from convlens.operators import labeling
 from convlens.plans import frames
 from convlens.plans.q_stream import stream_label
-from convlens.operators import labeling
+from convlens.streaming import labeling as SL
 
 
 def test_stream_label_equals_batch(spark, sf):
     streamed = {r.session_id for r in stream_label(spark, sf).collect()}
     batch = {r.session_id for r in labeling.target_sessions(frames.hits(spark, sf), frames.CFG).collect()}
     assert streamed == batch and streamed
+
+
+def test_late_hits_over_many_batches(spark, tmp_path):
+    """Old hits after new ones, a session over several files, a second run with new files."""
+    rows = [(str(i % 40), "RF" if i % 3 == 0 else "NO", f"{2030 - i % 20}-01-01") for i in range(600)]
+    df = spark.createDataFrame(rows, "session_id string, event_action string, hit_date string")
+    path, out, ckpt = (str(tmp_path / x) for x in ("in", "out", "ckpt"))
+    df.where("hit_date > '2020'").orderBy(F.desc("hit_date")).repartition(7).write.parquet(path)
+    for more in (None, df.where("hit_date <= '2020'")):
+        if more is not None:
+            more.repartition(3).write.mode("append").parquet(path)
+        hits = SL.hits_stream(spark, path, df.schema, max_files=1)
+        SL.run_to_table(SL.converted_sessions_stream(hits, frames.CFG), out, ckpt)
+    got = [r.session_id for r in SL.read_converted(spark, out).collect()]
+    assert len(got) == len(set(got)) and set(got) == {s for s, a, _ in rows if a == "RF"}
