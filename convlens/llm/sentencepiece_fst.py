@@ -94,7 +94,7 @@ def read_model(path: str) -> dict:
 class Encoder(dict):
     """The composed transducer. As a mapping it keeps the ids of parts of texts already composed."""
 
-    def __init__(self, model: dict, rules: dict[str, str] | None = None, keep: int = 150_000):
+    def __init__(self, model: dict, rules: dict[str, str] | None = None, keep: int = 60_000):
         super().__init__()
         self.older: dict[str, list[int]] = {}  # the parts kept before: those used again are taken over
         self.pieces, self.kind, self.keep, self.model = model["pieces"], model["kind"], keep, model
@@ -311,7 +311,9 @@ def _with_column(df: DataFrame, source: str, out: str, kind: DataType, make) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         convert = make()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, convert(batch.column(at))], names)
+            for i in range(0, batch.num_rows, 512):  # a few rows at a time: their strings and ids are what takes memory
+                some = batch.slice(i, 512)
+                yield pa.RecordBatch.from_arrays([*some.columns, convert(some.column(at))], names)
 
     return df.mapInArrow(run, StructType(list(df.schema.fields)).add(out, kind))
 

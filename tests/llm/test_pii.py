@@ -65,6 +65,8 @@ def test_query_replaces_all_in_the_corpus(spark, sf):
     assert len(rows) == len(docs) and sum(r.n_replaced for r in rows) > 0
     for r in rows:
         before, after = pattern.findall(docs[r.doc_id]), pattern.findall(r.text)
+        after = [a for b, a in zip(before, after) if not (b.isdigit() and not luhn(b) and a == b)]
+        before = [b for b in before if not b.isdigit() or luhn(b)]  # numbers that are no cards stay
         assert len(before) == len(after) and not set(before) & set(after)
         assert pattern.sub("", docs[r.doc_id]) == pattern.sub("", r.text)
 
