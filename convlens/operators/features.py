@@ -21,7 +21,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convlens.contracts import CATEGORICAL_FEATURES, DEFAULT_CONFIG, NUMERIC_FEATURES, ConversionConfig
+from convlens.contracts import CATEGORICAL_FEATURES, DEFAULT_CONFIG, NUMERIC_FEATURES, ConversionConfig, assert_no_leak
 from convlens.functions import columns as C
 from convlens.operators.cleaning import normalize_column
 
@@ -73,7 +73,9 @@ def build_features(df: DataFrame, cfg: ConversionConfig = DEFAULT_CONFIG,
                    keep: tuple[str, ...] = ("session_id", "target")) -> DataFrame:
     """29 features in fixed order, plus pass-through ``keep`` columns present."""
     passthrough = [c for c in keep if c in df.columns]
-    return df.select(*passthrough, *feature_columns(cfg))
+    out = df.select(*passthrough, *feature_columns(cfg))
+    assert_no_leak([c for c in out.columns if c not in passthrough])
+    return out
 
 
 class _CfgParams(Params):

@@ -64,23 +64,30 @@ def sequence_within_group(df: DataFrame, group: list[str], slice_col: str,
 
 
 def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str],
-                   n_ranges: int = 1024, accuracy: int = 100_000) -> DataFrame:
+                   range_rows: int = 100_000, most_ranges: int = 100_000, accuracy: int = 100_000) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows with ``order_col`` <= this row's
     (ascending, ties by ``order_col`` only: callers pass distinct keys).
 
     ``df`` should already be reduced to one row per distinct ``order_col``.
-    Only ``n_ranges`` boundary values are brought to the driver.
+    The number of ranges follows the number of rows (about ``range_rows`` in each); only their boundaries, at most
+    ``most_ranges``, are brought to the driver. One aggregate counts and cuts; a second is needed above a thousand ranges.
     """
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    qs = df.agg(F.percentile_approx(order_col, probs, accuracy).alias("q")).first()["q"] or []
-    cuts = sorted({float(q) for q in qs if q is not None})
+    n_ranges = 1024
+    while True:
+        probs = [i / n_ranges for i in range(1, n_ranges)]
+        rows, qs = df.agg(F.count(order_col), F.percentile_approx(order_col, probs, accuracy)).first()
+        wanted = min(most_ranges, max(8, -(-rows // range_rows)))
+        if wanted <= n_ranges:
+            break
+        n_ranges = wanted
+    cuts = sorted({float(q) for q in (qs or [])[n_ranges // wanted - 1::n_ranges // wanted] if q is not None}) or [0.0]
     splits = [float("-inf"), *cuts, float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol=order_col, outputCol="_range",
                           handleInvalid="keep").transform(df.withColumn(order_col, F.col(order_col).cast("double")))
     totals = bucketed.groupBy("_range").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     w_all = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range: at most n_ranges rows, so the single-partition window
-    # and the broadcast below are bounded by n_ranges, not by the data.
+    # one row per range: at most most_ranges rows, so the single-partition window
+    # and the broadcast below are bounded by that, not by the data.
     offsets = totals.select("_range", *[
         F.coalesce(F.sum(f"_tot_{c}").over(w_all), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
     w_in = (Window.partitionBy("_range").orderBy(order_col)

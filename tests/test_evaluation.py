@@ -71,7 +71,7 @@ def test_ordered_prefix_equals_single_window(spark):
 
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 4999 / 10.0).alias("k"), F.lit(1).alias("c")) \
               .groupBy("k").agg(F.sum("c").alias("c"))
-    got = {r.k: r.cum_c for r in ordered_prefix(df, "k", ["c"], n_ranges=16).collect()}
+    got = {r.k: r.cum_c for r in ordered_prefix(df, "k", ["c"], range_rows=20).collect()}
     w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     want = {r.k: r.cum for r in df.select("k", F.sum("c").over(w).alias("cum")).collect()}
     assert got == want

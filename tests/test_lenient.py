@@ -48,3 +48,12 @@ def test_summary_counts_a_repeated_session_once(spark):
 def test_best_round():
     assert best_round([5, 4, 3, 3.5, 3.2], 2) == (3, True)
     assert best_round([5, 4, 3, 3.5], 2) == (3, False)
+
+
+def test_ordered_prefix_over_many_ranges(spark):
+    from convlens.operators.ordered import ordered_prefix
+    df = spark.range(5000).selectExpr("cast((id * 7919) % 5000 as double) / 7 AS k", "1 AS one")
+    for range_rows in (2, 37, 100_000):
+        got = ordered_prefix(df, "k", ["one"], range_rows=range_rows).collect()
+        assert [r.cum_one for r in sorted(got, key=lambda r: r.k)] == list(range(1, 5001))
+    assert ordered_prefix(df.limit(0), "k", ["one"]).collect() == []
