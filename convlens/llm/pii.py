@@ -3,7 +3,7 @@
 Found in a text and validated are: e-mail addresses, IPv4 addresses (octets up to 255), payment card numbers (13 to 19 digits, Luhn),
 US social security numbers, North American and international telephone numbers, and calendar dates. Each value is
 replaced by the value that a keyed Feistel network permutes it to within the same format: separators stay, card
-numbers keep their first digit and a right check digit, telephone numbers their country code and valid area codes, dates are valid dates
+numbers keep their first digit and a right check digit, telephone numbers their country code and areas and exchanges on their side of 200, dates are valid dates
 of the same notation, letters stay letters. As it is a permutation under one key, equal values stay equal, whatever their
 separators and wherever they occur, and different values stay different.
 
@@ -11,7 +11,8 @@ A Feistel round adds to one half of the value, modulo the size of that half's ra
 value, the round and the other half. Ranges factor exactly (dates: the 146,097 days of 400 years are 189 * 773), so no
 value leaves its range. E-mail names and foreign numbers are permuted character by character, each within its own class.
 
-Defined results: null stays null; texts without such values, numbers that fail validation and dates outside the years 1800 to
+Defined results: null stays null; texts without such values, numbers that fail validation, ten digits with an area or exchange below
+200 and neither country code nor parentheses and dates outside the years 1800 to
 2199 stay as they are; other columns and rows are not touched.
 """
 
@@ -31,10 +32,14 @@ _START, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 IPV4 = _START + r"(?<![0-9]\.)(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.[0-9])" + _END
 DATE = _START + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![-/][0-9])" + _END
 SSN = _START + r"(?<![0-9]-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-[0-9])" + _END
-NANP = r"(?:(?<![0-9A-Za-z+])\+?1[ .-]?)?(?<![0-9A-Za-z.-])(?:\([0-9]{3}\) ?|(?<!\()[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _END
+_PREFIX = r"(?<![0-9A-Za-z+])(?<![0-9][.-])1(?:[ .-]|(?=\())"
+NANP = (r"(?:(?<![0-9A-Za-z+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:" + _PREFIX + r"|(?<![0-9A-Za-z.-]))"
+        r"(?:\([0-9]{3}\)[ .-]?|(?<!\()[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})") + _END
 ABROAD = r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}" + _END
-_GROUPS = r"(?<![0-9][ -])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![ -][0-9]{4})"
-CARD = _START + r"(?:[0-9]{13,19}|" + _GROUPS + ")" + _END
+# a run of groups in which a card of four groups, or of three, may begin at each; no group begins a date or an address
+RUN = _START + r"[0-9]{4}(?:[ -](?!" + DATE + "|" + EMAIL + r")[0-9]{4,6}" + _END + "){2,}"
+_GROUPED = r"^(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$"
+CARD = "(?:" + RUN + "|" + _START + "[0-9]{13,19}" + _END + ")"
 PATTERN = "|".join((EMAIL, IPV4, DATE, SSN, NANP, ABROAD, CARD))
 _PLAIN = r"^[0-9.@/()+ -]"
 
@@ -47,7 +52,7 @@ def _number(hex_digits: Column) -> Column:
     return F.conv(hex_digits, 16, 10).cast("bigint")
 
 
-def feistel(key: str, kind: str, value: Column, a: int, b: int) -> Column:
+def feistel(key: str, kind: str, value: Column, a: int | Column, b: int | Column) -> Column:
     """A keyed permutation of the whole numbers below a * b."""
     step = lambda i, other: _number(F.substring(_hash(key, kind, i, other), 1, 15))
     start = F.struct(F.floor(value / b).cast("bigint").alias("l"), F.pmod(value, F.lit(b)).cast("bigint").alias("r"))
@@ -113,7 +118,7 @@ def _card(key: str, m: Column) -> Column:
     body = F.concat(F.substring(d, 1, 1), feistel_text(key, "card", F.substring(d, F.lit(2), F.length(d) - 2)))
     checked = F.element_at(F.transform(F.array(body), lambda x: F.concat(x, F.element_at(F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(9)), lambda c: c.cast("string")), lambda c: F.call_function("luhn_check", F.concat(x, c))), 1))), 1)
-    return F.when(F.call_function("luhn_check", d), F.element_at(F.transform(F.array(checked), lambda x: _refill(m, x)), 1)).otherwise(m)
+    return F.when((F.length(d) >= 13) & F.call_function("luhn_check", d), F.element_at(F.transform(F.array(checked), lambda x: _refill(m, x)), 1)).otherwise(m)
 
 
 def _ssn(key: str, m: Column) -> Column:
@@ -132,19 +137,24 @@ def _ssn(key: str, m: Column) -> Column:
 
 
 def _nanp(key: str, m: Column) -> Column:
-    """Area and exchange from 200 to 999, the line number below 10000."""
+    """Area and exchange each stay below 200 or from 200 on; the line number below 10000. Where neither a country code nor
+    parentheses tell a telephone number, both have to be from 200 on."""
     d = _digits(m)
     area, exchange, line = (F.substring(d, a, n).cast("bigint") for a, n in ((-10, 3), (-7, 3), (-4, 4)))
-    # an area with the line's upper half, an exchange with its lower half: two halves of one size
-    place = ((area - 200) * 100 + F.floor(line / 100)) * 80000 + (exchange - 200) * 100 + line % 100
+    # the four products of ranges are together all numbers, and none is left by its permutation
+    low = (area < 200) | (exchange < 200)
+    a, b = (F.when(x < 200, 0).otherwise(200) for x in (area, exchange))
+    left, right = (F.when(x < 200, 20000).otherwise(80000) for x in (area, exchange))
+    # an area with the line's upper half, an exchange with its lower half
+    place = ((area - a) * 100 + F.floor(line / 100)) * right + (exchange - b) * 100 + line % 100
 
     def text(n: Column) -> Column:
-        left, right = F.floor(n / 80000), n % 80000
-        number = ((F.floor(left / 100) + 200) * 1000 + F.floor(right / 100) + 200) * 10000 + left % 100 * 100 + right % 100
-        return _refill(m, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), number.cast("string")))
+        x, y = F.floor(n / right), n % right
+        number = ((F.floor(x / 100) + a) * 1000 + F.floor(y / 100) + b) * 10000 + x % 100 * 100 + y % 100
+        return _refill(m, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), F.lpad(number.cast("string"), 10, "0")))
 
-    new = feistel(key, "phone", place, 80000, 80000)
-    return F.when((area >= 200) & (exchange >= 200), F.element_at(F.transform(F.array(new), text), 1)).otherwise(m)
+    new = feistel(key, "phone", place, left, right)
+    return F.when(~low | (F.length(d) == 11) | m.contains("("), F.element_at(F.transform(F.array(new), text), 1)).otherwise(m)
 
 
 def _abroad(key: str, m: Column) -> Column:
@@ -163,6 +173,22 @@ def _date(key: str, m: Column) -> Column:
     return out
 
 
+def _values(m: Column) -> Column:
+    """What is found, as an array: a run of groups is cut into its cards, from left to right, and what is between them."""
+    parts = F.regexp_extract_all(m, F.lit("[0-9]+|[ -]"), F.lit(0))
+    of = lambda i, n: F.array_join(F.slice(parts, i, F.lit(n)), "")
+    card = lambda x: x.rlike(_GROUPED) & F.call_function("luhn_check", _digits(x))
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(1).alias("next"))
+
+    def step(s: Column, i: Column) -> Column:
+        n = F.when(card(of(i, 7)), 7).when(card(of(i, 5)), 5).otherwise(1)
+        return F.when(i < s["next"], s).otherwise(F.struct(
+            F.concat(s["out"], F.array(F.array_join(F.slice(parts, i, n), ""))).alias("out"), (i + n).alias("next")))
+
+    cut = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), start, step)["out"]
+    return F.when(m.rlike(f"^(?:{RUN})$"), cut).otherwise(F.array(m))
+
+
 def pseudonym(key: str, m: Column) -> Column:
     """The pseudonym of one found value; itself where it is not valid."""
     whole = lambda p: m.rlike(f"^(?:{p})$")
@@ -178,11 +204,13 @@ def pseudonymise(df: DataFrame, key: str, text_col: str = "text", count_col: str
         raise ValueError(f"column {count_col} exists already; pass another name for count_col")
     found, new = fresh(df, "found", "new")
     text = F.col(text_col)
-    none = F.array().cast("array<string>")
-    marked = df.withColumn(found, F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(none))
-    marked = marked.withColumn(new, F.transform(found, lambda m: pseudonym(key, m)))
-    filled = F.concat_ws("", F.zip_with(F.split(text, PATTERN, -1), F.col(new), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))))
-    count = F.coalesce(F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x)), F.lit(0)) if count_col else None
+    none = F.array().cast("array<array<string>>")
+    marked = df.withColumn(found, F.when(text.rlike("[0-9@]"), F.transform(
+        F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), _values)).otherwise(none))
+    marked = marked.withColumn(new, F.transform(found, lambda values: F.transform(values, lambda m: pseudonym(key, m))))
+    filled = F.concat_ws("", F.zip_with(F.split(text, PATTERN, -1), F.col(new), lambda a, b: F.concat(a, F.coalesce(F.array_join(b, ""), F.lit("")))))
+    changed = F.zip_with(F.flatten(found), F.flatten(new), lambda a, b: a != b)
+    count = F.coalesce(F.size(F.filter(changed, lambda x: x)), F.lit(0)) if count_col else None
     if count_col:
         marked = marked.withColumn(count_col, count)
     return marked.withColumn(text_col, F.when(F.size(found) > 0, filled).otherwise(text)).drop(found, new)

@@ -80,3 +80,36 @@ def test_edge_cases(spark):
     assert pii.pseudonymise(df.limit(0), "k").collect() == []
     with pytest.raises(ValueError):
         pii.pseudonymise(df, "")
+
+
+def test_every_planted_number(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(r"text RLIKE '\\+1 \\([0-9]{3}\\) '").select("doc_id", "text")
+    pattern = re.compile(r"\+1 \((\d{3})\) (\d{3})-(\d{4})")
+    rows = pii.pseudonymise(docs.withColumn("old", F.col("text")), "k").collect()
+    pairs = [p for r in rows for p in zip(pattern.findall(r.old), pattern.findall(r.text), strict=True)]
+    assert len(pairs) == 159 and sum(int(a[0]) < 200 for a, _ in pairs) == 33
+    assert all(a != b for a, b in pairs)
+    assert all((int(a[i]) < 200) == (int(b[i]) < 200) for a, b in pairs for i in (0, 1))
+    assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(set(pairs))
+
+
+def test_notations_of_one_number(spark):
+    forms = ["+1-415-555-0100", "+1.415.555.0100", "1-415-555-0100", "+14155550100", "+1 (415) 555-0100", "+1(415)5550100", "415.555.0100"]
+    got = run(spark, [f"call {x}, please" for x in forms])
+    new = [re.fullmatch("call (.*), please", got[i].text)[1] for i in range(len(forms))]
+    assert [re.sub(r"\d", "0", x) for x in new] == [re.sub(r"\d", "0", x) for x in forms]
+    assert len({re.sub(r"\D", "", x)[-10:] for x in new}) == 1 and "4155550100" not in re.sub(r"\D", "", new[0])
+    assert all(got[i].n == 1 for i in range(len(forms)))
+
+
+def test_cards_beside_other_numbers(spark):
+    card, other, amex = "4111 1111 1111 1111", "5500-0000-0000-0004", "3782 822463 10005"
+    texts = [card, f"3 {card}", f"2025 {card} 1234", f"{card} {other}", f"{amex} {card} {amex} 2024-05-01", f"{card} 1@a.example.com", "2001 2002 2003 2014 2006"]
+    got = run(spark, texts)
+    new = got[0].text
+    assert new != card and luhn(new.replace(" ", ""))
+    assert got[1].text == f"3 {new}" and got[2].text == f"2025 {new} 1234"
+    assert got[3].text.startswith(new + " ") and other not in got[3].text and got[3].n == 2
+    assert re.fullmatch(r"(\d{4} \d{6} \d{5}) " + new + r" \1 \d{4}-\d\d-\d\d", got[4].text) and got[4].n == 4 and amex not in got[4].text
+    assert got[5].text.startswith(new + " ") and got[5].n == 2
+    assert got[6].text == texts[6] and got[6].n == 0
