@@ -2,10 +2,14 @@
 
 Markup is stripped to lines, one per block element. Lines of menus, page headers and footers, sidebars, notices, adverts, forms and
 reader comments (known by element, role, class or id, or, outside an article, by consisting of links) are blanked, so
-they stay as valleys. The text lengths are summed over a sliding window of lines. A text region begins where the
-window sum leaves zero and surges, and ends where it dives back to zero; of the regions those are kept whose peak comes
-near the page's highest one. Between surge and dive every line is kept, however short. Where a page marks its article
-(or main part), only regions inside it compete and marked clutter inside it leaves no valley.
+they stay as valleys, but for clutter between two text blocks of one container, which leaves none. The text lengths are
+summed over a sliding window of lines. A text region begins where the window sum leaves zero and surges, and ends where
+it dives back to zero; of the regions those are kept whose peak is not far below the page's median block. Between surge
+and dive every line is kept, however short. Where a page marks its article (or main part) and the marked part holds at
+least a third of the text, only regions inside it compete and marked clutter inside it leaves no valley.
+
+Clutter is named by whole tokens of class and id: a clutter word, or one joined only with words of layout. An id alone never
+drops a heading or an article, nor a section in an article, nor anything by a word that also titles a section.
 
 Defined results: null, empty and text-free pages give an empty text; an element that is never closed ends with the page (or, for
 paragraphs and list items, with the next block); a ``<`` that opens no tag is text; other columns are carried along.
@@ -34,16 +38,44 @@ BLOCKS = frozenset((
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul "
     "dir caption dialog").split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# elements that hold blocks of their own; open ones tell which blocks are neighbours
+CONTAINERS = BLOCKS - HEADINGS - frozenset("p li dd dt hr option summary legend figcaption caption address pre".split())
+# words of layout, which joined with a clutter word name clutter still, and clutter words that title sections as well
+LAYOUT_WORDS = frozenset((
+    "area bar bars block blocks bottom box boxes button buttons container content form global group holder inner item items left "
+    "link links list main outer page panel primary right secondary section site slot text thread title top unit wrap wrapper").split())
+COMPOUNDS = frozenset("visually-hidden disqus_thread".split())
+TITLE_WORDS = frozenset((
+    "alert banner copyright discussion disclaimer legal notice notices recommended related replies reply respond share sharing "
+    "social warning").split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>|<[!/a-zA-Z][^>]*+\Z",
     re.DOTALL | re.IGNORECASE)
-_MARKS = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
-_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_PARTS, _CAMEL = re.compile(r"[^a-z0-9]+"), re.compile(r"(?<=[a-z])(?=[A-Z])")
+
+Line = tuple[str, bool, int]  # text, inside the article, its container
 
-Line = tuple[str, bool]  # text, inside the article
+
+def _attributes(raw: str) -> dict[str, str]:
+    """Names and values; of a name given twice the first counts."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(raw):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _names_clutter(token: str, but: frozenset[str]) -> bool:
+    whole = token.lower()
+    if whole in CLUTTER_WORDS or whole in COMPOUNDS:
+        return whole not in but
+    parts = [w for w in _PARTS.split(_CAMEL.sub("-", token).lower()) if w]
+    words = [w for w in parts if w in CLUTTER_WORDS and w != "hidden"]
+    return any(w not in but for w in words) and all(w in CLUTTER_WORDS - {"hidden"} or w in LAYOUT_WORDS or w.isdigit() for w in parts)
 
 
 def _is_clutter(name: str, attributes: str, inside: bool) -> bool:
@@ -51,21 +83,25 @@ def _is_clutter(name: str, attributes: str, inside: bool) -> bool:
         return True
     if not attributes or name in ("html", "body", "main"):
         return False
-    for m in _MARKS.finditer(attributes):
-        kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if kind == "hidden" or (kind == "aria-hidden" and value.lower() == "true"):
-            return True
-        if kind == "role" and value.lower() in CLUTTER_ROLES:
-            return True
-        # an article's own header holds its title
-        if kind in ("class", "id") and any(w in CLUTTER_WORDS and not (inside and w == "header") for token in value.split() for w in _PARTS.split(token.lower())[:2]):
-            return True
-    return False
-
-
-def lines(page: str) -> list[Line | None]:
-    """The page's lines; None is a line of clutter or the edge of an article."""
-    out: list[Line | None] = []
+    values = _attributes(attributes)
+    if "hidden" in values or values.get("aria-hidden", "").lower() == "true":
+        return True
+    if any(x in CLUTTER_ROLES for x in values.get("role", "").lower().split()):
+        return True
+    # an article's own header holds its title
+    but = frozenset(("header",)) if inside else frozenset()
+    if any(_names_clutter(x, but) for x in values.get("class", "").split()):
+        return True
+    if name == "article" or name in HEADINGS or (inside and name == "section"):
+        return False
+    return any(_names_clutter(x, but | TITLE_WORDS) for x in values.get("id", "").split())
+
+
+def lines(page: str) -> list[Line | int]:
+    """The page's lines; a number is a line of clutter, by its container, or -1 the edge of an article."""
+    out: list[Line | int] = []
+    path: list[tuple[str, int]] = [("", 0)]
+    opened = 0
     text: list[str] = []
     linked = total = 0
     in_link, article, skip, skipped = False, 0, "", 0
@@ -74,7 +110,7 @@ def lines(page: str) -> list[Line | None]:
         nonlocal linked, total
         line = " ".join(html.unescape("".join(text)).split())
         if line:
-            out.append(None if not article and 2 * linked > total else (line, article > 0))
+            out.append(path[-1][1] if not article and 2 * linked > total else (line, article > 0, path[-1][1]))
         text.clear()
         linked = total = 0
 
@@ -109,7 +145,7 @@ def lines(page: str) -> list[Line | None]:
         if name not in VOID and not closing and _is_clutter(name, attributes, article > 0) and not attributes.rstrip().endswith("/"):
             flush()
             if not article:
-                out.append(None)
+                out.append(path[-1][1])
             skip, skipped = name, 1
             continue
         if name == "a":
@@ -120,8 +156,15 @@ def lines(page: str) -> list[Line | None]:
             flush()
             in_link = False
             if name in ("article", "main"):
-                article = max(0, article + (-1 if closing else 1))
-                out.append(None)
+                was_in, article = article, max(0, article + (-1 if closing else 1))
+                if not (was_in and article):  # the outermost one's edge
+                    out.append(-1)
+            if name in CONTAINERS:
+                if not closing:
+                    opened += 1
+                    path.append((name, opened))
+                elif (k := max((k for k, x in enumerate(path) if x[0] == name), default=0)):
+                    del path[k:]
     if not skip and at < len(page):
         add(page[at:])
     flush()
@@ -131,12 +174,24 @@ def lines(page: str) -> list[Line | None]:
 def main_text(page: str | None, window: int = 3, share: float = 0.3) -> str:
     """The page's main text, its blocks joined by line feeds."""
     found = lines(page or "")
-    if any(x and x[1] for x in found):
-        found = [x if x and x[1] else None for x in found]
+    size = [0, 0]
+    for x in found:
+        if isinstance(x, tuple):
+            size[x[1]] += len(x[0])
+    if size[1] and 2 * size[1] >= size[0]:
+        found = [x if isinstance(x, tuple) and x[1] else -1 for x in found]
     # a valley is as wide as the window, so that window sums reach zero in it
     spread: list[str] = []
+    before, valley = -1, []
     for x in found:
-        spread.extend([x[0]] if x else [""] * window)
+        if not isinstance(x, tuple):
+            valley.append(x)
+            continue
+        if any(v != before or v != x[2] for v in valley):
+            spread.extend([""] * window)
+        valley.clear()
+        spread.append(x[0])
+        before = x[2]
     length = [len(x) for x in spread]
     sums = [sum(length[i:i + window]) for i in range(len(length))]
     regions, start = [], None
@@ -149,8 +204,9 @@ def main_text(page: str | None, window: int = 3, share: float = 0.3) -> str:
             start = None
     if not regions:
         return ""
-    top = max(r[0] for r in regions)
-    return "\n".join(x for peak, a, b in regions if peak >= share * top for x in spread[a:b] if x)
+    block = sorted(n for n in length if n)
+    least = share * block[(len(block) - 1) // 2]
+    return "\n".join(x for peak, a, b in regions if peak >= least for x in spread[a:b] if x)
 
 
 def extract(df: DataFrame, html_col: str = "html", text_col: str = "text", chars_col: str = "n_chars", window: int = 3,

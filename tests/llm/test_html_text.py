@@ -51,3 +51,28 @@ def test_edge_cases(spark):
     assert [g[1] for g in got[:4]] == ["t", "", "", ""]
     assert [g[2] for g in got[4:]] == [5 * 200_000 - 1] * 2
     assert extract(df.limit(0)).collect() == []
+
+
+def test_attribute_words_that_name_no_clutter():
+    for a in ('style="overflow:hidden"', 'data-hidden="false"', 'title="the hidden cost"', 'class="overflow-hidden"', 'class="no-sidebar"',
+              'class="has-sidebar main"', 'data-x=a-hidden'):
+        assert main_text(f"<body><div {a}><p>All of the article's text.</p></div></body>") == "All of the article's text.", a
+    for a in ("hidden", 'HIDDEN=""', 'class="hidden"', 'class="x ad-slot"', "id=side-bar", 'class="siteFooter"', 'id="comments"', "aria-hidden=true"):
+        assert main_text(f"<body><p>The whole article is here.</p><div {a}>Clutter, clutter, clutter and more of it.</div></body>") == "The whole article is here.", a
+    page = ('<article id="discussion"><h1 id="warning">Title</h1><section id="related"><p>One.</p></section><div id="related-work"><p>Two.</p></div>'
+            '<h2 id="warning-signs">Signs</h2><p>Three.</p><div class="ad">Buy</div></article>')
+    assert main_text(page) == "Title\nOne.\nTwo.\nSigns\nThree."
+
+
+def test_short_paragraphs_beside_clutter():
+    text = "A paragraph that is long enough to be a surge of its own in the page's line lengths. " * 3
+    text = text.strip()
+    assert main_text(f"<body><div><p>Hi.</p><div class=ad>Buy</div><p>{text}</p><aside>See also</aside><p>Bye.</p></div></body>") == f"Hi.\n{text}\nBye."
+    page = f"<body><div><p>{text}</p></div><nav>x</nav><div><p>{text * 100}</p></div><nav>x</nav><div><p>{text}</p></div></body>"
+    assert main_text(page) == f"{text}\n{text * 100}\n{text}"
+
+
+def test_teaser_card_does_not_hide_the_page():
+    text = "The main text of the page, in an element that is no article. " * 5
+    page = f"<body><div><p>{text}</p><p>{text}</p></div><article><h3>Teaser</h3><p>Read this one as well.</p></article></body>"
+    assert main_text(page).startswith("\n".join([text.strip()] * 2))
