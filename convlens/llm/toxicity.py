@@ -10,8 +10,8 @@ The toxic dictionary is trained on the contrast of the classes: of every word of
 5-grams are many times as frequent in toxic as in ordinary texts. Ordinary words would otherwise fill it and cover
 different parts of the common vocabulary than the other dictionary, which is noise.
 
-The model is fitted on at most ``max_toxic`` + ``max_ordinary`` labelled documents (those with the least hash of their id);
-every document is scored, over its whole text. Defined results: null and empty texts have no windows and get the calibrated
+The model is fitted on at most ``max_toxic`` + ``max_ordinary`` labelled documents (those with the least hash of their id), and
+calibrated to the share of toxic ones among all labelled documents, so a threshold means the same at every size; every document is scored, over its whole text. Defined results: null and empty texts have no windows and get the calibrated
 probability of a text without gains; without usable labels of both kinds every score is the share of toxic labels; rows
 with equal ids are scored separately; a document whose labels disagree counts as toxic; other columns are ignored.
 """
@@ -120,25 +120,26 @@ def features(gain: list[np.ndarray]) -> np.ndarray:
     return np.hstack([np.ones((len(gain), 1)), np.log1p(hits), 4 * np.sqrt(hits / np.maximum(n, 1)), np.log1p(n) / 4])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.1, rounds: int = 60) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, l2: float = 0.1, rounds: int = 60) -> np.ndarray:
+    """``counts``: how many rows each row stands for."""
     w = np.zeros(x.shape[1])
     keep = np.full(len(w), l2)
     keep[0] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + np.diag(keep), x.T @ (y - p) - keep * w)
+        step = np.linalg.solve(x.T @ (x * (counts * (p * (1 - p) + 1e-9))[:, None]) + np.diag(keep), x.T @ (counts * (y - p)) - keep * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def fit_model(rows: list[tuple[str, int]], dictionary_bytes: int = 8192) -> Model:
+def fit_model(rows: list[tuple[str, int]], dictionary_bytes: int = 8192, share: float | None = None) -> Model:
     """``rows``: (text, label), in an order that has nothing to do with the label. Alternate ones train the dictionaries;
-    the others calibrate."""
+    the others calibrate, weighted to the ``share`` of toxic texts among all that the rows were picked from (default: theirs)."""
     texts = [(t or "", y) for t, y in rows]
     by = {y: [t for t, label in texts if label == y] for y in (0, 1)}
-    rate = len(by[1]) / len(texts) if texts else 0.0
+    rate = share if share is not None else len(by[1]) / len(texts) if texts else 0.0
     if min(len(by[0]), len(by[1])) < 4:
         return Model(base_rate=rate)
     train, rest = {y: by[y][::2] for y in by}, {y: by[y][1::2] for y in by}
@@ -150,7 +151,8 @@ def fit_model(rows: list[tuple[str, int]], dictionary_bytes: int = 8192) -> Mode
     model = Model(ordinary[-7 * dictionary_bytes // 8:], toxic[max(0, start):], [0.0], rate)
     held = [(t, y) for y in rest for t in rest[y]]
     x = features(gains([windows(t) for t, _ in held], model.compressors()))
-    model.weights = _logistic(x, np.array([y for _, y in held], np.float64)).tolist()
+    counts = {1: rate * len(held) / len(rest[1]), 0: (1 - rate) * len(held) / len(rest[0])}
+    model.weights = _logistic(x, np.array([y for _, y in held], np.float64), np.array([counts[y] for _, y in held])).tolist()
     return model
 
 
@@ -161,13 +163,16 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     if learn_from is not None:
         usable = usable.where(learn_from)
     marked = usable.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_label"))
+    texts = documents.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
+    marked = marked.join(texts.select(F.col("_doc").alias("_id")), "_id", "left_semi").persist()
+    n = {r["_label"]: r["count"] for r in marked.groupBy("_label").count().collect()}
     order = [F.xxhash64("_id"), F.col("_id")]
     picked = (marked.where("_label = 1").orderBy(*order).limit(max_toxic)
               .union(marked.where("_label = 0").orderBy(*order).limit(max_ordinary)))
-    texts = documents.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
     joined = texts.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).select("_id", "_text", "_label")
     rows = sorted(joined.collect(), key=lambda r: (hash_order(r["_id"]), r["_text"] or ""))
-    return fit_model([(r["_text"], r["_label"]) for r in rows])
+    marked.unpersist()
+    return fit_model([(r["_text"], r["_label"]) for r in rows], share=n.get(1, 0) / sum(n.values()) if n else None)
 
 
 def hash_order(value) -> int:

@@ -64,3 +64,15 @@ def test_edge_cases(spark):
         toxicity.score(df.selectExpr("*", "1 AS Score"), model)
     none = toxicity.fit(df, spark.createDataFrame([], "doc_id bigint, toxic int"))
     assert {r.score for r in toxicity.score(df, none, keep_text=True).collect()} == {0.0}
+
+
+def test_caps_do_not_move_the_threshold(spark):
+    # labels that the texts tell nothing of: a calibrated score is the share of toxic labels
+    rng = random.Random(5)
+    texts = [t for t, y in corpus(1500, seed=7) if not y]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(rng.random() < 0.2)) for i in range(len(texts))] + [(10_000 + i, 1) for i in range(500)], "doc_id bigint, toxic int")
+    share = labels.where("doc_id < 10000").agg({"toxic": "avg"}).first()[0]
+    for caps in ({}, {"max_toxic": 150, "max_ordinary": 150}, {"max_toxic": 200, "max_ordinary": 100}):
+        got = toxicity.score(df, toxicity.fit(df, labels, **caps)).agg({"score": "avg"}).first()[0]
+        assert abs(got - share) < 0.06, (caps, got, share)
