@@ -132,7 +132,7 @@ def feature_importance(spark, sf):
 @register("permutation_importance")
 def permutation_importance(spark, sf):
     _, _, test, _ = parts(spark, sf)
-    return M.permutation_importance(_pipeline(spark, sf, "boosted_final"), test, list(MODEL_INPUT_COLUMNS), seed=CFG.seed)
+    return M.permutation_importance(_pipeline(spark, sf, "boosted_final"), test, list(MODEL_INPUT_COLUMNS), repeats=5, seed=CFG.seed)
 
 
 @register("linear_contributions")

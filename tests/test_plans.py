@@ -45,3 +45,14 @@ def test_evaluation_has_no_unpartitioned_window_over_rows(spark, sf):
 def test_slices_one_shuffle(spark, sf):
     txt = _plan(E.queries()["cr_slices"](spark, sf))
     assert "Expand" in txt
+
+
+def test_permutation_importance_is_a_mean_of_five_shuffles(spark, sf, monkeypatch):
+    from convlens.plans import q_models
+
+    passed = {}
+    monkeypatch.setattr(q_models, "parts", lambda *a: (None, None, "test", None))
+    monkeypatch.setattr(q_models, "_pipeline", lambda *a: "model")
+    monkeypatch.setattr(q_models.M, "permutation_importance", lambda model, data, columns, **more: passed.update(more, data=data))
+    E.queries()["permutation_importance"](spark, sf)
+    assert passed["repeats"] == 5 and passed["data"] == "test"  # the whole test part
