@@ -50,3 +50,15 @@ def test_thinned_keeps_every_wanted_row(spark):
     assert got.columns == ["id", "spot"]
     ids = {r.id for r in got.collect()}
     assert set(range(0, 20_000, 97)) <= ids and len(ids) < 1000
+
+
+def test_one_row_of_each_component_stays(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    words = " ".join(f"w{i}" for i in range(200))
+    near, other, third = words + " end", " ".join(f"x{i}" for i in range(50)), " ".join(f"y{i}" for i in range(50))
+    rows = [(1, words), (1, words), (1, words), (2, near), (None, near), (2, other), (None, third), (None, third), (7, None), (7, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], docs.schema).selectExpr("*", "1 AS row", "2 AS gone_row")
+    got = corpus_pipeline.drop_near_copies(spark, df, sf)
+    assert got.columns == df.columns
+    key = lambda x: (x[0] or 0, x[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=key) == sorted([(1, words), (2, other), (None, third), (7, None), (7, None)], key=key)
