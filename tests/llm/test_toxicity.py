@@ -76,3 +76,11 @@ def test_caps_do_not_move_the_threshold(spark):
     for caps in ({}, {"max_toxic": 150, "max_ordinary": 150}, {"max_toxic": 200, "max_ordinary": 100}):
         got = toxicity.score(df, toxicity.fit(df, labels, **caps)).agg({"score": "avg"}).first()[0]
         assert abs(got - share) < 0.06, (caps, got, share)
+
+
+def test_learns_from_one_bounded_text_of_each_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_model", lambda rows, **more: seen.extend(rows))
+    df = spark.createDataFrame([(1, "b" * 50_000)] * 300 + [(1, "c"), (2, None), (3, "d")], "doc_id bigint, text string")
+    toxicity.fit(df, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, toxic int"))
+    assert sorted(seen, key=str) == [("b" * toxicity.LEARN_CHARS, 1), ("d", 0), (None, 0)]
