@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import fingerprints, hnsw, html_text, ngram_join, packing, pii, sentencepiece_fst, sharding, toxicity, warc
+from convlens.llm import fingerprints, hnsw, html_text, ngram_join, packing, pii, sentencepiece_fst, sharding, token_alignment, toxicity, warc
 from convlens.llm.common import table
 
 ORACLE: dict[str, str] = {}
@@ -118,4 +118,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_sentencepiece, op4_pii, op5_packing, op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints)}
+def op11_alignment(spark: SparkSession, sf_dir: str, a_path: str = "/opt/tokenizers/byte_bpe_50k.json",
+                   b_path: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), a_path, b_path)
+
+
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_sentencepiece, op4_pii, op5_packing, op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints,
+                                  op11_alignment)}
