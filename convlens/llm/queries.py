@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import fingerprints, hnsw, html_text, ngram_join, packing, pii, sentencepiece_fst, sharding, token_alignment, toxicity, warc
+from convlens.llm import fingerprints, hnsw, html_text, ngram_join, packing, phrases, pii, sentencepiece_fst, sharding, token_alignment, toxicity, warc
 from convlens.llm.common import table
 
 ORACLE: dict[str, str] = {}
@@ -123,5 +123,32 @@ def op11_alignment(spark: SparkSession, sf_dir: str, a_path: str = "/opt/tokeniz
     return token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), a_path, b_path)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+ORACLE["op12_phrases"] = r"""
+    WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    w AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+    n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
+    g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+    f AS (SELECT lang, p, k, count(*) AS f FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+    c AS (SELECT lang, p, k, f, string_split(p, ' ') AS w FROM f WHERE k > 1),
+    inner_ AS (SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS p, max(f) AS longer
+               FROM (SELECT lang, w, f, k, s, unnest(range(1, k - s + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS s FROM c)) GROUP BY 1, 2),
+    cuts AS (SELECT lang, p, f, c.w AS w, unnest(range(1, k)) AS cut FROM c),
+    s AS (SELECT cuts.lang AS lang, cuts.p AS p, cuts.f AS a, cut, x.f AS l, y.f AS r, n,
+                 ((1000::HUGEINT * cuts.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+          FROM cuts JOIN n USING (lang)
+          JOIN f x ON x.lang = cuts.lang AND x.p = array_to_string(w[1:cut], ' ')
+          JOIN f y ON y.lang = cuts.lang AND y.p = array_to_string(w[cut + 1:], ' ')),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+    k AS (SELECT b.* FROM b LEFT JOIN inner_ i ON i.lang = b.lang AND i.p = b.p WHERE longer IS NULL OR longer < a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase, a, l, r, n, score FROM k
+    QUALIFY rank <= 2000"""
+
+
 QUERIES = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_sentencepiece, op4_pii, op5_packing, op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints,
-                                  op11_alignment)}
+                                  op11_alignment, op12_phrases)}
