@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convlens.llm import fingerprints, hnsw, html_text, ngram_join, packing, phrases, pii, sentencepiece_fst, sharding, token_alignment, toxicity, warc
+from convlens.llm import fingerprints, hnsw, html_text, ngram_join, packing, phrases, pii, repeats, sentencepiece_fst, sharding, token_alignment, toxicity, warc
 from convlens.llm.common import table
 
 ORACLE: dict[str, str] = {}
@@ -150,5 +150,9 @@ ORACLE["op12_phrases"] = r"""
     QUALIFY rank <= 2000"""
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+
+
 QUERIES = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_sentencepiece, op4_pii, op5_packing, op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints,
-                                  op11_alignment, op12_phrases)}
+                                  op11_alignment, op12_phrases, op13_repeats)}
