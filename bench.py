@@ -33,8 +33,10 @@ def main() -> None:
     from convlens.plans import frames
     from convlens.plans.q_association import _CATS, vif_table
     from convlens.plans.q_ingest import _records
+    from convlens.plans.q_models import MAX_TREES
     from convlens.session import build_session, scratch_path
     from convlens.sources import sinks
+    from convlens.sources import testdata as td
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus))
     cfg = frames.CFG
@@ -93,8 +95,8 @@ def main() -> None:
 
     # 05 training, all models: split, logistic (full), C tuning by 3-fold CV,
     # random forest, boosted trees with early stopping
-    parts = SP.split_nested(dataset.select("session_id", "target", *MODEL_INPUT_COLUMNS), "session_id",
-                            cfg.test_size, cfg.val_size, cfg.seed)
+    parts = SP.split_stratified(td.learnable_target(dataset).select("session_id", "target", *MODEL_INPUT_COLUMNS),
+                                "session_id", "target", cfg.test_size, cfg.val_size, cfg.seed)
     sinks.write_phase_table(parts, f"{out}/split")
     parts = spark.read.parquet(f"{out}/split")
     fit = parts.where(F.col("split") == "fit")
@@ -104,7 +106,7 @@ def main() -> None:
     models["logreg_full"] = timed("train_logreg", lambda: M.fit_logistic(fit, cfg, 1.0))
     timed("cv_logistic", lambda: M.cv_logistic(fit, cfg).collect())
     models["forest"] = timed("train_forest", lambda: M.fit_forest(fit, cfg))
-    models["boosted"] = timed("train_boosted", lambda: M.fit_boosted(fit, cfg, val)[0])
+    models["boosted"] = timed("train_boosted", lambda: M.fit_boosted(fit, cfg, val, max_iter=MAX_TREES)[0])
 
     # evaluation on the test part (exact AUC, AP, best-F1, calibration)
     def evaluate():

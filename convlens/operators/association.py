@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from convlens.functions import columns as C
-from convlens.functions.stats import chi2_p_udf, normal_p_udf
+from convlens.functions.stats import chi2_p, normal_p
+from convlens.operators.evaluation import keyed_quantiles
 
 
 def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -140,7 +141,7 @@ def two_proportion_z(df: DataFrame, mask: str, target: str = "target") -> DataFr
         F.count_if(~g).cast("bigint").alias("n_rest"),
         F.sum(F.when(~g, t)).alias("x_rest"),
     )
-    return agg.select("*", *_z_columns())
+    return agg.select("*", *_z_columns()).drop("z_raw")
 
 
 def _z_columns():
@@ -148,12 +149,19 @@ def _z_columns():
     p1, p2 = x1 / n1, x2 / n2
     p = (x1 + x2) / (n1 + n2)
     z = (p1 - p2) / F.sqrt(p * (1 - p) * (F.lit(1.0) / n1 + F.lit(1.0) / n2))
-    return [C.round6(p1).alias("cr_group"), C.round6(p2).alias("cr_rest"), C.round6(z).alias("z")]
+    return [C.round6(p1).alias("cr_group"), C.round6(p2).alias("cr_rest"), C.round6(z).alias("z"), z.alias("z_raw")]
 
 
 def hypothesis_battery(eda: DataFrame, target: str = "target",
                        masks=(("H1", "is_organic"), ("H3", "is_first_visit"), ("H4", "is_social")),
                        chi_factor: tuple[str, str] = ("H2", "device_category")) -> DataFrame:
+    """The battery with statistics rounded to 6 digits."""
+    return raw_battery(eda, target, masks, chi_factor).withColumn("statistic", C.round6("statistic"))
+
+
+def raw_battery(eda: DataFrame, target: str = "target",
+                masks=(("H1", "is_organic"), ("H3", "is_first_visit"), ("H4", "is_social")),
+                chi_factor: tuple[str, str] = ("H2", "device_category")) -> DataFrame:
     """H1 organic vs paid (z), H2 device category (chi2), H3 new vs returning
     (z), H4 social vs other (z); one row each, one schema. All z-tests come
     from one conditional-aggregate pass; the chi2 test from the crosstab."""
@@ -169,12 +177,12 @@ def hypothesis_battery(eda: DataFrame, target: str = "target",
                  *[F.col(f"{m}__{k}").alias(k) for k in ("n_group", "x_group", "n_rest", "x_rest")])
         for hid, m in masks])).alias("s")).select("s.*")
     z_rows = z_rows.select("id", "factor", F.lit("z").alias("test"), "n_group", "n_rest", *_z_columns()) \
-                   .select("id", "factor", "test", F.col("z").alias("statistic"), F.lit(None).cast("int").alias("dof"),
+                   .select("id", "factor", "test", F.col("z_raw").alias("statistic"), F.lit(None).cast("int").alias("dof"),
                            "n_group", "n_rest", "cr_group", "cr_rest", F.lit(None).cast("double").alias("cramers_v"))
     hid, factor = chi_factor
     chi = chi2_independence(eda, factor, target)
     chi_row = chi.select(F.lit(hid).alias("id"), F.lit(factor).alias("factor"),
-                         F.lit("chi2").alias("test"), C.round6("chi2").alias("statistic"), "dof",
+                         F.lit("chi2").alias("test"), F.col("chi2").alias("statistic"), "dof",
                          F.col("N").cast("bigint").alias("n_group"), F.lit(None).cast("bigint").alias("n_rest"),
                          F.lit(None).cast("double").alias("cr_group"),
                          F.lit(None).cast("double").alias("cr_rest"),
@@ -183,14 +191,12 @@ def hypothesis_battery(eda: DataFrame, target: str = "target",
 
 
 def with_pvalues(battery: DataFrame, alpha: float = 0.05, n_tests: int = 4) -> DataFrame:
-    """p-values (Arrow UDF over the statistic rows only) and Bonferroni verdicts."""
-    p = F.when(F.col("test") == "z", normal_p_udf(F.col("statistic"))) \
-         .otherwise(chi2_p_udf(F.col("statistic"), F.col("dof")))
+    """p-values from the unrounded statistics (``raw_battery``) and Bonferroni verdicts; statistics and p-values are rounded last."""
+    p = F.when(F.col("test") == "z", normal_p(F.col("statistic"))).otherwise(chi2_p(F.col("statistic"), F.col("dof")))
     bonf = alpha / n_tests
-    return battery.withColumn("pvalue", p) \
-                  .withColumn("alpha", F.lit(alpha)) \
-                  .withColumn("bonferroni_alpha", F.lit(bonf)) \
-                  .withColumn("reject_h0", (F.col("pvalue") < bonf).cast("int"))
+    return battery.withColumn("_p", p).withColumns({
+        "statistic": C.round6("statistic"), "pvalue": C.round6("_p"), "alpha": F.lit(alpha), "bonferroni_alpha": F.lit(bonf),
+        "reject_h0": (F.col("_p") < bonf).cast("int")}).drop("_p")
 
 
 def pearson_long(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -232,6 +238,23 @@ def mi_terms(counts: DataFrame, feature: str = "feature", value: str = "value",
     return c.groupBy(feature).agg(F.sum(term).alias("mi"))
 
 
+def numeric_bins(df: DataFrame, cols: list[str], n_bins: int = 16, target: str = "target") -> DataFrame:
+    """(feature, value, y) rows of numeric columns cut into bins of equal frequency at their exact quantiles: ``value`` is the number
+    of inner edges below the value, so a column of few values keeps them apart; NULL is a bin of its own."""
+    edges = keyed_quantiles(df, cols, [i / n_bins for i in range(1, n_bins)])
+    bins = []
+    for c in cols:
+        x, inner = F.col(c).cast("double"), sorted({e for e in edges[c] if e is not None})
+        number = F.size(F.filter(F.array(*map(F.lit, inner)), lambda e: e < x)) if inner else F.lit(0)
+        bins.append(F.struct(F.lit(c).alias("feature"), F.when(x.isNotNull(), number).cast("string").alias("value")))
+    return df.select(F.col(target).alias("y"), F.explode(F.array(*bins)).alias("b")).select("b.feature", "b.value", "y")
+
+
+def numeric_mi(df: DataFrame, cols: list[str], n_bins: int = 16, target: str = "target") -> DataFrame:
+    """MI of each numeric column, in bins of equal frequency, with the target (feature, mi)."""
+    return mi_terms(numeric_bins(df, cols, n_bins, target).groupBy("feature", "value", "y").agg(F.count(F.lit(1)).alias("n")))
+
+
 def indicator_counts(df: DataFrame, cats: list[str], target: str = "target") -> DataFrame:
     """(feature, value, n1, n0) for every category value: the column sums of a
     one-hot matrix split by class, without building the matrix."""

@@ -94,32 +94,34 @@ def validate_contract(records: DataFrame, json_col: str = "value") -> tuple[Data
     Defaults apply only when a key is *absent* (an explicit null stays null). Extra keys are ignored.
     Rejected rows carry the raw JSON and an array of reasons.
     """
-    # variant keeps each value's JSON type; what is no JSON object gives NULL
-    v = F.try_parse_json(F.col(json_col))
-    keys = F.from_json(F.col(json_col), "map<string,string>")
-    df = records.select(F.col(json_col), keys.alias("_m"), v.alias("_v"))
-    field = lambda name, kind: F.try_variant_get(F.col("_v"), f"$.{name}", kind)
-    is_text = lambda name: F.schema_of_variant(F.variant_get(F.col("_v"), f"$.{name}", "variant")) == "STRING"
+    # variant keeps each value's JSON type; what is no JSON object gives NULL. The parsed record is a generated row, so that
+    # no later filter or projection repeats the parse
+    is_object = F.col(json_col).rlike(r"^\s*\{")
+    df = records.select(F.col(json_col), F.explode(F.array(F.when(is_object, F.try_parse_json(F.col(json_col))))).alias("_v"))
     missing, invalid, fields = [], [], []
-    number = F.coalesce(field("visit_number", "string"), F.lit(None).cast("string"))
-    whole = C.numeric_lenient(number, "int")
+    object_ = F.col("_v").isNotNull()
     for fld in CONTRACT_SCHEMA.fields:
-        name, present = fld.name, F.map_contains_key(F.col("_m"), F.lit(fld.name))
-        given = present & F.col("_m")[name].isNotNull()
+        name = fld.name
+        value = F.try_variant_get(F.col("_v"), f"$.{name}", "variant")
+        present = value.isNotNull()
+        given = present & ~F.is_variant_null(value)
+        text = F.try_variant_get(F.col("_v"), f"$.{name}", "string")
+        is_text = F.schema_of_variant(value) == "STRING"
         if name == "visit_number":
             # integer text must be plain digits; JSON numbers may carry a zero fraction
-            fine = whole.isNotNull() & (whole >= 1) & (~is_text(name) | number.rlike(r"^\s*[+-]?\d+\s*$"))
+            whole = C.numeric_lenient(text, "int")
+            fine = whole.isNotNull() & (whole >= 1) & (~is_text | text.rlike(r"^\s*[+-]?\d+\s*$"))
             invalid.append(F.when(given & ~F.coalesce(fine, F.lit(False)), F.lit("invalid:visit_number")))
             c = whole
         else:
             if name in REQUIRED_INPUT_FIELDS:
-                missing.append(F.when(F.col("_m").isNotNull() & ~F.coalesce(given, F.lit(False)), F.lit(f"missing:{name}")))
-            invalid.append(F.when(given & ~F.coalesce(is_text(name), F.lit(False)), F.lit(f"invalid:{name}")))
-            c = field(name, "string").cast(fld.dataType)
+                missing.append(F.when(object_ & ~F.coalesce(given, F.lit(False)), F.lit(f"missing:{name}")))
+            invalid.append(F.when(given & ~F.coalesce(is_text, F.lit(False)), F.lit(f"invalid:{name}")))
+            c = text.cast(fld.dataType)
         if name in INPUT_DEFAULTS:
             c = F.when(present, c).otherwise(F.lit(INPUT_DEFAULTS[name]).cast(fld.dataType))
         fields.append(c.alias(name))
-    broken = F.when(F.col("_m").isNull(), F.lit("invalid:json"))
+    broken = F.when(~object_, F.lit("invalid:json"))
     df = df.withColumn("_reasons", F.filter(F.array(*missing, *invalid, broken), lambda x: x.isNotNull()))
     accepted = df.where(F.size("_reasons") == 0).select(*fields)
     rejected = df.where(F.size("_reasons") > 0).select(F.col(json_col).alias("record"),

@@ -71,6 +71,17 @@ def roc_auc_exact(df: DataFrame, score: str = "score", label: str = "label") ->
                             / (F.first("P") * F.first("N"))).alias("roc_auc"))
 
 
+def keyed_auc(df: DataFrame, keys: list[str], score: str = "score", label: str = "label") -> DataFrame:
+    """The unrounded AUC of every key (a model variant, a boosting round) in one pass: one row per distinct (key, score) and
+    one running sum per key. Keys without both classes have a NULL AUC."""
+    st = (df.where(F.col(score).isNotNull()).groupBy(*keys, F.col(score).cast("double").alias("score"))
+          .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
+    cum = ordered_prefix(st, "score", ["neg"], keys=list(keys))
+    pairs = F.sum(F.col("pos").cast("double")) * F.sum(F.col("neg").cast("double"))
+    won = F.sum(F.col("pos") * (F.col("cum_neg") - 0.5 * F.col("neg")))
+    return cum.groupBy(*keys).agg(F.when(pairs > 0, won / pairs).alias("auc"))
+
+
 def average_precision(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Step-wise AP: sum over thresholds of (recall gain) x precision."""
     cum = cumulative(df, score, label)
@@ -136,6 +147,29 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float]:
     return out
 
 
+def keyed_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Exact linear-interpolation quantiles of many numeric columns, NULLs left out, from one keyed running sum over
+    (column, value) counts: no buffer holds a column. Per column, as many values as it has wanted ranks reach the driver."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("x")
+    counts = (df.select(pairs).select("x.*").where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("column", "v").agg(F.count(F.lit(1)).alias("c")))
+    cum = ordered_prefix(counts, "v", ["c"], keys=["column"]).select("column", "v", (F.col("cum_c") - F.col("c")).alias("lo"), F.col("cum_c").alias("hi"))
+    sizes = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.sum("c").alias("n")).collect()}
+    wanted = {c: sorted({r for p in probs for r in _rank_pair(p, n)}) for c, n in sizes.items()}
+    hit = F.lit(False)
+    for c, ranks in wanted.items():
+        inside = F.exists(F.array(*map(F.lit, ranks)), lambda r: (F.col("lo") <= r) & (F.col("hi") > r))
+        hit = F.when(F.col("column") == c, inside).otherwise(hit)
+    rows = cum.where(hit).collect() if wanted else []
+    out: dict[str, list[float | None]] = {}
+    for c in cols:
+        at = {r: row["v"] for row in rows if row["column"] == c for r in wanted[c] if row["lo"] <= r < row["hi"]}
+        out[c] = [None] * len(probs)
+        for i, p in enumerate(probs if c in sizes else ()):
+            lo, hi = _rank_pair(p, sizes[c])
+            out[c][i] = at[lo] + (p * (sizes[c] - 1) - lo) * (at[hi] - at[lo])
+    return out
+
+
 def _rank_pair(p: float, n: int):
     import math
 

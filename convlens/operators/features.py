@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from convlens.contracts import CATEGORICAL_FEATURES, DEFAULT_CONFIG, NUMERIC_FEATURES, ConversionConfig, assert_no_leak
 from convlens.functions import columns as C
 from convlens.operators.cleaning import normalize_column
+from convlens.operators.evaluation import keyed_quantiles
 
 
 def feature_columns(cfg: ConversionConfig = DEFAULT_CONFIG) -> list:
@@ -178,10 +179,9 @@ class _ColsParams(Params):
 
 class MedianImputer(Estimator, _ColsParams, DefaultParamsReadable, DefaultParamsWritable):
     """Median learned on train. ``relativeError = 0`` (default) is the exact
-    median with linear interpolation, as numpy; its aggregation buffer holds
-    one entry per distinct value, which suits the low-cardinality features
-    here. A positive ``relativeError`` switches to ``percentile_approx``
-    (bounded sketch) for high-cardinality columns."""
+    median with linear interpolation, as numpy, of all columns from one keyed
+    running sum over their distinct values (no aggregation buffer holds a column).
+    A positive ``relativeError`` switches to ``percentile_approx``."""
 
     relativeError = Param(Params._dummy(), "relativeError", "0 = exact median", TypeConverters.toFloat)
 
@@ -200,8 +200,7 @@ class MedianImputer(Estimator, _ColsParams, DefaultParamsReadable, DefaultParams
             acc = int(max(1, round(1.0 / err)))
             row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, acc).alias(c) for c in cols]).first()
             return MedianImputerModel(inputCols=cols, mediansJson=json.dumps({c: row[c] for c in cols}))
-        row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
-        return MedianImputerModel(inputCols=cols, mediansJson=json.dumps({c: row[c] for c in cols}))
+        return MedianImputerModel(inputCols=cols, mediansJson=json.dumps(exact_medians(df, cols)))
 
 
 class MedianImputerModel(Model, _ColsParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -261,10 +260,13 @@ class PopulationScalerModel(Model, _ColsParams, DefaultParamsReadable, DefaultPa
         return df.withColumns(out)
 
 
+def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    return {c: q[0] for c, q in keyed_quantiles(df, list(cols), [0.5]).items()}
+
+
 def median_impute(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Exact medians from ONE aggregate (len(cols) numbers reach the driver),
-    applied as literals."""
-    row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    """Exact medians (len(cols) numbers reach the driver), applied as literals."""
+    row = exact_medians(df, cols)
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(row[c]).cast("double")) for c in cols})
 
 

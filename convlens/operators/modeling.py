@@ -22,7 +22,10 @@ from pyspark.sql import functions as F
 from convlens.contracts import CATEGORICAL_FEATURES, NUMERIC_FEATURES, ConversionConfig
 from convlens.functions import columns as C
 from convlens.operators import features as FE
-from convlens.operators.splits import hash_unit, with_class_weight
+from convlens.operators.evaluation import keyed_auc
+from convlens.operators.ordered import ordered_prefix
+from convlens.operators.splits import stratified_folds, with_class_weight
+from convlens.operators.trees import staged_auc, truncated
 from convlens.session import cut_lineage
 
 
@@ -110,33 +113,31 @@ def _boost(data: DataFrame, cfg: ConversionConfig, trees: int, depth: int, lr: f
                          stepSize=lr, seed=cfg.seed, featureSubsetStrategy="all").fit(data)
 
 
-def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
-    """(trees up to the best loss, whether ``patience`` further ones brought no better)."""
-    best = min(range(len(losses)), key=losses.__getitem__)
-    return best + 1, len(losses) - best - 1 >= patience
+def best_round(aucs: list[float], patience: int) -> int:
+    """Rounds up to the first best AUC after which ``patience`` rounds bring no better; what comes later is not looked at."""
+    best = 0
+    for i, auc in enumerate(aucs):
+        if auc > aucs[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 def fit_boosted(train: DataFrame, cfg: ConversionConfig, val: DataFrame | None = None, max_iter: int = 1500, depth: int = 6,
-                lr: float = 0.05, patience: int = 20, smoothing: float = 1.0) -> tuple[PipelineModel, int]:
+                lr: float = 0.05, patience: int = 60, smoothing: float = 1.0) -> tuple[PipelineModel, int]:
     """Gradient-boosted trees on target-encoded categories + numeric features. Returns (model, trees used).
 
-    With ``val``, the loss on it after every tree is read off one fit; the fit is repeated with twice the trees until
-    ``patience`` trees past the best one bring no gain (Spark's own early stop ends at the first tree that does not gain), and the
-    model is the fit with the best number of trees. Without ``val`` it has ``max_iter`` trees."""
+    With ``val``, one ensemble of ``max_iter`` trees is fitted, the exact ROC-AUC on ``val`` after every round is read off it
+    (``operators/trees.py``), and the trees after the best round (the first one that ``patience`` rounds do not beat) are
+    cut off. Without ``val`` the model has ``max_iter`` trees."""
     data, stages = _boosting_frame(train, cfg, smoothing)
+    gbt = _boost(data, cfg, max_iter, depth, lr)
     if val is None:
-        return PipelineModel(stages=[*stages, _boost(data, cfg, max_iter, depth, lr)]), max_iter
-    held = cut_lineage(PipelineModel(stages=stages).transform(val).select("features", "target", F.lit(1.0).alias("weight")))
-    trees = min(max_iter, 2 * patience)
-    while True:
-        gbt = _boost(data, cfg, trees, depth, lr)
-        best, done = best_round(gbt.evaluateEachIteration(held), patience)
-        if done or trees >= max_iter:
-            break
-        trees = min(max_iter, 2 * trees)
-    if best < trees:  # the same seed gives the same first trees
-        gbt = _boost(data, cfg, best, depth, lr)
-    return PipelineModel(stages=[*stages, gbt]), best
+        return PipelineModel(stages=[*stages, gbt]), max_iter
+    held = cut_lineage(PipelineModel(stages=stages).transform(val).select("features", "target"))
+    best = best_round(staged_auc(gbt, held), patience)
+    return PipelineModel(stages=[*stages, truncated(gbt, best, held.sparkSession)]), best
 
 
 def refit_boosted(train: DataFrame, cfg: ConversionConfig, n_trees: int, **kw) -> PipelineModel:
@@ -150,11 +151,11 @@ def positive_probability(scored: DataFrame, out: str = "score") -> DataFrame:
 
 
 def cv_logistic(fit: DataFrame, cfg: ConversionConfig, grid=(0.3, 1.0, 3.0), folds: int = 3) -> DataFrame:
-    """Tune C by k-fold CV on hash folds (``foldCol``) with exact-rank ROC-AUC
+    """Tune C by stratified k-fold CV (``foldCol``; exact counts per class) with exact-rank ROC-AUC
     (``numBins=0``). As in the analysed workflow, the feature encoder is fitted
     once on the fit part and only the learner is cross-validated; the encoded
     matrix is checkpointed, and folds x C fits run ``len(grid)`` at a time."""
-    w = with_class_weight(fit, "target").withColumn("fold", hash_unit("session_id", cfg.seed, "cv") % folds)
+    w = stratified_folds(with_class_weight(fit, "target"), "session_id", "target", folds, cfg.seed)
     n = fit.count()
     encoder = fit_featurized(w, encoder_stages(cfg))
     encoded = cut_lineage(encoder.transform(w).select("features", "target", "weight", "fold"))
@@ -188,32 +189,39 @@ def feature_importance(model: PipelineModel, sample: DataFrame) -> DataFrame:
     return sample.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
-def permutation_importance(model: PipelineModel, data: DataFrame, columns: list[str], repeats: int = 1,
+def shuffled_pairs(data: DataFrame, key: str, repeats: int, seed: int) -> DataFrame:
+    """(repeat, key, donor key): for each repeat a random permutation of all rows.
+
+    The rows are ordered by ``repeats + 1`` keyed hashes, all ranked in one keyed pass (no task holds more than a range of rows); equal
+    ranks in the first order and another one make a pair. ``key`` is unique in ``data``."""
+    h = F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string"), F.lit(str(seed)), F.col("_order")), 11).cast("double")
+    orders = (data.select(key, F.explode(F.sequence(F.lit(0), F.lit(repeats))).alias("_order"))
+              .withColumn("_h", h).withColumn("_one", F.lit(1)))
+    ranks = cut_lineage(ordered_prefix(orders, "_h", ["_one"], keys=["_order"]).select(key, "_order", F.col("cum__one").alias("_rank")))
+    own = ranks.where(F.col("_order") == 0).drop("_order")
+    donors = ranks.where(F.col("_order") > 0).select("_rank", F.col("_order").alias("repeat"), F.col(key).alias("donor"))
+    return own.join(donors, "_rank").select("repeat", key, "donor")
+
+
+def permutation_importance(model: PipelineModel, data: DataFrame, columns: list[str], repeats: int = 5,
                            seed: int = 42, key: str = "session_id") -> DataFrame:
-    """Mean exact ROC-AUC drop when one raw input column is shuffled over all rows, ``repeats`` times per column.
-
-    A shuffle pairs the rows' ranks by their key with the ranks by a keyed hash. Ranks come from ``ordered_prefix`` over
-    hashes, so no task holds more than one range of rows; the variants run one after another, each with its own AUC."""
-    from convlens.operators.evaluation import roc_auc_exact
-    from convlens.operators.ordered import ordered_prefix
-
-    def ranked(df: DataFrame, salt: str) -> DataFrame:
-        h = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(f"{seed}:{salt}")), 11).cast("double")
-        one = df.withColumn("_h", h).withColumn("_one", F.lit(1))
-        return ordered_prefix(one, "_h", ["_one"]).withColumnRenamed("cum__one", "_rank").drop("_h", "_one")
-
-    base = cut_lineage(ranked(data, "base"))
-    auc = lambda df: roc_auc_exact(positive_probability(model.transform(df)).select("score", F.col("target").alias("label"))).first()[0]
-    whole = auc(base.drop("_rank"))
-    rows = []
-    for c in columns:
-        drops = []
-        for r in range(repeats):
-            donors = ranked(data.select(key, c), f"{c}:{r}").select("_rank", F.col(c).alias("_donor"))
-            shuffled = base.join(donors, "_rank").withColumn(c, F.col("_donor")).drop("_donor", "_rank")
-            drops.append(whole - auc(shuffled))
-        rows.append((c, round(sum(drops) / len(drops), 6)))
-    return data.sparkSession.createDataFrame(rows, "feature string, importance double")
+    """Mean exact ROC-AUC drop when one raw input column is shuffled over all rows, ``repeats`` times.
+
+    A repeat has one permutation of the rows for all columns. Each row is scored once as it is and, per repeat, once per column with that column
+    taken from its donor: one scoring pass over rows * (1 + repeats * columns), then one AUC per (repeat, column), all
+    from one keyed running sum."""
+    data = cut_lineage(data)
+    donors = data.select(F.col(key).alias("donor"), F.struct(*columns).alias("_donor"))
+    rows = data.join(shuffled_pairs(data, key, repeats, seed), key).join(donors, "donor").drop("donor")
+    rows = rows.withColumn("column", F.explode(F.array(*map(F.lit, columns))))
+    variants = rows.select("repeat", "column", *[
+        F.when(F.col("column") == c, F.col("_donor")[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in data.columns])
+    whole = data.select(F.lit(0).alias("repeat"), F.lit("").alias("column"), *data.columns)
+    scored = positive_probability(model.transform(whole.unionByName(variants)))
+    auc = cut_lineage(keyed_auc(scored.select("repeat", "column", "score", F.col("target").alias("label")), ["repeat", "column"]))
+    base = auc.where(F.col("repeat") == 0).select("auc").scalar()
+    return (auc.where(F.col("repeat") > 0).groupBy(F.col("column").alias("feature"))
+            .agg(F.round(F.avg(base - F.col("auc")), 6).alias("importance"), F.round(F.stddev_pop("auc"), 6).alias("spread")))
 
 
 def linear_contributions(model: PipelineModel, data: DataFrame) -> DataFrame:

@@ -63,12 +63,14 @@ def sequence_within_group(df: DataFrame, group: list[str], slice_col: str,
             .drop("_before", "_rn_in_cell", "_sub"))
 
 
-def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str],
+def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str], keys: list[str] = (),
                    range_rows: int = 100_000, most_ranges: int = 100_000, accuracy: int = 100_000) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows with ``order_col`` <= this row's
     (ascending, ties by ``order_col`` only: callers pass distinct keys).
 
-    ``df`` should already be reduced to one row per distinct ``order_col``.
+    With ``keys`` each key has running sums of its own, all keys in one pass: the ranges are cut over all rows,
+    so a (key, range) part is never larger than a range.
+    ``df`` should already be reduced to one row per distinct ``order_col`` (and key).
     The number of ranges follows the number of rows (about ``range_rows`` in each); only their boundaries, at most
     ``most_ranges``, are brought to the driver. One aggregate counts and cuts; a second is needed above a thousand ranges.
     """
@@ -84,15 +86,15 @@ def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str],
     splits = [float("-inf"), *cuts, float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol=order_col, outputCol="_range",
                           handleInvalid="keep").transform(df.withColumn(order_col, F.col(order_col).cast("double")))
-    totals = bucketed.groupBy("_range").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    w_all = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = bucketed.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    w_all = (Window.partitionBy(*keys) if keys else Window).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # one row per range: at most most_ranges rows, so the single-partition window
     # and the broadcast below are bounded by that, not by the data.
-    offsets = totals.select("_range", *[
+    offsets = totals.select(*keys, "_range", *[
         F.coalesce(F.sum(f"_tot_{c}").over(w_all), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    w_in = (Window.partitionBy("_range").orderBy(order_col)
+    w_in = (Window.partitionBy(*keys, "_range").orderBy(order_col)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = bucketed.join(F.broadcast(offsets), on="_range", how="inner")
+    out = bucketed.join(offsets if keys else F.broadcast(offsets), on=[*keys, "_range"], how="inner")
     for c in sum_cols:
         out = out.withColumn(f"cum_{c}", F.col(f"_off_{c}") + F.sum(c).over(w_in))
     return out.drop("_range", *[f"_off_{c}" for c in sum_cols])

@@ -31,21 +31,49 @@ def missing_before_after(before: DataFrame, after: DataFrame) -> DataFrame:
             .withColumn("dropped", F.col("missing_after_pct").isNull().cast("int")))
 
 
+def _long(df: DataFrame, by: list[str] = ()) -> DataFrame:
+    """(by, column, value) with a row per cell, as text: one generated array a row, whatever the number of columns."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns if c not in by]
+    return df.select(*by, F.explode(F.array(*cells)).alias("x")).select(*by, "x.column", "x.value")
+
+
+def _types(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields], "column string, dtype string")
+
+
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """(column, dtype, null_pct, n_distinct) in one aggregate pass. ``approx``
-    swaps exact distinct counts for HyperLogLog++ when tables are huge."""
-    dist = F.approx_count_distinct if approx else F.count_distinct
-    aggs = []
-    for c in df.columns:
-        aggs.append((F.avg(F.col(c).isNull().cast("double")) * 100).alias(f"n__{c}"))
-        aggs.append(dist(F.col(c)).cast("bigint").alias(f"d__{c}"))
-    row = df.agg(*aggs)
-    nulls = _unpivot_one_row(row.select([f"n__{c}" for c in df.columns]), df.columns, "n__", "null_pct")
-    dists = _unpivot_one_row(row.select([f"d__{c}" for c in df.columns]), df.columns, "d__", "n_distinct")
-    types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
-                                            "column string, dtype string")
-    return (types.join(nulls, "column").join(dists, "column")
-            .select("column", "dtype", F.round("null_pct", 6).alias("null_pct"), "n_distinct"))
+    """(column, dtype, null_pct, n_distinct) of all columns. Exact counts come from two aggregates: (column, value) first,
+    combined before the shuffle, so a frequent value is a row, then column. ``approx`` merges sketches instead."""
+    if approx:
+        counts = merged_profile(profile_sketches(df)).withColumnsRenamed({"n_distinct_estimate": "n_distinct"})
+    else:
+        counts = (_long(df).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("column")
+                  .agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
+                       F.count("value").alias("n_distinct")))
+    return (_types(df).join(counts, "column")
+            .select("column", "dtype", F.round(F.col("n_null") * 100.0 / F.col("n_rows"), 6).alias("null_pct"), "n_distinct"))
+
+
+def profile_sketches(df: DataFrame, by: list[str] = (), lg_k: int = 12) -> DataFrame:
+    """Per (``by``, column): n_rows, n_null, least and greatest value as text, and an HLL sketch of the distinct values. Rows
+    of new partitions are made by themselves and kept beside the old ones; ``merged_profile`` puts any of them together
+    without reading the data again."""
+    names = [c for c in df.columns if c not in by]
+    text = {c: F.col(c).cast("string") for c in names}
+    # all columns in one aggregate: a buffer of 2 ** lg_k bytes at most per column and group
+    row = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"z__{c}") for c in names],
+                              *[F.min(text[c]).alias(f"a__{c}") for c in names], *[F.max(text[c]).alias(f"b__{c}") for c in names],
+                              *[F.hll_sketch_agg(text[c], lg_k).alias(f"s__{c}") for c in names])
+    cells = [F.struct(F.lit(c).alias("column"), F.col("n").alias("n_rows"), F.col(f"z__{c}").alias("n_null"), F.col(f"a__{c}").alias("least"),
+                      F.col(f"b__{c}").alias("greatest"), F.col(f"s__{c}").alias("sketch")) for c in names]
+    return row.select(*by, F.explode(F.array(*cells)).alias("x")).select(*by, "x.*")
+
+
+def merged_profile(sketches: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Sketch rows of any partitions put together: (``by``, column, n_rows, n_null, least, greatest, n_distinct_estimate)."""
+    return (sketches.groupBy(*by, "column").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.min("least").alias("least"), F.max("greatest").alias("greatest"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct_estimate")))
 
 
 def combine_rows(*rows: DataFrame) -> DataFrame:

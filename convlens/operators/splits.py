@@ -35,6 +35,81 @@ def split_nested(df: DataFrame, key: str = "session_id", test_size: float = 0.2,
                            .when(F.col(out) == "train", F.lit("fit")).otherwise(F.col(out)))
 
 
+def least_hashes(df: DataFrame, key: str, target: str, ranks: dict, seed: int | str, salt: str = "", few: int = 100_000) -> dict:
+    """Per class and rank k of ``ranks`` (class -> ranks), the k-th least ``md5(key:seed[:salt])`` of the class's rows.
+
+    Hashes are counted by their first hex digits: one aggregate finds in which prefix each rank lies, and prefixes are made
+    longer, two digits more in each pass, only for those still wanted, until at most ``few`` rows share one; these
+    are ranked. So no pass sorts or collects more than a few rows, and none of its tables is larger than 256 rows a wanted rank.
+    """
+    h = _hash(key, seed, salt)
+    hashed = df.select(F.col(target).alias("c"), h.alias("h"))
+    wanted = [(c, k, "", k) for c, ks in ranks.items() for k in ks if k > 0]  # class, rank, prefix, rank within the prefix
+    found = {}
+    while wanted:
+        some = sorted({(c, p) for c, _, p, _ in wanted}, key=str)
+        width = len(some[0][1]) + 2
+        cond = None
+        for c, p in some:
+            one = F.col("c").eqNullSafe(F.lit(c)) & F.col("h").startswith(p)
+            cond = one if cond is None else cond | one
+        counts = hashed.where(cond).groupBy("c", F.substring("h", 1, width).alias("p")).count().collect()
+        last, deeper = [], []
+        for c, k, prefix, rest in wanted:
+            for p, n in sorted((r["p"], r["count"]) for r in counts if r["c"] == c and r["p"].startswith(prefix)):
+                if rest <= n:
+                    (last if n <= few or width >= 32 else deeper).append((c, k, p, rest))
+                    break
+                rest -= n
+        for c, p in {(c, p) for c, _, p, _ in last}:
+            # at most ``few`` rows; a whole hash that more rows share is its own answer
+            values = [p] if len(p) >= 32 else [r["h"] for r in hashed.where(F.col("c").eqNullSafe(F.lit(c)) & F.col("h").startswith(p)).orderBy("h").collect()]
+            found |= {(c, k): values[min(rest, len(values)) - 1] for d, k, q, rest in last if (d, q) == (c, p)}
+        wanted = deeper
+    return found
+
+
+def _hash(key, seed: int | str, salt: str = "") -> F.Column:
+    return F.md5(F.concat_ws(":", C.col_(key).cast("string"), F.lit(str(seed)), *([F.lit(salt)] if salt else [])))
+
+
+def stratified_parts(df: DataFrame, key: str, target: str, shares: list[float], seed: int | str = 42, salt: str = "",
+                     out: str = "part") -> DataFrame:
+    """``out`` = number of the part (from 0) of each row: within every class, parts hold exactly
+    ``round(n * (shares up to it))`` rows less those before, by rank of the keyed hash. A pure filter once the thresholds (one per class and
+    part) are known: no shuffle, no dependence on partitioning. Rows with equal keys stay together."""
+    per = _class_counts(df, target)
+    ends = [sum(shares[:i + 1]) for i in range(len(shares) - 1)]
+    cuts = {c: [int(n * e + 0.5) for e in ends] for c, n in per.items()}
+    least = least_hashes(df, key, target, cuts, seed, salt)
+    h = _hash(key, seed, salt)
+    part = F.lit(0)
+    for i in range(len(ends)):
+        above = F.lit(True)
+        for c, ks in cuts.items():
+            limit = least.get((c, ks[i]))
+            above = F.when(F.col(target).eqNullSafe(F.lit(c)), h > F.lit(limit) if limit is not None else F.lit(True)).otherwise(above)
+        part = part + above.cast("int")
+    return df.withColumn(out, part)
+
+
+def split_stratified(df: DataFrame, key: str = "session_id", target: str = "target", test_size: float = 0.2, val_size: float = 0.1,
+                     seed: int = 42, out: str = "split") -> DataFrame:
+    """test / val / fit with exact counts per class: ``val`` is ``val_size`` of the train part, by an independent hash."""
+    base = stratified_parts(df, key, target, [test_size, 1 - test_size], seed, out="_test")
+    train = base.where(F.col("_test") == 1)
+    inner = stratified_parts(train, key, target, [val_size, 1 - val_size], seed, "val", out="_val")
+    split = F.when(F.col("_val") == 0, F.lit("val")).otherwise(F.lit("fit"))
+    tested = base.where(F.col("_test") == 0).withColumn(out, F.lit("test"))
+    return tested.unionByName(inner.withColumn(out, split).drop("_val")).drop("_test")
+
+
+def stratified_folds(df: DataFrame, key: str = "session_id", target: str = "target", folds: int = 3, seed: int = 42,
+                     out: str = "fold") -> DataFrame:
+    """``out`` = 0 to folds - 1, with equal counts per class (but for rounding)."""
+    return stratified_parts(df, key, target, [1 / folds] * folds, seed, "cv", out)
+
+
 def split_summary(df: DataFrame, split: str = "split", target: str = "target") -> DataFrame:
     return df.groupBy(split).agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                                  C.round6(F.avg(F.col(target).cast("double"))).alias("cr"))

@@ -6,6 +6,7 @@ import itertools
 import json
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from convlens.contracts import NUMERIC_FEATURES
@@ -153,10 +154,32 @@ def hypothesis_battery(spark, sf):
     return A.hypothesis_battery(frames.eda(spark, sf))
 
 
-@register("hypothesis_verdicts")
+def _p_sql() -> str:
+    """The p-value of a row: the same fit of erfc, and the chi-square series in closed terms."""
+    from convlens.functions.stats import ERFC_FIT
+
+    def erfc(x: str) -> str:
+        t, power = f"(1.0 / (1.0 + 0.5 * {x}))", str(ERFC_FIT[-1])
+        for c in reversed(ERFC_FIT[:-1]):
+            power = f"({power} * {t} + ({c}))"
+        return f"({t} * exp({power} - {x} * {x}))"
+
+    term = "exp((i + dof % 2 / 2.0) * ln(raw / 2) - lgamma(i + dof % 2 / 2.0 + 1) - raw / 2)"
+    chi = f"least(1.0, CASE WHEN dof % 2 = 1 THEN {erfc('sqrt(raw / 2)')} ELSE 0.0 END + list_sum(list_transform(range(0, dof // 2), lambda i: {term})))"
+    return f"CASE WHEN test = 'z' THEN {erfc('(abs(raw) / sqrt(2.0))')} ELSE {chi} END"
+
+
+_RAW_BATTERY_SQL = (_BATTERY_SQL.replace("z AS statistic", "zr AS raw").replace(_z_cols(), _z_cols() + ", " + _z_cols().split("cr_rest, ")[1][6:].rsplit(", 6)", 1)[0] + " AS zr")
+                    .replace("round(CASE WHEN (r - 1) * (k - 1) = 1 THEN yt.chi2_y ELSE chi2_raw END, 6),\n       CAST((r", "CASE WHEN (r - 1) * (k - 1) = 1 THEN yt.chi2_y ELSE chi2_raw END,\n       CAST((r"))
+_VERDICTS_SQL = f"""SELECT id, factor, test, round(raw, 6) AS statistic, dof, n_group, n_rest, cr_group, cr_rest, cramers_v,
+       round(p, 6) AS pvalue, {CFG.alpha} AS alpha, {CFG.alpha / 4} AS bonferroni_alpha, CAST(p < {CFG.alpha / 4} AS INTEGER) AS reject_h0
+FROM (SELECT *, {_p_sql()} AS p FROM ({_RAW_BATTERY_SQL}) b0) b1"""
+
+
+@register("hypothesis_verdicts", _VERDICTS_SQL)
 def hypothesis_verdicts(spark, sf):
-    """Battery + p-values (Arrow UDF over the 4 statistic rows) + Bonferroni."""
-    return A.with_pvalues(A.hypothesis_battery(frames.eda(spark, sf)), CFG.alpha, 4)
+    """Battery + p-values of the unrounded statistics + Bonferroni."""
+    return A.with_pvalues(A.raw_battery(frames.eda(spark, sf)), CFG.alpha, 4)
 
 
 # --- D26-D30: correlation, VIF, MI, chi2 scores over engineered features -----------
@@ -281,6 +304,38 @@ def mi_numeric(spark, sf):
     return A.mi_terms(counts).select("feature", C.round6("mi").alias("mi"))
 
 
+_BINS = 16
+_NUM_MI = (", nl AS (SELECT target, feature, value FROM (SELECT target, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC_FEATURES)
+           + " FROM features) UNPIVOT INCLUDE NULLS (value FOR feature IN (" + ", ".join(NUMERIC_FEATURES) + """))),
+ne AS (SELECT feature, list_distinct(quantile_cont(value, [""" + ", ".join(repr(i / _BINS) for i in range(1, _BINS)) + """])) AS e FROM nl GROUP BY feature),
+nb AS (SELECT nl.feature AS feature, target AS y, CASE WHEN value IS NULL THEN 'none' ELSE CAST(len(list_filter(e, lambda q: q < value)) AS VARCHAR) END AS bin
+       FROM nl JOIN ne ON nl.feature = ne.feature),
+ncnt AS (SELECT feature, bin, y, count(*) AS n FROM nb GROUP BY 1, 2, 3),
+nc AS (SELECT *, CAST(sum(n) OVER (PARTITION BY feature) AS DOUBLE) AS nn, CAST(sum(n) OVER (PARTITION BY feature, bin) AS DOUBLE) AS nx,
+              CAST(sum(n) OVER (PARTITION BY feature, y) AS DOUBLE) AS ny FROM ncnt),
+nmi AS (SELECT feature, sum(n / nn * ln(n * nn / (nx * ny))) AS mi FROM nc GROUP BY feature)""")
+
+
+@register("mi_ranked_columns", _MI_CTE + _NUM_MI + """
+SELECT "column", round(mi, 6) AS mi FROM (SELECT "column", mi FROM mi UNION ALL SELECT feature, mi FROM nmi) u""")
+def mi_ranked_columns(spark, sf):
+    """Every encoded column, one-hot and numeric (in bins of equal frequency), by its MI with the target, most informative first."""
+    onehot = A.onehot_mi(grouped_features(spark, sf), list(_CATS)).select("column", "mi")
+    numeric = A.numeric_mi(features(spark, sf), list(NUMERIC_FEATURES), _BINS).select(F.col("feature").alias("column"), "mi")
+    return onehot.unionByName(numeric).select("column", C.round6("mi").alias("mi")).orderBy(F.desc("mi"), "column")
+
+
+@register("mi_ranked_features", _MI_CTE + _NUM_MI + """
+SELECT feature, round(mi, 6) AS mi, CAST(rank() OVER (ORDER BY round(mi, 6) DESC) AS INTEGER) AS rank
+FROM (SELECT feature, sum(mi) AS mi FROM mi GROUP BY feature UNION ALL SELECT feature, mi FROM nmi) u""")
+def mi_ranked_features(spark, sf):
+    """All 29 source features ranked by MI: a category's one-hot columns summed, a numeric feature in bins of equal frequency."""
+    onehot = A.onehot_mi(grouped_features(spark, sf), list(_CATS)).groupBy("feature").agg(F.sum("mi").alias("mi"))
+    numeric = A.numeric_mi(features(spark, sf), list(NUMERIC_FEATURES), _BINS)
+    both = onehot.unionByName(numeric.select("feature", "mi")).select("feature", C.round6("mi").alias("mi"))
+    return both.withColumn("rank", F.rank().over(Window.orderBy(F.desc("mi"))))  # one row per feature
+
+
 @register("chi2_feature_scores", _IND + """
 , sc AS (SELECT feature || '_' || value AS "column",
         (n1 - (n1 + n0) * tot1 / (tot1 + tot0)) ^ 2 / ((n1 + n0) * tot1 / (tot1 + tot0))

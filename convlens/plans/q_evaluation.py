@@ -1,5 +1,5 @@
 """Evaluation queries on a deterministic (score, label) pair (SURVEY 2.8 F1-F10,
-L3, L4): score = quantity / 50, label = returned line."""
+L3, L4): the score is made of price and label, tens of thousands of distinct ones."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from convlens.sources import testdata as td
 
 SCORED = """WITH scored AS (
   SELECT CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) AS row_id,
-         l_quantity / 50.0 AS score, CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem),
+         ((l_extendedprice % 1000.0) / 1000.0 + CASE WHEN l_returnflag = 'R' THEN 0.25 ELSE 0.0 END) / 1.25 AS score, CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem),
 st AS (SELECT CAST(score AS DOUBLE) AS score, count(*) FILTER (WHERE label = 1) AS pos,
               count(*) FILTER (WHERE label <> 1) AS neg FROM scored GROUP BY score),
 cum AS (SELECT *, CAST(sum(pos) OVER (ORDER BY score DESC) AS DOUBLE) AS tp,

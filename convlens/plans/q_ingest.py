@@ -12,6 +12,8 @@ from convlens.plans.oracle import (
     BASE, CFG, HITS, POSITIVES, RAW_SESSIONS, TARGET_SET, date_lenient, norm, seconds, strip, with_,
 )
 from convlens.plans.registry import register
+from convlens.session import scratch_path
+from convlens.sources import sinks
 from convlens.sources import readers
 from convlens.sources import testdata as td
 
@@ -214,6 +216,27 @@ def column_profile(spark, sf):
     return profiling.column_profile(frames.dataset(spark, sf).select(*_PROFILE_COLS))
 
 
+@register("profile_sketches", with_(*BASE) + """
+, d AS (UNPIVOT (SELECT """ + ", ".join(f"count(DISTINCT {c}) AS {c}" for c in _PROFILE_COLS) + """ FROM dataset) ON COLUMNS(*) INTO NAME "column" VALUE n_distinct),
+z AS (UNPIVOT (SELECT """ + ", ".join(f"count(*) FILTER ({c} IS NULL) AS {c}" for c in _PROFILE_COLS) + """ FROM dataset) ON COLUMNS(*) INTO NAME "column" VALUE n_null),
+ab AS (UNPIVOT (SELECT """ + ", ".join(f"min(CAST({c} AS VARCHAR)) || '..' || max(CAST({c} AS VARCHAR)) AS {c}" for c in _PROFILE_COLS) + """
+       FROM dataset) ON COLUMNS(*) INTO NAME "column" VALUE span)
+SELECT d."column", (SELECT count(*) FROM dataset) AS n_rows, CAST(n_null AS BIGINT) AS n_null, span, CAST(n_distinct AS BIGINT) AS n_distinct, 1 AS estimate_in_bound
+FROM d JOIN z ON d."column" = z."column" LEFT JOIN ab ON d."column" = ab."column" """)
+def profile_sketches(spark, sf):
+    """Sketches per visit month, written, read and merged; beside the exact distinct counts, whether the merged estimate is
+    within four standard errors of a sketch of 4,096 registers."""
+    data = sinks.with_visit_month(frames.dataset(spark, sf).select(*_PROFILE_COLS))
+    path = scratch_path(spark, "profile-sketches")
+    profiling.profile_sketches(data, by=["visit_ym"]).write.partitionBy("visit_ym").parquet(path)
+    merged = profiling.merged_profile(spark.read.parquet(path))
+    exact = profiling.column_profile(data.drop("visit_ym")).select("column", "n_distinct")
+    off = F.abs(F.col("n_distinct_estimate") - F.col("n_distinct"))
+    return merged.join(exact, "column").select(
+        "column", "n_rows", "n_null", F.concat("least", F.lit(".."), "greatest").alias("span"), "n_distinct",
+        (off <= 4 * 1.04 / 64 * F.col("n_distinct") + 1).cast("int").alias("estimate_in_bound"))
+
+
 @register("ingestion_summary", with_(RAW_SESSIONS, HITS, POSITIVES) + """
 , hs AS (SELECT DISTINCT session_id FROM hits WHERE session_id IS NOT NULL)
 SELECT CAST(count(s.session_id) AS BIGINT) AS n_sessions,

@@ -14,7 +14,7 @@ from convlens.streaming import scoring as SS
 @register("stream_label", with_(HITS) + f"""
 SELECT DISTINCT session_id FROM hits WHERE event_action IN ({TARGET_SET}) AND session_id IS NOT NULL""")
 def stream_label(spark, sf):
-    """Line items replayed as a hit stream -> converted session ids; equals the
+    """Line items replayed as a hit stream -> converted session ids, each given out once; equals the
     batch label (C1) once the stream has caught up."""
     path = f"{sf.rstrip('/')}/lineitem.parquet"
     schema = spark.read.parquet(path).schema
@@ -24,7 +24,7 @@ def stream_label(spark, sf):
     src = SL.hits_stream(spark, base + "/in", schema, max_files=2)
     hits = src.select(F.col("l_orderkey").cast("string").alias("session_id"),
                       F.concat("l_returnflag", "l_linestatus").alias("event_action"))
-    SL.run_to_table(SL.converted_sessions_stream(hits, CFG), base + "/out", base + "/ckpt")
+    SL.run_to_table(SL.converted_once(hits, CFG), base + "/out", base + "/ckpt")
     return SL.read_converted(spark, base + "/out")
 
 

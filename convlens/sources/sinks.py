@@ -18,6 +18,18 @@ def write_phase_table(df: DataFrame, path: str, partition_by: list[str] | None =
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str = "session_id", buckets: int = 64,
+                   partition_by: list[str] | None = None) -> DataFrame:
+    """A phase table hashed into sorted buckets by ``key``, at ``path`` and under ``name``. Joins and aggregates of such tables by the key
+    need no exchange (and full-row de-duplication none, as equal rows share a bucket). The rows are dealt out once here, so there is one file per
+    bucket (and partition)."""
+    w = df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def with_visit_month(df: DataFrame, date_col: str = "visit_date") -> DataFrame:
     return df.withColumn("visit_ym", F.date_format(F.col(date_col), "yyyy-MM"))
 

@@ -116,11 +116,25 @@ def raw_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def learnable_target(visits: DataFrame, key: str = "session_id") -> DataFrame:
+    """``visits`` with ``target`` replaced by one that the visit's fields tell: each row converts with a chance that grows with its
+    device, medium, city and first visit, by a hash of its key. (The label from the line items is unrelated to the fields.)"""
+    from convlens.operators.splits import hash_unit
+
+    chance = F.lit(300)
+    for cond, more in ((F.col("device_category") == "F", 2500), (F.col("utm_medium").isin("1-urgent", "(none)"), 2000),
+                       (F.col("geo_city").isin("NATION_3", "NATION_8"), 1500), (F.col("visit_number") == 1, 1000)):
+        chance = chance + F.when(cond, more).otherwise(0)
+    return visits.withColumn("target", (hash_unit(key, 7, "learnable") < chance).cast("int"))
+
+
 def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deterministic score/label pair for the evaluation operators."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.concat_ws(":", _s("l_orderkey"), _s("l_linenumber")).alias("row_id"),
-        (F.col("l_quantity") / F.lit(50.0)).alias("score"),
+        # cents of the price within a thousand, moved up for returned lines: tens of thousands of distinct scores that tell the label
+        (((F.col("l_extendedprice") % F.lit(1000.0)) / F.lit(1000.0) + F.when(F.col("l_returnflag") == "R", F.lit(0.25)).otherwise(F.lit(0.0)))
+         / F.lit(1.25)).alias("score"),
         (F.col("l_returnflag") == "R").cast("int").alias("label"),
     )

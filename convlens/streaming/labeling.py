@@ -1,15 +1,20 @@
 """Incremental labelling with Structured Streaming.
 
-Hits arrive as files; each micro-batch keeps target actions only and writes the distinct session ids it holds into a
-folder of its own, overwritten when a batch is replayed. No hit is ever too late: there is no watermark and no
-state, so nothing is dropped however old a hit is and in whatever order files arrive. A session that converts in several
-batches is in several folders; readers take distinct ids.
+Hits arrive as files; each micro-batch keeps target actions only. ``converted_once`` holds the ids that it has given out as keyed
+state, so an id is given out once, in whichever batch and however late its first conversion arrives: there is no watermark,
+and nothing is dropped for its age. ``retention`` bounds the state: an id not seen for that long (of processing time) is forgotten,
+and given out again if it comes back later; readers that take distinct ids lose nothing by it. Each batch is written to a
+folder of its own, overwritten when the batch is replayed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from convlens.contracts import DEFAULT_CONFIG, ConversionConfig
 
@@ -26,14 +31,46 @@ def hits_stream(spark: SparkSession, path: str, schema, glob: str | None = None,
 
 def converted_sessions_stream(hits: DataFrame, cfg: ConversionConfig = DEFAULT_CONFIG, key: str = "session_id",
                               action: str = "event_action") -> DataFrame:
-    """Streaming DataFrame of session ids with a target action (repeated ids are dropped per batch when written)."""
+    """Streaming DataFrame of session ids with a target action, one row per hit."""
     return hits.where(F.col(action).isin(list(cfg.target_actions)) & F.col(key).isNotNull()).select(key)
 
 
+def converted_once(hits: DataFrame, cfg: ConversionConfig = DEFAULT_CONFIG, key: str = "session_id", action: str = "event_action",
+                   retention: int | None = None) -> DataFrame:
+    """Streaming DataFrame that gives out every converted session id once. ``retention``: for how many milliseconds after
+    its last conversion an id is remembered; None: for ever. Age is counted from the arrival of a batch, not from a hit's own
+    time, so no hit is late."""
+    schema = f"`{key}` string, arrival timestamp"
+
+    def apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:  # a hot session leaves a task a few times, not with all its hits
+            yield batch.drop_duplicates()
+
+    def once(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        for _ in batches:
+            pass
+        if not state.exists:
+            yield pd.DataFrame({key: [k[0]]})
+        state.update((True,))
+        if retention is not None:
+            state.setTimeoutTimestamp(max(state.getCurrentProcessingTimeMs(), state.getCurrentWatermarkMs()) + retention)
+
+    ids = converted_sessions_stream(hits, cfg, key, action).select(F.col(key).cast("string").alias(key), F.current_timestamp().alias("arrival"))
+    ids = ids.mapInPandas(apart, schema)
+    if retention is None:
+        timeout = GroupStateTimeout.NoTimeout
+    else:
+        ids, timeout = ids.withWatermark("arrival", "0 seconds"), GroupStateTimeout.EventTimeTimeout
+    return ids.groupBy(key).applyInPandasWithState(once, f"`{key}` string", "given boolean", "append", timeout)
+
+
 def run_to_table(stream_df: DataFrame, out_path: str, checkpoint: str, query_name: str | None = None) -> None:
     """Process everything available now and stop; a failed batch raises."""
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        batch.distinct().write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
 
     w = stream_df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if query_name:
@@ -42,4 +79,4 @@ def run_to_table(stream_df: DataFrame, out_path: str, checkpoint: str, query_nam
 
 
 def read_converted(spark: SparkSession, out_path: str, key: str = "session_id") -> DataFrame:
-    return spark.read.schema(f"`{key}` string").parquet(out_path).select(key).distinct()
+    return spark.read.schema(f"`{key}` string").parquet(out_path).select(key)
