@@ -351,7 +351,7 @@ def _cut(texts: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", bits: int = 27,
-                   bucket_bytes: int = 32 << 20, hot_rows: int = 100_000) -> DataFrame:
+                   bucket_bytes: int = 16 << 20, hot_rows: int = 100_000) -> DataFrame:
     """Per row of ``docs``: its id, n_bytes, n_removed, n_spans and the SHA-256 of what is left (kept_sha256)."""
     k = max(1, length // 6)
     raw = F.encode(F.coalesce(F.col(text_col), F.lit("")), "utf-8")
