@@ -45,10 +45,10 @@ def got(df):
     return sorted(tuple(r) for r in df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 200, "budget": 1}, {"budget": 5, "top": 7}, {"absorb_percent": 60, "block_bytes": 3000, "budget": 40}])
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 200, "budget": 1, "bucket_words": 10}, {"budget": 5, "top": 7}, {"absorb_percent": 60, "block_bytes": 3000, "budget": 40}, {"budget": 100, "longest": 3}, {"longest": 2, "budget": 1}])
 def test_equals_brute_force(spark, corpus, options):
     df = spark.createDataFrame([(l, t, "c", 1) for l, t in corpus], "lang string, text string, block string, id int")
-    want = brute(corpus, 8, top=options.get("top", 2000), absorb=options.get("absorb_percent", 100))
+    want = brute(corpus, 8, options.get("longest", 5), options.get("top", 2000), options.get("absorb_percent", 100))
     assert len(want) > 20
     assert got(phrases.collocations(df, least=8, **options)) == want
 
