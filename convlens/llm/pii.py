@@ -1,17 +1,24 @@
 """Format-preserving pseudonyms for personal data, in Spark SQL functions only.
 
-Found in a text and validated are: e-mail addresses, IPv4 addresses (octets up to 255), payment card numbers (13 to 19 digits, Luhn),
-US social security numbers, North American and international telephone numbers, and calendar dates. Each value is
+Found in a text and validated are: e-mail addresses (a name of up to 64 characters, up to 126 labels; the domain stays in clear
+text), IPv4 addresses (octets up to 255), payment card numbers (13 to 19 digits, Luhn), IBANs without spaces (mod 97), US social security numbers, North
+American and international telephone numbers, and calendar dates (also those that begin a timestamp). Each value is
 replaced by the value that a keyed Feistel network permutes it to within the same format: separators stay, card
 numbers keep their first digit and a right check digit, telephone numbers their country code and areas and exchanges on their side of 200, dates are valid dates
 of the same notation, letters stay letters. As it is a permutation under one key, equal values stay equal, whatever their
-separators and wherever they occur, and different values stay different.
+separators and wherever they occur, and different values stay different. Dates with slashes are three closed sets: those that
+can be read with the day or the month first (permuted among themselves, read as day first), and those that can be read in one way only.
 
 A Feistel round adds to one half of the value, modulo the size of that half's range, a number hashed from the key, the kind of
 value, the round and the other half. Ranges factor exactly (dates: the 146,097 days of 400 years are 189 * 773), so no
 value leaves its range. E-mail names and foreign numbers are permuted character by character, each within its own class.
 
-Defined results: null stays null; texts without such values, numbers that fail validation, ten digits with an area or exchange below
+No pattern holds an unbounded group, and a run of groups of digits is cut into its cards in one pass, so texts of any length and any
+number of groups are read in linear time and without recursion.
+
+The key is a string, or a column (a scalar subquery over a file, say), which keeps it out of plans and logs.
+
+Defined results: null stays null; dates with a day or month of one digit stay; texts without such values, numbers that fail validation, ten digits with an area or exchange below
 200 and neither country code nor parentheses and dates outside the years 1800 to
 2199 stay as they are; other columns and rows are not touched.
 """
@@ -27,25 +34,26 @@ from convlens.llm.common import fresh
 
 ROUNDS = 10
 # fixed values: notations of personal data
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"
 _START, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 IPV4 = _START + r"(?<![0-9]\.)(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.[0-9])" + _END
-DATE = _START + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![-/][0-9])" + _END
+DATE = _START + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![-/][0-9])(?:(?=T[0-9]{2}:)|(?![0-9A-Za-z]))"
+IBAN = _START + r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}" + _END
 SSN = _START + r"(?<![0-9]-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-[0-9])" + _END
 _PREFIX = r"(?<![0-9A-Za-z+])(?<![0-9][.-])1(?:[ .-]|(?=\())"
 NANP = (r"(?:(?<![0-9A-Za-z+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:" + _PREFIX + r"|(?<![0-9A-Za-z.-]))"
         r"(?:\([0-9]{3}\)[ .-]?|(?<!\()[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})") + _END
 ABROAD = r"(?<![0-9A-Za-z+])\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}" + _END
 # a run of groups in which a card of four groups, or of three, may begin at each; no group begins a date or an address
-RUN = _START + r"[0-9]{4}(?:[ -](?!" + DATE + "|" + EMAIL + r")[0-9]{4,6}" + _END + "){2,}"
-_GROUPED = r"^(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$"
+RUN = _START + r"[0-9]{4}(?:[ -](?!" + DATE + "|" + EMAIL + r")[0-9]{4,6}" + _END + "){2,}+"
 CARD = "(?:" + RUN + "|" + _START + "[0-9]{13,19}" + _END + ")"
-PATTERN = "|".join((EMAIL, IPV4, DATE, SSN, NANP, ABROAD, CARD))
+PATTERN = "|".join((EMAIL, IPV4, DATE, IBAN, SSN, NANP, ABROAD, CARD))
 _PLAIN = r"^[0-9.@/()+ -]"
 
 
-def _hash(key: str, kind: str, i: Column, value: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), value.cast("string"), F.lit(key)), 256)
+def _hash(key: str | Column, kind: str, i: Column, value: Column) -> Column:
+    key = key if isinstance(key, Column) else F.lit(key)
+    return F.sha2(F.concat_ws("|", key, F.lit(kind), i.cast("string"), value.cast("string"), key), 256)
 
 
 def _number(hex_digits: Column) -> Column:
@@ -163,29 +171,88 @@ def _abroad(key: str, m: Column) -> Column:
     return F.when(F.length(d).between(8, 15), F.element_at(F.transform(F.array(new), lambda x: _refill(m, x)), 1)).otherwise(m)
 
 
+FIRST_DAY = "1800-01-01"
+DAYS, MONTHS = 146_097, 4_800  # of 400 years
+
+
+def _bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` evaluated once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _day(n: Column) -> Column:
+    return F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int"))
+
+
+def _late_day(key: str, day: Column) -> Column:
+    """A permutation of the days after the twelfth of their months: there are 88,497 = 9 * 9833 of them in 400 years."""
+    start = lambda month: F.datediff(F.add_months(F.lit(FIRST_DAY).cast("date"), month.cast("int")), F.lit(FIRST_DAY).cast("date")) - 12 * month
+    month = (F.year(day) - 1800) * 12 + F.month(day) - 1
+    new = feistel(key, "late day", (start(month) + F.dayofmonth(day) - 13).cast("bigint"), 9, 9833)
+    # the month in which it lies: the mean of late days a month tells it but for one or two
+    about = lambda n: F.floor(n / (DAYS / MONTHS - 12))
+    near = lambda n: F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda i: F.least(F.greatest(about(n) + i, F.lit(0)), F.lit(MONTHS - 1)))
+    of = lambda n: F.array_max(F.filter(near(n), lambda m: start(m) <= n))
+    return _bound(new, lambda n: _bound(of(n), lambda m: F.date_add(F.add_months(F.lit(FIRST_DAY).cast("date"), m.cast("int")), (n - start(m) + 12).cast("int"))))
+
+
+def _slashed(key: str, m: Column) -> Column:
+    """Two digits, two digits and a year, with slashes."""
+    one, two, year = (F.substring(m, i, n).cast("int") for i, n in ((1, 2), (4, 2), (7, 4)))
+    either = feistel(key, "slash", (((year - 1800) * 12 + two - 1) * 12 + one - 1).cast("bigint"), 240, 240)
+    pad = lambda n: F.lpad(n.cast("string"), 2, "0")
+    both = _bound(either, lambda n: F.concat_ws("/", pad(n % 12 + 1), pad(F.floor(n / 12) % 12 + 1), (F.floor(n / 144) + 1800).cast("string")))
+    out = F.when(one.between(1, 12) & two.between(1, 12), both)
+    for notation in ("MM/dd/yyyy", "dd/MM/yyyy"):
+        day = F.try_to_timestamp(m, F.lit(notation)).cast("date")
+        out = out.when(day.isNotNull(), F.date_format(_late_day(key, day), notation))
+    return F.when(year.between(1800, 2199), out.otherwise(m)).otherwise(m)
+
+
 def _date(key: str, m: Column) -> Column:
-    out = m
-    for shape, notation in ((r"^\d{4}-", "yyyy-MM-dd"), (r"\.", "dd.MM.yyyy"), ("/", "MM/dd/yyyy"), ("/", "dd/MM/yyyy")):
+    out = F.when(m.contains("/"), _slashed(key, m))
+    for shape, notation in ((r"^\d{4}-", "yyyy-MM-dd"), (r"\.", "dd.MM.yyyy")):
         day = F.try_to_timestamp(m, F.lit(notation)).cast("date")
-        place = F.datediff(day, F.lit("1800-01-01").cast("date"))
-        new = F.date_format(F.date_add(F.lit("1800-01-01").cast("date"), feistel(key, "date", place, 189, 773).cast("int")), notation)
-        out = F.when(m.rlike(shape) & day.isNotNull() & place.between(0, 146096), new).otherwise(out)
-    return out
+        place = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
+        new = F.date_format(_day(feistel(key, "date", place, 189, 773)), notation)
+        out = out.when(m.rlike(shape) & day.isNotNull() & place.between(0, DAYS - 1), new)
+    return out.otherwise(m)
+
+
+def _rest_97(text: Column) -> Column:
+    """The number that an IBAN's characters (letters as 10 to 35) write, modulo 97."""
+    code = lambda c: F.when(c <= "9", c.cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), lambda s, c: F.when(c <= "9", s * 10 + code(c)).otherwise(s * 100 + code(c)) % 97)
+
+
+def _iban(key: str, m: Column) -> Column:
+    """Country and form stay; the account is permuted, the check digits follow from it. The check digits must be the usual ones (02 to 98)."""
+    country, account = F.substring(m, 1, 2), F.substring(m, F.lit(5), F.length(m))
+    check = lambda of: F.lpad((98 - _rest_97(F.concat(of, country, F.lit("00")))).cast("string"), 2, "0")
+    new = _bound(feistel_text(key, "iban", account), lambda x: F.concat(country, check(x), x))
+    return F.when(F.substring(m, 3, 2) == check(account), new).otherwise(m)
 
 
 def _values(m: Column) -> Column:
-    """What is found, as an array: a run of groups is cut into its cards, from left to right, and what is between them."""
-    parts = F.regexp_extract_all(m, F.lit("[0-9]+|[ -]"), F.lit(0))
-    of = lambda i, n: F.array_join(F.slice(parts, i, F.lit(n)), "")
-    card = lambda x: x.rlike(_GROUPED) & F.call_function("luhn_check", _digits(x))
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(1).alias("next"))
-
-    def step(s: Column, i: Column) -> Column:
-        n = F.when(card(of(i, 7)), 7).when(card(of(i, 5)), 5).otherwise(1)
-        return F.when(i < s["next"], s).otherwise(F.struct(
-            F.concat(s["out"], F.array(F.array_join(F.slice(parts, i, n), ""))).alias("out"), (i + n).alias("next")))
-
-    cut = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), start, step)["out"]
+    """What is found, as an array: a run of groups is cut into its cards, from left to right, and what is between them.
+
+    Each group is marked by the card that may begin at it: ``F`` for four groups, ``T`` for three, ``O`` for none. One pattern over
+    the marked run then takes cards from left to right."""
+    def mark(groups: Column) -> Column:
+        def one(g: Column, i: Column) -> Column:
+            of = lambda n: F.slice(groups, i + 1, F.lit(n))
+            sizes = lambda n, wanted: F.array_join(F.transform(of(n), lambda x: F.length(x).cast("string")), "") == wanted
+            right = lambda n: F.call_function("luhn_check", F.array_join(of(n), ""))
+            return F.concat(F.when(sizes(4, "4444") & right(4), "F").when(sizes(3, "465") & right(3), "T").otherwise("O"), g)
+
+        return F.transform(groups, one)
+
+    groups = F.split(m, "[ -]")
+    seps = F.regexp_extract_all(m, F.lit("[ -]"), F.lit(0))
+    marked = F.array_join(F.zip_with(_bound(groups, mark), seps, lambda g, x: F.concat(g, F.coalesce(x, F.lit("")))), "")
+    group = "[FTO][0-9]+"
+    tokens = F.regexp_extract_all(marked, F.lit(f"F[0-9]+(?:[ -]{group}){{3}}|T[0-9]+(?:[ -]{group}){{2}}|{group}|[ -]"), F.lit(0))
+    cut = F.transform(tokens, lambda x: F.regexp_replace(x, "[FTO]", ""))
     return F.when(m.rlike(f"^(?:{RUN})$"), cut).otherwise(F.array(m))
 
 
@@ -193,16 +260,18 @@ def pseudonym(key: str, m: Column) -> Column:
     """The pseudonym of one found value; itself where it is not valid."""
     whole = lambda p: m.rlike(f"^(?:{p})$")
     return (F.when(m.contains("@"), _email(key, m)).when(whole(IPV4), _ipv4(key, m)).when(whole(DATE), _date(key, m))
-            .when(whole(SSN), _ssn(key, m)).when(whole(NANP), _nanp(key, m)).when(whole(ABROAD), _abroad(key, m)).otherwise(_card(key, m)))
+            .when(whole(IBAN), _iban(key, m)).when(whole(SSN), _ssn(key, m)).when(whole(NANP), _nanp(key, m)).when(whole(ABROAD), _abroad(key, m)).otherwise(_card(key, m)))
 
 
-def pseudonymise(df: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+def pseudonymise(df: DataFrame, key: str | Column, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``df`` with the personal data of the whole text replaced; ``count_col`` adds how many values were replaced."""
-    if not key:
+    if not isinstance(key, Column) and not key:
         raise ValueError("a key is needed: without one anybody can undo the permutation")
     if count_col and count_col.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"column {count_col} exists already; pass another name for count_col")
-    found, new = fresh(df, "found", "new")
+    found, new, secret = fresh(df, "found", "new", "secret")
+    if isinstance(key, Column):
+        df, key = df.withColumn(secret, key), F.col(secret)
     text = F.col(text_col)
     none = F.array().cast("array<array<string>>")
     marked = df.withColumn(found, F.when(text.rlike("[0-9@]"), F.transform(
@@ -213,4 +282,4 @@ def pseudonymise(df: DataFrame, key: str, text_col: str = "text", count_col: str
     count = F.coalesce(F.size(F.filter(changed, lambda x: x)), F.lit(0)) if count_col else None
     if count_col:
         marked = marked.withColumn(count_col, count)
-    return marked.withColumn(text_col, F.when(F.size(found) > 0, filled).otherwise(text)).drop(found, new)
+    return marked.withColumn(text_col, F.when(F.size(found) > 0, filled).otherwise(text)).drop(found, new, secret)

@@ -113,3 +113,50 @@ def test_cards_beside_other_numbers(spark):
     assert re.fullmatch(r"(\d{4} \d{6} \d{5}) " + new + r" \1 \d{4}-\d\d-\d\d", got[4].text) and got[4].n == 4 and amex not in got[4].text
     assert got[5].text.startswith(new + " ") and got[5].n == 2
     assert got[6].text == texts[6] and got[6].n == 0
+
+
+def test_long_runs_and_names_are_read_without_recursion(spark):
+    card = "4111 1111 1111 1111"
+    texts = ["1234 " * 1_000_000 + card, "a." * 100_000 + "a@b.example.com", "x@" + "a." * 20_000 + "com", ("7" * 60 + ".") * 2000 + "@b.example.com",
+             "12/" * 50_000, "1.1." * 50_000, "+49 " * 20_000]
+    got = run(spark, texts)
+    assert len(got[0].text) == len(texts[0]) and got[0].text.startswith("1234 1234 ") and not got[0].text.endswith(card) and got[0].n == 1
+    assert all(len(got[i].text) == len(t) for i, t in enumerate(texts))
+
+
+def test_slash_dates_are_three_closed_sets(spark):
+    """Every string that is a date in one of the two readings, over all 400 years."""
+    days = spark.range(146_097).select(F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    both = days.select(F.explode(F.array(F.date_format("d", "MM/dd/yyyy"), F.date_format("d", "dd/MM/yyyy"))).alias("s")).distinct()
+    rows = both.select("s", pii.pseudonym("k", F.col("s")).alias("p"))
+    kind = lambda c: F.when((F.substring(c, 1, 2) <= "12") & (F.substring(c, 4, 2) <= "12"), "both").when(F.substring(c, 1, 2) <= "12", "month").otherwise("day")
+    by = rows.groupBy(kind("s").alias("a"), kind("p").alias("b")).agg(F.count("*").alias("n"), F.count_distinct("p").alias("d"), F.count_if(F.col("s") == F.col("p")).alias("same"))
+    got = {(r.a, r.b): (r.n, r.d, r.same < 20) for r in by.collect()}
+    assert got == {("both", "both"): (57_600, 57_600, True), ("month", "month"): (88_497, 88_497, True), ("day", "day"): (88_497, 88_497, True)}
+    assert rows.select("p").exceptAll(both).count() == 0
+
+
+def test_dates_of_other_notations_are_permuted(spark):
+    days = spark.range(146_097).select(F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    for notation in ("yyyy-MM-dd", "dd.MM.yyyy"):
+        p = days.select(pii.pseudonym("k", F.date_format("d", notation)).alias("p"))
+        assert p.distinct().count() == 146_097 and p.where(F.try_to_timestamp("p", F.lit(notation)).isNull()).count() == 0
+
+
+def test_timestamps_and_accounts(spark):
+    got = run(spark, ["at 2024-05-01T10:00:00Z", "pay DE89370400440532013000 now", "GB82WEST12345698765432", "DE88370400440532013000", "card AB12 4111 1111 1111 1111"])
+    assert re.fullmatch(r"at \d{4}-\d\d-\d\dT10:00:00Z", got[0].text) and "2024-05-01" not in got[0].text
+    for i, x in ((1, "DE89370400440532013000"), (2, "GB82WEST12345698765432")):
+        new = re.search("[A-Z]{2}[0-9]{2}[A-Z0-9]{18}", got[i].text)[0]
+        number = int("".join(str(int(c, 36)) for c in new[4:] + new[:4]))
+        assert new != x and number % 97 == 1 and new[:2] == x[:2] and [c.isdigit() for c in new] == [c.isdigit() for c in x]
+    assert got[3].n == 0 and got[4].n == 1
+
+
+def test_key_from_a_file_is_in_no_plan(spark, tmp_path):
+    (tmp_path / "key").write_text("very-secret")
+    key = spark.read.text(str(tmp_path / "key"), wholetext=True).select("value").limit(1).scalar()
+    df = spark.createDataFrame([(1, "a@b.example.com 2020-01-02")], "doc_id bigint, text string")
+    out = pii.pseudonymise(df, key)
+    assert out.collect() == pii.pseudonymise(df, "very-secret").collect()
+    assert "very-secret" not in out._jdf.queryExecution().toString()
