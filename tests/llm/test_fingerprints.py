@@ -32,6 +32,27 @@ def test_estimates_generalised_jaccard(spark):
     assert abs(sum(error) / len(error)) < 0.03 and max(map(abs, error)) < 0.35
 
 
+def _mean_error(spark, pairs):
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = (fingerprints.with_fingerprint(fingerprints.with_fingerprint(df, "a", "x"), "b", "y")
+           .select("a", "b", fingerprints.likeness(F.col("x"), F.col("y")).alias("l")).collect())
+    return sum(r.l - jaccard(r.a, r.b) for r in got) / len(got)
+
+
+def test_unbiased_on_skewed_and_uniform_weights(spark):
+    """A few terms hold most of the weight (repeated boilerplate), or all hold the same."""
+    rng = random.Random(9)
+    skewed, uniform = [], []
+    for i in range(250):
+        own = lambda n: [f"w{i}x{rng.random()}" for _ in range(n)]
+        plate = [f"boiler{i}", f"plate{i}"]  # other ones in each pair: errors are independent
+        skewed.append((" ".join(plate * 450 + own(60)), " ".join(plate * rng.randint(200, 500) + own(60))))
+        shared = own(150)
+        uniform.append((" ".join(shared + own(70)), " ".join(shared + own(70))))
+    assert 0.4 < sum(jaccard(*p) for p in skewed) / 250 < 0.9
+    assert abs(_mean_error(spark, skewed)) < 0.02 and abs(_mean_error(spark, uniform)) < 0.02
+
+
 def test_query(spark, sf):
     from convlens.llm.queries import op10_fingerprints
     docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()), reverse=True)
@@ -59,9 +80,9 @@ def test_next_row_with_ties_and_nulls(spark):
 def test_edge_cases(spark):
     long = "word other " * 100_000
     df = spark.createDataFrame([(1, None), (2, ""), (3, " \n"), (4, "one"), (4, "one"), (5, long)], "doc_id bigint, text string").selectExpr(
-        "*", "0 AS words", "1 AS Terms")
+        "*", "0 AS words", "1 AS Slices")
     got = {r.doc_id: r for r in fingerprints.with_fingerprint(df, "text", "fp").collect()}
-    assert got[1].fp == got[2].fp == got[3].fp == [] and len(got[4].fp) == 1 and 1 <= len(got[5].fp) <= 3
+    assert got[1].fp == got[2].fp == got[3].fp == [] and len(got[4].fp) == 1 and len(got[5].fp) == 64
     assert fingerprints.with_fingerprint(df.limit(0), "text", "fp").collect() == []
     with pytest.raises(ValueError):
         fingerprints.with_fingerprint(df, "text", "fp", bins=3)
