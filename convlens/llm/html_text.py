@@ -2,12 +2,16 @@
 
 Markup is stripped to lines, one per block element. Lines of menus, page headers and footers, sidebars, notices, adverts, forms and
 reader comments (known by element, role, class or id, or, outside an article, by consisting of links) are blanked, so
-they stay as valleys, but for clutter between two text blocks of one container, which leaves none. The text lengths are
+they stay as valleys, but for clutter between two text blocks of its own container or of containers inside that, which leaves none. The text lengths are
 summed over a sliding window of lines. A text region begins where the window sum leaves zero and surges, and ends where
 it dives back to zero; of the regions those are kept whose peak is not far below the page's median block. Between surge
 and dive every line is kept, however short. Where a page marks its article (or main part) and the marked part holds at
 least a third of the text, only regions inside it compete and marked clutter inside it leaves no valley.
 
+Outside an article, a line that is mostly link text is clutter if it is no heading, and no paragraph that stands alone among others.
+If what is left is a small part of one blanked element that is not the readers' comments (a page wrapped in a form or a widget, or in
+a menu that is never closed), that element is opened and the page is read again.
+
 Clutter is named by whole tokens of class and id: a clutter word, or one joined only with words of layout. An id alone never
 drops a heading or an article, nor a section in an article, nor anything by a word that also titles a section.
 
@@ -49,6 +53,7 @@ COMPOUNDS = frozenset("visually-hidden disqus_thread".split())
 TITLE_WORDS = frozenset((
     "alert banner copyright discussion disclaimer legal notice notices recommended related replies reply respond share sharing "
     "social warning").split())
+COMMENT_WORDS = frozenset("comment comments respond reply replies discussion disqus disqus_thread".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 _TOKEN = re.compile(
@@ -97,83 +102,134 @@ def _is_clutter(name: str, attributes: str, inside: bool) -> bool:
     return any(_names_clutter(x, but | TITLE_WORDS) for x in values.get("id", "").split())
 
 
-def lines(page: str) -> list[Line | int]:
-    """The page's lines; a number is a line of clutter, by its container, or -1 the edge of an article."""
-    out: list[Line | int] = []
-    path: list[tuple[str, int]] = [("", 0)]
-    opened = 0
-    text: list[str] = []
-    linked = total = 0
-    in_link, article, skip, skipped = False, 0, "", 0
-
-    def flush() -> None:
-        nonlocal linked, total
-        line = " ".join(html.unescape("".join(text)).split())
-        if line:
-            out.append(path[-1][1] if not article and 2 * linked > total else (line, article > 0, path[-1][1]))
-        text.clear()
+class Reading:
+    """One pass over a page. ``found``: its lines, where a number is a line of clutter, by its container, or -1 the edge of an article; ``parent``: the
+    container around each container; ``blanked``: by its place, how much text in paragraphs each
+    blanked element holds, if it may be opened."""
+
+    def __init__(self, page: str, open_: frozenset[int] = frozenset()):
+        self.found: list[Line | int] = []
+        self.parent = [0]
+        self.blanked: dict[int, int] = {}
+        self._read(page, open_)
+
+    def inside(self, container: int, outer: int) -> bool:
+        while container > outer:  # a container is opened after those around it
+            container = self.parent[container]
+        return container == outer
+
+    def _read(self, page: str, open_: frozenset[int]) -> None:
+        out = self.found
+        path: list[tuple[str, int]] = [("", 0)]
+        places: dict[str, list[int]] = {}  # of each name, where it is in the path
+        text: list[str] = []
         linked = total = 0
+        in_link, article, skip, skipped, skip_at, prose, block = False, 0, "", 0, -1, False, ""
+        linky: list[tuple[int, Line, bool]] = []  # lines of links: place, line, whether it is a paragraph
 
-    def add(piece: str) -> None:
-        nonlocal linked, total
-        text.append(piece)
-        n = len(piece) - piece.count(" ")
-        total += n
-        linked += n if in_link else 0
-
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if not skip and m.start() > at:
-            add(page[at:m.start()])
-        at = m.end()
-        name = (m[3] or m[6] or "").lower()
-        if not name:
-            continue
-        closing, attributes = bool(m[2] or m[5]), m[4] or m[7] or ""
-        if skip:
-            if name == skip:
-                skipped += -1 if closing else (0 if name in ("p", "li") else 1)
-                if not closing and name in ("p", "li"):
-                    skipped = 0
-            elif skip == "p" and name in BLOCKS or skip == "li" and closing and name in ("ul", "ol"):
-                skipped = 0
-            if skipped > 0:
+        def flush() -> None:
+            nonlocal linked, total
+            line = " ".join(html.unescape("".join(text)).split())
+            if line:
+                row = (line, article > 0, path[-1][1])
+                if not article and 2 * linked > total and block not in HEADINGS:
+                    linky.append((len(out), row, block == "p"))
+                    out.append(path[-1][1])
+                else:
+                    out.append(row)
+            text.clear()
+            linked = total = 0
+
+        def add(piece: str) -> None:
+            nonlocal linked, total
+            text.append(piece)
+            n = len(piece) - piece.count(" ")
+            total += n
+            linked += n if in_link else 0
+
+        at = 0
+        for m in _TOKEN.finditer(page):
+            if m.start() > at:
+                if not skip:
+                    add(page[at:m.start()])
+                elif prose and skip_at in self.blanked:
+                    self.blanked[skip_at] += m.start() - at
+            at = m.end()
+            name = (m[3] or m[6] or "").lower()
+            if not name:
                 continue
-            was, skip = skip, ""
-            if closing and name == was:
+            closing, attributes = bool(m[2] or m[5]), m[4] or m[7] or ""
+            if skip:
+                if name in BLOCKS:
+                    prose = name == "p" and not closing
+                if name == skip:
+                    skipped += -1 if closing else (0 if name in ("p", "li") else 1)
+                    if not closing and name in ("p", "li"):
+                        skipped = 0
+                elif skip == "p" and name in BLOCKS or skip == "li" and closing and name in ("ul", "ol"):
+                    skipped = 0
+                if skipped > 0:
+                    continue
+                was, skip = skip, ""
+                if closing and name == was:
+                    continue
+            if (name not in VOID and not closing and m.start() not in open_ and _is_clutter(name, attributes, article > 0)
+                    and not attributes.rstrip().endswith("/")):
+                flush()
+                if not article:
+                    out.append(path[-1][1])
+                skip, skipped, skip_at, prose = name, 1, m.start(), False
+                if not COMMENT_WORDS & set(_PARTS.split(attributes.lower())):
+                    self.blanked[skip_at] = 0
                 continue
-        if name not in VOID and not closing and _is_clutter(name, attributes, article > 0) and not attributes.rstrip().endswith("/"):
-            flush()
-            if not article:
-                out.append(path[-1][1])
-            skip, skipped = name, 1
-            continue
-        if name == "a":
-            in_link = not closing
-        elif name == "br":
-            text.append(" ")
-        elif name in BLOCKS:
-            flush()
-            in_link = False
-            if name in ("article", "main"):
-                was_in, article = article, max(0, article + (-1 if closing else 1))
-                if not (was_in and article):  # the outermost one's edge
-                    out.append(-1)
-            if name in CONTAINERS:
-                if not closing:
-                    opened += 1
-                    path.append((name, opened))
-                elif (k := max((k for k, x in enumerate(path) if x[0] == name), default=0)):
-                    del path[k:]
-    if not skip and at < len(page):
-        add(page[at:])
-    flush()
-    return out
+            if name == "a":
+                in_link = not closing
+            elif name == "br":
+                text.append(" ")
+            elif name in BLOCKS:
+                flush()
+                in_link = False
+                block = "" if closing else name
+                if name in ("article", "main"):
+                    was_in, article = article, max(0, article + (-1 if closing else 1))
+                    if not (was_in and article):  # the outermost one's edge
+                        out.append(-1)
+                if name in CONTAINERS:
+                    if not closing:
+                        self.parent.append(path[-1][1])
+                        places.setdefault(name, []).append(len(path))
+                        path.append((name, len(self.parent) - 1))
+                    elif places.get(name):
+                        k = places[name][-1]
+                        while len(path) > k:
+                            places[path.pop()[0]].pop()
+        if not skip and at < len(page):
+            add(page[at:])
+        elif skip and prose and skip_at in self.blanked:
+            self.blanked[skip_at] += len(page) - at
+        flush()
+        # a paragraph of links that stands alone is text
+        spots = {i for i, _, _ in linky}
+        for i, row, paragraph in linky:
+            if paragraph and not {i - 1, i + 1} & spots:
+                out[i] = row
 
 
-def main_text(page: str | None, window: int = 3, share: float = 0.3) -> str:
+def main_text(page: str | None, window: int = 3, share: float = 0.3, part: float = 0.2) -> str:
     """The page's main text, its blocks joined by line feeds."""
-    found = lines(page or "")
+    page, open_ = page or "", frozenset()
+    while True:
+        read = Reading(page, open_)
+        text = _text(read, window, share)
+        largest = max(read.blanked, key=read.blanked.get, default=-1)
+        # the text in between is little beside the element: it holds the page
+        if largest < 0 or len(text) >= part * read.blanked[largest] or not read.blanked[largest] or len(open_) >= 8:
+            return text
+        open_ |= {largest}
+
+
+def _text(read: Reading, window: int, share: float) -> str:
+    found = read.found
     size = [0, 0]
     for x in found:
         if isinstance(x, tuple):
@@ -187,7 +243,7 @@ def main_text(page: str | None, window: int = 3, share: float = 0.3) -> str:
         if not isinstance(x, tuple):
             valley.append(x)
             continue
-        if any(v != before or v != x[2] for v in valley):
+        if any(v < 0 or before < 0 or not (read.inside(before, v) and read.inside(x[2], v)) for v in valley):
             spread.extend([""] * window)
         valley.clear()
         spread.append(x[0])

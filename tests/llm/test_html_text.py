@@ -76,3 +76,32 @@ def test_teaser_card_does_not_hide_the_page():
     text = "The main text of the page, in an element that is no article. " * 5
     page = f"<body><div><p>{text}</p><p>{text}</p></div><article><h3>Teaser</h3><p>Read this one as well.</p></article></body>"
     assert main_text(page).startswith("\n".join([text.strip()] * 2))
+
+
+P = "A paragraph with enough words in it to be the text of a page."
+
+
+def test_closing_paragraph_beside_an_advert_between_containers():
+    assert main_text(f"<body><div><p>{P * 4}</p><p>{P * 4}</p></div><div class=ad>Buy</div><div><p>The end.</p></div></body>") == f"{P * 4}\n{P * 4}\nThe end."
+
+
+def test_links_that_are_text():
+    page = f"<body><div><h1><a href=x>A headline that links to itself</a></h1><p>{P}</p><p><a href=y>A paragraph that is a link</a></p><p>{P}</p></div></body>"
+    assert main_text(page) == f"A headline that links to itself\n{P}\nA paragraph that is a link\n{P}"
+    assert main_text(f"<body><p><a href=a>Home</a></p><p><a href=b>News</a></p><div><p>{P}</p></div></body>") == P
+
+
+def test_elements_that_hold_the_page():
+    for before, after in (("<form action=x>", "</form>"), ("<div class='widget-area'>", "</div>"), ("<nav><a href=a>Home</a>", ""), ("<aside>", "")):
+        page = f"<body><div>Site</div>{before}<div><p>{P}</p><div class=ad><p>Buy</p></div><p>{P}</p></div>{after}</body>"
+        assert main_text(page).endswith(f"{P}\n{P}") and "Buy" not in main_text(page) and "Home" not in main_text(page), before
+    comments = "<div class=comments>" + f"<p>{P * 9}</p>" * 9 + "</div>"
+    assert main_text(f"<body><div><p>{P}</p></div>{comments}</body>") == P
+
+
+def test_deep_nesting_is_linear():
+    import time
+    start = time.time()
+    assert main_text("<div>" * 40_000 + f"<p>{P}</p>" + "</div>" * 40_000) == P
+    assert main_text("<div>" * 20_000 + f"<p>{P}</p>" + "</span></section>" * 20_000) == P
+    assert time.time() - start < 10
