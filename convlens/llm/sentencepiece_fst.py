@@ -23,8 +23,8 @@ import re
 import struct
 import sys
 import types
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -92,11 +92,11 @@ def read_model(path: str) -> dict:
 
 
 class Encoder(dict):
-    """The composed transducer. As a mapping it keeps the ids of parts of texts already composed."""
+    """The composed transducer. As a mapping it keeps the ids (32 bits each, as bytes) of parts of texts already composed."""
 
-    def __init__(self, model: dict, rules: dict[str, str] | None = None, keep: int = 60_000):
+    def __init__(self, model: dict, rules: dict[str, str] | None = None, keep: int = 250_000):
         super().__init__()
-        self.older: dict[str, list[int]] = {}  # the parts kept before: those used again are taken over
+        self.older: dict[str, bytes] = {}  # the parts kept before: those used again are taken over
         self.pieces, self.kind, self.keep, self.model = model["pieces"], model["kind"], keep, model
         self.rules = rules or {}
         self.rewrite = re.compile("|".join(re.escape(k) for k in sorted(self.rules, key=len, reverse=True))) if self.rules else None
@@ -105,7 +105,8 @@ class Encoder(dict):
         self.unknown = next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
         self.worst = min((s for _, s, kind in self.pieces if kind == NORMAL), default=0.0) - 10.0
         self.follows: dict[int, bool] = {}
-        usable = self.ids if self.kind == UNIGRAM else [p for p in self.ids if self.merged(p) == [p]]
+        self.halves: dict[int, tuple[int, int]] = {}  # of a piece that merging builds: the two that its last merge joins
+        usable = self.ids if self.kind == UNIGRAM else [p for p in self.ids if self.builds(p)]
         self.trie: dict[str, list] = {}  # by character: the next node and the id of the piece that ends there, or -1
         for piece in usable:
             node = self.trie
@@ -139,14 +140,46 @@ class Encoder(dict):
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
+    def builds(self, piece: str) -> bool:
+        """Whether merging the piece's characters gives the piece; notes its halves."""
+        parts = list(piece)
+        while len(parts) > 1:
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                if (k := self.ids.get(parts[i] + parts[i + 1])) is not None and (best is None or self.pieces[k][1] > best):
+                    best, at = self.pieces[k][1], i
+            if best is None:
+                return False
+            if len(parts) == 2:
+                self.halves[self.ids[piece]] = self.ids[parts[0]], self.ids[parts[1]]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return True
+
     def accepts(self, a: int, b: int) -> bool:
-        """Whether piece b may follow piece a in a BPE model."""
+        """Whether piece b may follow piece a in a BPE model: whether no merge across their border would have come first.
+
+        Merges are taken back one after another, the latest first, which bares ever smaller pieces at the border; a merge of what
+        was bared must not have come before the one taken back. Of equal merges the left one comes first."""
         known = self.follows.get(a << 24 | b)
         if known is None:
-            if len(self.follows) >= self.keep:
+            if len(self.follows) >= 2 * self.keep:
                 self.follows.clear()
-            one, two = self.pieces[a][0], self.pieces[b][0]
-            known = self.follows[a << 24 | b] = self.merged(one + two) == [one, two]
+            pieces, ids, halves = self.pieces, self.ids, self.halves
+            one, two, limit, strict = a, b, float("-inf"), True
+            while True:
+                across = ids.get(pieces[one][0] + pieces[two][0])
+                if across is not None and (pieces[across][1] > limit or (not strict and pieces[across][1] == limit)):
+                    known = False
+                    break
+                left, right = halves.get(one), halves.get(two)
+                if left is None and right is None:
+                    known = True
+                    break
+                if right is None or (left is not None and pieces[one][1] < pieces[two][1]):
+                    limit, strict, one = pieces[one][1], True, left[1]
+                else:
+                    limit, strict, two = pieces[two][1], False, right[0]
+            self.follows[a << 24 | b] = known
         return known
 
     def _match(self, part: str, i: int) -> int:
@@ -228,10 +261,10 @@ class Encoder(dict):
         out.reverse()
         return out
 
-    def __missing__(self, part: str) -> list[int]:
+    def __missing__(self, part: str) -> bytes:
         out = self.older.get(part)
         if out is None:
-            out = self._only_path(part) if self.kind == BPE else self._least_path(part)
+            out = array("i", self._only_path(part) if self.kind == BPE else self._least_path(part)).tobytes()
         if len(self) >= self.keep:
             self.older = dict(self)
             self.clear()
@@ -250,7 +283,7 @@ class Encoder(dict):
 
     def encode(self, text: str) -> np.ndarray:
         parts = self.cut.findall(self.normalise(text))
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, parts)), np.int32)
+        return np.frombuffer(b"".join(map(self.__getitem__, parts)), np.int32)
 
 
 class Decoder:

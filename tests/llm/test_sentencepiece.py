@@ -30,6 +30,21 @@ def test_equals_the_library(spark, sf, model):
         assert d.decode(ids) == lib.decode(ids)
 
 
+@needs_file
+def test_neighbours_are_those_of_merging(model):
+    e, rng = Encoder(model), random.Random(8)
+    usable = [k for k, (p, _, kind) in enumerate(e.pieces) if kind == 1 and e.merged(p) == [p]]
+    assert [k for k, (p, _, kind) in enumerate(e.pieces) if kind == 1 and e.builds(p)] == usable
+    by_first = {}
+    for k in usable:
+        by_first.setdefault(e.pieces[k][0][0], []).append(k)
+    same = [k for k in usable if len(set(e.pieces[k][0])) == 1]
+    pairs = [(rng.choice(usable), rng.choice(usable)) for _ in range(4000)] + [(a, b) for a in same for b in by_first[e.pieces[a][0][0]][:40]]
+    for a, b in pairs:
+        one, two = e.pieces[a][0], e.pieces[b][0]
+        assert e.accepts(a, b) == (e.merged(one + two) == [one, two]), (one, two)
+
+
 @needs_file
 def test_query_round_trip(spark, sf):
     from convlens.llm.queries import op3_sentencepiece
