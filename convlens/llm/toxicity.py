@@ -26,12 +26,13 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 GRAM, WINDOW, GAINS = 5, 64, (1, 2, 3, 4)
-LEARN_CHARS = 16_384  # of a text that is learned from
+LEARN_CHARS = 16_384  # of a text that is learned from: longer ones give stretches of LEARN_STEP characters from all over
+LEARN_STEP = 256
 _PAD = b"\x01"
 
 
@@ -171,13 +172,23 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     order = [F.xxhash64("_id"), F.col("_id")]
     picked = (marked.where("_label = 1").orderBy(*order).limit(max_toxic)
               .union(marked.where("_label = 0").orderBy(*order).limit(max_ordinary)))
-    begin = F.substring("_text", 1, LEARN_CHARS)
-    joined = (texts.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).groupBy("_id", "_label").agg(F.min(begin).alias("_text")))
+    joined = (texts.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).withColumn("_text", stretches(F.col("_text")))
+              .groupBy("_id", "_label").agg(F.min("_text").alias("_text")))
     rows = sorted(joined.collect(), key=lambda r: (hash_order(r["_id"]), r["_text"] or ""))
     marked.unpersist()
     return fit_model([(r["_text"], r["_label"]) for r in rows], share=n.get(1, 0) / sum(n.values()) if n else None)
 
 
+def stretches(text: Column) -> Column:
+    """The whole text up to ``LEARN_CHARS`` characters; of a longer one as many characters in stretches of ``LEARN_STEP``, picked by a
+    hash of their number from its whole length and kept in order, so that every part is as likely to be learned from."""
+    count = F.ceil(F.char_length(text) / F.lit(LEARN_STEP)).cast("int")
+    order = F.array_sort(F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: F.struct(F.xxhash64(i, F.char_length(text)).alias("h"), i.alias("i"))))
+    picked = F.array_sort(F.transform(F.slice(order, 1, LEARN_CHARS // LEARN_STEP), lambda x: x["i"]))
+    parts = F.transform(picked, lambda i: F.substring(text, i * LEARN_STEP + 1, F.lit(LEARN_STEP)))
+    return F.when(text.isNull() | (F.char_length(text) <= LEARN_CHARS), text).otherwise(F.array_join(parts, " "))
+
+
 def hash_order(value) -> int:
     """A fixed order that has nothing to do with the values' own."""
     import zlib

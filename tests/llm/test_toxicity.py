@@ -83,4 +83,16 @@ def test_learns_from_one_bounded_text_of_each_id(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit_model", lambda rows, **more: seen.extend(rows))
     df = spark.createDataFrame([(1, "b" * 50_000)] * 300 + [(1, "c"), (2, None), (3, "d")], "doc_id bigint, text string")
     toxicity.fit(df, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id bigint, toxic int"))
-    assert sorted(seen, key=str) == [("b" * toxicity.LEARN_CHARS, 1), ("d", 0), (None, 0)]
+    assert sorted(seen, key=str) == [(" ".join(["b" * toxicity.LEARN_STEP] * (toxicity.LEARN_CHARS // toxicity.LEARN_STEP)), 1), ("d", 0), (None, 0)]
+
+
+def test_long_texts_are_learned_from_all_over(spark):
+    from pyspark.sql import functions as F
+    long = "".join(f"{i:07d} " for i in range(50_000))
+    df = spark.createDataFrame([(long,), ("short",), (None,), ("x" * toxicity.LEARN_CHARS,)], "t string")
+    got = [r.s for r in df.select(toxicity.stretches(F.col("t")).alias("s")).collect()]
+    assert got[1:] == ["short", None, "x" * toxicity.LEARN_CHARS]
+    numbers = [int(w) for w in got[0].split() if len(w) == 7]
+    assert numbers == sorted(numbers) and numbers[0] < 5000 and numbers[-1] > 45_000 and len(got[0]) < 1.01 * toxicity.LEARN_CHARS
+    tenths = {n // 5000 for n in numbers}
+    assert tenths == set(range(10))
