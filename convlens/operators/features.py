@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
@@ -21,7 +22,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convlens.contracts import CATEGORICAL_FEATURES, DEFAULT_CONFIG, NUMERIC_FEATURES, ConversionConfig, assert_no_leak
+from convlens.contracts import CATEGORICAL_FEATURES, DEFAULT_CONFIG, MODEL_INPUT_COLUMNS, NUMERIC_FEATURES, ConversionConfig, assert_no_leak
 from convlens.functions import columns as C
 from convlens.operators.cleaning import normalize_column
 from convlens.operators.evaluation import keyed_quantiles
@@ -345,37 +346,22 @@ def target_encode_oof(df: DataFrame, cols: list[str], key: str = "session_id", t
 
 # Where each engineered feature comes from and how the model sees it
 # (documentation rows; joined to data-derived statistics, never used alone).
-FEATURE_SOURCES = {
-    "visit_hour": ("visit_time", "numeric"),
-    "visit_day": ("visit_date", "numeric"),
-    "visit_number_log": ("visit_number", "numeric"),
-    "is_weekend": ("visit_date", "flag"),
-    "is_organic": ("utm_medium", "flag"),
-    "is_social": ("utm_source", "flag"),
-    "is_first_visit": ("visit_number", "flag"),
-    "has_utm_campaign": ("utm_campaign", "flag"),
-    "has_utm_keyword": ("utm_keyword", "flag"),
-    "has_utm_adcontent": ("utm_adcontent", "flag"),
-    "is_russia": ("geo_country", "flag"),
-    "is_moscow": ("geo_city", "flag"),
-    "is_spb": ("geo_city", "flag"),
-    "screen_w": ("device_screen_resolution", "numeric"),
-    "screen_h": ("device_screen_resolution", "numeric"),
-    "screen_is_valid": ("device_screen_resolution", "flag"),
-    "utm_medium": ("utm_medium", "category"),
-    "utm_source": ("utm_source", "category"),
-    "utm_campaign": ("utm_campaign", "category"),
-    "utm_adcontent": ("utm_adcontent", "category"),
-    "utm_keyword": ("utm_keyword", "category"),
-    "device_category": ("device_category", "category"),
-    "device_os": ("device_os", "category"),
-    "device_brand": ("device_brand", "category"),
-    "device_browser": ("device_browser", "category"),
-    "geo_city": ("geo_city", "category"),
-    "visit_dow": ("visit_date", "category"),
-    "visit_month": ("visit_date", "category"),
-    "visit_daypart": ("visit_time", "category"),
-}
+
+
+def _columns_read(column) -> list[str]:
+    """The visit fields that a feature's expression names, most used first."""
+    text = str(column)
+    return sorted((c for c in MODEL_INPUT_COLUMNS if re.search(rf"\b{c}\b", text)), key=lambda c: -len(re.findall(rf"\b{c}\b", text)))
+
+
+def feature_sources(cfg: ConversionConfig = DEFAULT_CONFIG) -> dict[str, tuple[str, str]]:
+    """Of every feature the visit field that it is made of and its kind, read off the builder's own expressions: a category, a
+    number, or a flag (cast to a whole number)."""
+    out = {}
+    for name, column in zip([*NUMERIC_FEATURES, *CATEGORICAL_FEATURES], feature_columns(cfg)):
+        kind = "category" if name in CATEGORICAL_FEATURES else "flag" if name.startswith(("is_", "has_")) or name.endswith("_is_valid") else "numeric"
+        out[name] = _columns_read(column)[0], kind
+    return out
 
 
 def feature_dictionary(spark, mi_by_feature: DataFrame) -> DataFrame:
@@ -383,6 +369,6 @@ def feature_dictionary(spark, mi_by_feature: DataFrame) -> DataFrame:
     the mutual information measured on the data (one row per feature)."""
     spec = spark.createDataFrame(
         [(f, src, kind, "one-hot after top-N grouping" if kind == "category" else "median impute + scale")
-         for f, (src, kind) in FEATURE_SOURCES.items()],
+         for f, (src, kind) in feature_sources().items()],
         "feature string, source string, kind string, encoding string")
     return spec.join(mi_by_feature.select("feature", "mi"), "feature", "left")

@@ -172,7 +172,7 @@ def _p_sql() -> str:
 _RAW_BATTERY_SQL = (_BATTERY_SQL.replace("z AS statistic", "zr AS raw").replace(_z_cols(), _z_cols() + ", " + _z_cols().split("cr_rest, ")[1][6:].rsplit(", 6)", 1)[0] + " AS zr")
                     .replace("round(CASE WHEN (r - 1) * (k - 1) = 1 THEN yt.chi2_y ELSE chi2_raw END, 6),\n       CAST((r", "CASE WHEN (r - 1) * (k - 1) = 1 THEN yt.chi2_y ELSE chi2_raw END,\n       CAST((r"))
 _VERDICTS_SQL = f"""SELECT id, factor, test, round(raw, 6) AS statistic, dof, n_group, n_rest, cr_group, cr_rest, cramers_v,
-       round(p, 6) AS pvalue, {CFG.alpha} AS alpha, {CFG.alpha / 4} AS bonferroni_alpha, CAST(p < {CFG.alpha / 4} AS INTEGER) AS reject_h0
+       round(p, 6) AS pvalue, CAST({CFG.alpha} AS DOUBLE) AS alpha, CAST({CFG.alpha / 4} AS DOUBLE) AS bonferroni_alpha, CAST(p < {CFG.alpha / 4} AS INTEGER) AS reject_h0
 FROM (SELECT *, {_p_sql()} AS p FROM ({_RAW_BATTERY_SQL}) b0) b1"""
 
 
@@ -401,12 +401,14 @@ def findings_long(spark, sf):
 def _dictionary_sql() -> str:
     from convlens.plans.registry import ORACLE
 
-    spec = ", ".join(
-        f"('{f}', '{src}', '{kind}', '{'one-hot after top-N grouping' if kind == 'category' else 'median impute + scale'}')"
-        for f, (src, kind) in FE.FEATURE_SOURCES.items())
-    return (f"SELECT s.feature, s.source, s.kind, s.encoding, m.mi FROM (VALUES {spec}) s(feature, source, kind, encoding) "
-            f"LEFT JOIN (SELECT * FROM ({ORACLE['mi_by_feature']}) a UNION ALL SELECT * FROM ({ORACLE['mi_numeric']}) b) m "
-            f"ON s.feature = m.feature")
+    # what each feature is made of, said by itself: a name of a field is that field; the others by what they are about
+    about = (("visit_hour|visit_daypart", "visit_time"), ("visit_day|visit_dow|visit_month|is_weekend", "visit_date"), ("visit_number.*|is_first_visit", "visit_number"),
+             ("screen_.*", "device_screen_resolution"), ("is_organic", "utm_medium"), ("is_social", "utm_source"), ("is_russia", "geo_country"),
+             ("is_moscow|is_spb", "geo_city"), ("has_.*", "<field>"))
+    case = " ".join(f"WHEN regexp_full_match(feature, '{p}') THEN " + ("substr(feature, 5)" if src == "<field>" else f"'{src}'") for p, src in about)
+    return (f"SELECT feature, CASE {case} ELSE feature END AS source, CASE WHEN cat THEN 'category' WHEN regexp_full_match(feature, '(is|has)_.*|.*_is_valid') THEN 'flag' "
+            f"ELSE 'numeric' END AS kind, CASE WHEN cat THEN 'one-hot after top-N grouping' ELSE 'median impute + scale' END AS encoding, mi "
+            f"FROM (SELECT *, true AS cat FROM ({ORACLE['mi_by_feature']}) a UNION ALL SELECT *, false FROM ({ORACLE['mi_numeric']}) b) m")
 
 
 @register("feature_dictionary", _dictionary_sql())

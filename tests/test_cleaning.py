@@ -1,4 +1,4 @@
-"""Golden rows for normalisation and the clean step (mock visits)."""
+"""Normalisation, lenient types and the clean step on invented visits."""
 
 from pyspark.sql import functions as F
 
@@ -13,48 +13,55 @@ def _norm(spark, values, col):
     return [r.v for r in out]
 
 
-def test_normalize_keeps_case(spark):
-    assert _norm(spark, ["Chrome", "(not set)", "", None, "nan", "(not provided)"], "device_browser") == \
-        ["Chrome"] + ["unknown"] * 5
+def test_only_configured_columns_are_lowered(spark):
+    values = ["Firefox ESR", "NULL", "  (Not Provided)", "none", "N/A x", None]
+    assert _norm(spark, values, "device_browser") == [
+        "unknown" if v is None or v.strip().lower() in DEFAULT_CONFIG.junk_tokens else v.strip() for v in values]
+    assert _norm(spark, ["E-Mail", "Referral "], "utm_medium") == ["e-mail", "referral"]
 
 
-def test_normalize_medium_lowercases_and_keeps_none(spark):
-    assert _norm(spark, ["CPC", "Organic", "(none)", "(not set)", None], "utm_medium") == \
-        ["cpc", "organic", "(none)", "unknown", "unknown"]
+def test_a_token_kept_in_one_column_is_junk_in_others(spark):
+    assert _norm(spark, ["(None)"], "utm_medium") == ["(none)"] and _norm(spark, ["(None)"], "utm_campaign") == ["unknown"]
 
 
 def test_strip_removes_all_whitespace(spark):
     assert _norm(spark, ["\t Apple \n", " NaN "], "device_brand") == ["Apple", "unknown"]
 
 
-def _mock_sessions(spark):
-    rows = [
-        ("s1", "c1", "2021-06-01", "10:00:00", "1", "AbC", "organic", "k1", "a1", None, "mobile", None, "Apple",
-         None, "360x800", "Safari", "Russia", "Moscow"),
-        ("s2", "c2", "2021-06-02", "23:59:59", "5", "(none)", "(none)", "(not set)", None, None, "desktop",
-         "Android", None, None, "1920x1080", "Chrome", "Russia", "(not set)"),
-        ("s3", "c3", "2021-06-03", "00:00:30", "2", "XyZ", "CPC", "k2", "a2", "kw", "mobile", None, "Samsung",
-         None, "broken", "Chrome", "Russia", "Kazan"),
-    ]
+BASE = {"client_id": "owner", "visit_date": "2022-11-30", "visit_time": "06:05:04", "visit_number": "3", "utm_source": "Partner-7",
+        "utm_medium": "Referral", "utm_campaign": "autumn", "utm_adcontent": "banner 2", "utm_keyword": "shoes", "device_category": "tablet",
+        "device_os": "Linux", "device_brand": "Fairphone", "device_model": None, "device_screen_resolution": "800x1280",
+        "device_browser": "Firefox", "geo_country": "Norway", "geo_city": "Bergen"}
+
+
+def _visits(spark, **changes):
+    """One visit a keyword, the base with the fields given."""
+    rows = [tuple(({"session_id": k} | BASE | v)[f.name] for f in RAW_SESSIONS_SCHEMA.fields) for k, v in changes.items()]
     return spark.createDataFrame(rows, RAW_SESSIONS_SCHEMA)
 
 
-def test_clean_mock_golden(spark):
-    sessions = _mock_sessions(spark)
-    target = spark.createDataFrame([("s1", 1), ("s3", 1)], "session_id string, target int")
+def _some(spark):
+    return _visits(spark, plain={}, junk={"utm_source": " nan", "utm_keyword": "(not set)", "device_os": None, "visit_time": "0:00:01"},
+                   odd={"device_screen_resolution": "wide", "visit_date": "30/11/2022", "utm_medium": "(NONE)", "visit_time": "later"})
+
+
+def test_clean_step(spark):
+    sessions = _some(spark)
+    target = spark.createDataFrame([("junk", 1), ("nobody", 1)], "session_id string, target int")
     out = cleaning.clean(sessions, target, DEFAULT_CONFIG)
-    assert "device_model" not in out.columns
+    assert set(out.columns) == {f.name for f in RAW_SESSIONS_SCHEMA.fields} - {"device_model"} | {"target"}
     rows = {r.session_id: r for r in out.collect()}
-    assert [rows[k].target for k in ("s1", "s2", "s3")] == [1, 0, 1]
-    assert [rows[k].visit_time for k in ("s1", "s2", "s3")] == [36000, 86399, 30]
-    assert [rows[k].utm_medium for k in ("s1", "s2", "s3")] == ["organic", "(none)", "cpc"]
-    assert [rows[k].utm_source for k in ("s1", "s2", "s3")] == ["AbC", "unknown", "XyZ"]
+    assert {k: r.target for k, r in rows.items()} == {"plain": 0, "junk": 1, "odd": 0}
+    assert rows["plain"].visit_time == 6 * 3600 + 5 * 60 + 4 and rows["junk"].visit_time == 1 and rows["odd"].visit_time is None
+    assert (rows["plain"].utm_medium, rows["odd"].utm_medium) == ("referral", "(none)")
+    assert (rows["plain"].utm_source, rows["junk"].utm_source, rows["junk"].utm_keyword, rows["junk"].device_os) == ("Partner-7", *["unknown"] * 3)
+    assert str(rows["plain"].visit_date) == "2022-11-30" and rows["odd"].visit_date is None and rows["plain"].visit_number == 3
     summary = profiling.cleaning_summary(sessions, out).first()
     assert summary.n_invalid_resolution == 1 and summary.n_duplicates == 0
 
 
 def test_clean_dedups_full_rows(spark):
-    s = _mock_sessions(spark)
+    s = _some(spark)
     out = cleaning.clean(s.unionByName(s), None)
     assert out.count() == 3
 
@@ -80,14 +87,14 @@ def test_label_every_session_and_null_ids_ignored(spark):
 
 
 def test_quality_rules_pass_on_clean_data(spark):
-    s = _mock_sessions(spark)
-    out = cleaning.clean(s, spark.createDataFrame([("s1", 1)], "session_id string, target int"))
+    s = _some(spark)
+    out = cleaning.clean(s, spark.createDataFrame([("plain", 1)], "session_id string, target int"))
     rules = {r.rule: r.passed for r in profiling.quality_checks(out, n_expected=3).collect()}
     assert all(rules.values()), rules
 
 
 def test_missing_before_after_marks_dropped(spark):
-    s = _mock_sessions(spark)
+    s = _some(spark)
     out = cleaning.clean(s, None)
     rows = {r.column: r for r in profiling.missing_before_after(s, out).collect()}
     assert rows["device_model"].dropped == 1 and rows["device_model"].missing_before_pct == 100.0
