@@ -53,7 +53,7 @@ RAW_SESSIONS = f"""raw_sessions AS (
 
 HITS = """hits AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS session_id,
-         l_returnflag || l_linestatus AS event_action,
+         l_returnflag AS event_action,
          l_extendedprice AS event_value
   FROM lineitem
 )"""

@@ -23,7 +23,7 @@ def stream_label(spark, sf):
     spark.read.parquet(path).repartition(8).write.parquet(base + "/in")
     src = SL.hits_stream(spark, base + "/in", schema, max_files=2)
     hits = src.select(F.col("l_orderkey").cast("string").alias("session_id"),
-                      F.concat("l_returnflag", "l_linestatus").alias("event_action"))
+                      F.col("l_returnflag").alias("event_action"))
     SL.run_to_table(SL.converted_once(hits, CFG), base + "/out", base + "/ckpt")
     return SL.read_converted(spark, base + "/out")
 

@@ -2,7 +2,7 @@
 
 Mapping: one ``orders`` row is a visit (customer = client, priority = medium,
 status = device category, market segment = source, nation = city, region =
-country); one ``lineitem`` row is a hit (action = return flag || line status).
+country); one ``lineitem`` row is a hit (action = return flag).
 Junk tokens, NULLs, broken dates / times / resolutions are injected by a
 deterministic rule on the order key so that the cleaning operators have work to
 do. The SQL twin of every frame lives in ``convlens.plans.oracle``; the two
@@ -29,7 +29,7 @@ def testdata_config() -> ConversionConfig:
     """Domain parameters for the test tables (the defaults are the original
     web-analytics constants)."""
     return ConversionConfig(
-        target_actions=("RF",),
+        target_actions=("R",),
         organic_mediums=("1-urgent", "2-high", "(none)"),
         social_sources=("BUILDING", "MACHINERY"),
         home_country="EUROPE",
@@ -111,7 +111,7 @@ def raw_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         _s("l_orderkey").alias("session_id"),
-        F.concat("l_returnflag", "l_linestatus").alias("event_action"),
+        F.col("l_returnflag").alias("event_action"),
         F.col("l_extendedprice").alias("event_value"),
     )
 

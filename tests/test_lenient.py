@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from convlens.functions import columns as C
 from convlens.functions.stats import chi2_sf
 from convlens.operators import profiling
-from convlens.operators.modeling import best_round
 
 
 def test_times(spark):
@@ -39,16 +38,12 @@ def test_chi2_tail(x, dof, p):
 
 def test_summary_counts_a_repeated_session_once(spark):
     sessions = spark.createDataFrame([("a", "2021-01-01"), ("a", "2021-01-01"), ("b", "2021-01-02")], "session_id string, visit_date string")
-    hits = spark.createDataFrame([("a", "RF"), ("z", "RF")], "session_id string, event_action string")
+    hits = spark.createDataFrame([("a", "R"), ("z", "R")], "session_id string, event_action string")
     from convlens.plans.frames import CFG
     r = profiling.ingestion_summary(sessions, hits, CFG).first()
     assert (r.n_sessions, r.n_unique_ids, r.n_target, r.n_hit_sessions, r.n_matched_hit_sessions, r.key_unique) == (3, 2, 1, 2, 1, 0)
 
 
-def test_best_round():
-    assert best_round([5, 4, 3, 3.5, 3.2], 2) == (3, True)
-    assert best_round([5, 4, 3, 3.5], 2) == (3, False)
-
 
 def test_ordered_prefix_over_many_ranges(spark):
     from convlens.operators.ordered import ordered_prefix

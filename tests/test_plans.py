@@ -25,8 +25,8 @@ def test_scan_pushdown_and_pruning(spark, sf):
 
 def test_label_filter_pushed_and_visit_number_pruned(spark, sf):
     txt = _formatted(E.queries()["label_sessions"](spark, sf))
-    assert "In(l_returnflag" not in txt  # the action is derived, the filter is on the concat
-    assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string,l_linestatus:string>" in txt
+    assert "EqualTo(l_returnflag,R)" in txt  # the filter on the action reaches the scan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in txt
     assert "Window" not in txt  # the unused visit-number branch is removed
 
 

@@ -15,7 +15,7 @@ def test_stream_label_equals_batch(spark, sf):
 
 
 def _hits(spark):
-    rows = [(str(i % 40), "RF" if i % 3 == 0 else "NO", f"{2030 - i % 20}-01-01") for i in range(600)]
+    rows = [(str(i % 40), "R" if i % 3 == 0 else "NO", f"{2030 - i % 20}-01-01") for i in range(600)]
     return rows, spark.createDataFrame(rows, "session_id string, event_action string, hit_date string")
 
 
@@ -33,7 +33,7 @@ def test_each_id_once_over_batches_and_restarts(spark, tmp_path):
     _run(spark, path, out, ckpt, df.schema)
     df.where("hit_date <= '2020'").repartition(3).write.mode("append").parquet(path)
     got = _run(spark, path, out, ckpt, df.schema)
-    assert len(got) == len(set(got)) and set(got) == {s for s, a, _ in rows if a == "RF"}
+    assert len(got) == len(set(got)) and set(got) == {s for s, a, _ in rows if a == "R"}
 
 
 def test_a_replayed_batch_gives_the_same_ids(spark, tmp_path):
@@ -51,7 +51,7 @@ def test_retention_forgets_ids(spark, tmp_path):
     path, out, ckpt = (str(tmp_path / x) for x in ("in", "out", "ckpt"))
     df.repartition(2).write.parquet(path)
     ids = sorted(_run(spark, path, out, ckpt, df.schema, retention=1))
-    assert ids == sorted({s for s, a, _ in rows if a == "RF"})
+    assert ids == sorted({s for s, a, _ in rows if a == "R"})
     for some in ("int(session_id) < 20", "int(session_id) >= 20"):  # the others' state is dropped after the first of these runs
         df.where(some).repartition(1).write.mode("append").parquet(path)
         more = _run(spark, path, out, ckpt, df.schema, retention=1)
