@@ -154,5 +154,22 @@ def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
 
 
+ORACLE["op13_repeats"] = """
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS k
+          FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 399)) AS i FROM d WHERE len(h) >= 800)),
+    s AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new
+          FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+    runs AS (SELECT r, min(i) AS a, max(i) + 400 AS b
+             FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM s) GROUP BY r, g),
+    pieces AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS lo, a AS hi FROM runs
+               UNION ALL SELECT r, max(b), 1000000000 FROM runs GROUP BY r),
+    kept AS (SELECT pieces.r AS r, string_agg(substr(h, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY lo) AS h FROM pieces JOIN d ON d.r = pieces.r GROUP BY 1),
+    sums AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+    SELECT doc_id, (len(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+           sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+    FROM d LEFT JOIN sums ON sums.r = d.r LEFT JOIN kept ON kept.r = d.r"""
+
+
 QUERIES = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_sentencepiece, op4_pii, op5_packing, op6_sharding, op7_warc, op8_ngram_join, op9_hnsw, op10_fingerprints,
                                   op11_alignment, op12_phrases, op13_repeats)}

@@ -94,7 +94,7 @@ def read_model(path: str) -> dict:
 class Encoder(dict):
     """The composed transducer. As a mapping it keeps the ids (32 bits each, as bytes) of parts of texts already composed."""
 
-    def __init__(self, model: dict, rules: dict[str, str] | None = None, keep: int = 250_000):
+    def __init__(self, model: dict, rules: dict[str, str] | None = None, keep: int = 200_000):
         super().__init__()
         self.older: dict[str, bytes] = {}  # the parts kept before: those used again are taken over
         self.pieces, self.kind, self.keep, self.model = model["pieces"], model["kind"], keep, model
@@ -162,7 +162,7 @@ class Encoder(dict):
         was bared must not have come before the one taken back. Of equal merges the left one comes first."""
         known = self.follows.get(a << 24 | b)
         if known is None:
-            if len(self.follows) >= 2 * self.keep:
+            if len(self.follows) >= self.keep:
                 self.follows.clear()
             pieces, ids, halves = self.pieces, self.ids, self.halves
             one, two, limit, strict = a, b, float("-inf"), True
