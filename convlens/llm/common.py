@@ -39,6 +39,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def marked(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, out: str, bits: int = 25) -> DataFrame:
+    """``df`` with ``out``: false if ``key`` cannot be among ``wanted``, true for all that are and a few by chance (see ``thinned``)."""
+    page, spot, bitmap = fresh(df, "page", "spot", "bitmap")
+    place = lambda k: F.xxhash64(k).bitwiseAND(F.lit((1 << bits) - 1))
+    pages = (wanted.select(place(wanted_key).alias(spot))
+             .groupBy(F.shiftright(spot, 15).alias(page)).agg(F.bitmap_construct_agg(F.col(spot).bitwiseAND(F.lit(32767))).alias(bitmap)))
+    at = df.withColumn(spot, place(key)).withColumn(page, F.shiftright(spot, 15)).withColumn(spot, F.col(spot).bitwiseAND(F.lit(32767)))
+    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(spot, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, F.col(spot).bitwiseAND(F.lit(7)).cast("int"))
+    return at.join(F.broadcast(pages), page, "left").select(*df.columns, F.coalesce(bit == 1, F.lit(False)).alias(out))
+
+
 def thinned(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, bits: int = 25) -> DataFrame:
     """``df`` without rows whose ``key`` cannot be among ``wanted``: a filter before a join that would shuffle all of ``df``.
 

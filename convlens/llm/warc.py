@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convlens.llm.common import fresh, materialize, shared_uri
+from convlens.llm.common import fresh, marked, materialize, shared_uri
 
 INDEX = "archive string, offset bigint, length bigint, url string, digest string, record_type string, id bigint"
 RECORD = ("id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, "
@@ -77,13 +77,16 @@ def parse_record(raw: bytes) -> dict:
 
 
 def _with_revisits(rows: DataFrame, least_bytes: int) -> DataFrame:
-    """Adds refers_to. Only ids and digests of repeated payloads are joined; the payloads stay where they are unless the
-    repeated ones are too many to send around."""
+    """Adds refers_to. Ids and digests of repeated payloads are joined first; of the rows with their payloads only those that a
+    bitmap of revisiting ids lets through are shuffled, the others are responses where they lie."""
     narrow = rows.where(F.octet_length("payload") >= least_bytes).select("id", "digest")
     groups = (narrow.groupBy("digest").agg(F.max("id").alias("refers_to"), F.min("id").alias("least"))
               .where("least < refers_to").drop("least"))
     revisits = narrow.join(groups, "digest").where("id < refers_to").distinct()
-    return rows.join(revisits, ["id", "digest"], "left")
+    (may,) = fresh(rows, "may")
+    split = marked(rows, F.col("id"), revisits, F.col("id"), may)
+    sure = split.where(~F.col(may)).drop(may).withColumn("refers_to", F.lit(None).cast("bigint"))
+    return sure.unionByName(split.where(may).drop(may).join(revisits, ["id", "digest"], "left"))
 
 
 def write_archives(df: DataFrame, id_col: str, url_col: str, payload_col: str, least_bytes: int = 1000,
