@@ -6,7 +6,7 @@ a hot key costs one row per map task in the shuffle, not its raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from convlens.contracts import DEFAULT_CONFIG, ConversionConfig
@@ -126,17 +126,16 @@ def value_counts_long(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def topn_coverage(df: DataFrame, top_n_by_column: dict) -> DataFrame:
     """Per column: cardinality, N, % of rows covered by the top-N values.
-    Totals come from a plain aggregate; the ranked part keeps only rank <= N
+    Values are counted once; totals come from a plain aggregate of the counts, and the ranked part keeps only rank <= N
     (``WindowGroupLimit`` trims each task before the shuffle)."""
-    from convlens.operators.features import top_n_values
-
     cols = [c for c in top_n_by_column if c in df.columns]
     counts = value_counts_long(df, cols)
     totals = counts.groupBy("column").agg(F.count(F.lit(1)).cast("bigint").alias("cardinality"),
                                           F.sum("n").alias("_total"))
-    top = top_n_values(df, {c: top_n_by_column[c] for c in cols}) \
-        .groupBy("column").agg(F.sum("n").alias("_top"))
     limit = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(int(top_n_by_column[c])))])
+    rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
+    top = (counts.withColumn("_rank", rank).where(F.col("_rank") <= max((int(top_n_by_column[c]) for c in cols), default=0))
+           .where(F.col("_rank") <= limit[F.col("column")]).groupBy("column").agg(F.sum("n").alias("_top")))
     return (totals.join(top, "column", "left")
             .select("column", limit[F.col("column")].alias("top_n"), "cardinality",
                     F.round(F.coalesce("_top", F.lit(0)) * 100.0 / F.col("_total"), 2).alias("coverage_pct")))

@@ -16,6 +16,7 @@ from convlens.operators import features as FE
 from convlens.plans import frames
 from convlens.plans.oracle import CFG, EDA_BASE, FEATURE_BASE, grouped_top, with_
 from convlens.plans.registry import register
+from convlens.session import cut_lineage
 
 W = with_(*EDA_BASE)
 
@@ -84,8 +85,7 @@ _MATRIX_COLS = ["utm_medium", "device_category", "device_os", "device_browser",
                 "is_social", "is_first_visit", "visit_daypart", "target"]
 
 
-def _matrix_frame(spark, sf):
-    eda = frames.eda(spark, sf)
+def _matrix_frame(eda):
     grouper = FE.RareCategoryGrouper(topNJson=json.dumps(_MATRIX_TOP)).fit(eda)
     return grouper.transform(eda)
 
@@ -106,13 +106,17 @@ SELECT feature_a, feature_b, cramers_v FROM v
 UNION ALL SELECT feature_b, feature_a, cramers_v FROM v
 UNION ALL SELECT c, c, 1.0 FROM (VALUES """ + ", ".join(f"('{c}')" for c in _MATRIX_COLS) + ") t(c)")
 def cramers_v_matrix(spark, sf):
-    return A.association_matrix(_matrix_frame(spark, sf), _MATRIX_COLS)
+    return A.association_matrix(_matrix_frame(frames.eda(spark, sf)), _MATRIX_COLS)
 
 
 @register("target_association", _MATRIX_SQL + """
 SELECT feature_a AS feature, round(cramers_v, 4) AS cramers_v FROM v WHERE feature_b = 'target'""")
 def target_association(spark, sf):
-    m = A.association_matrix(_matrix_frame(spark, sf), _MATRIX_COLS)
+    return _target_association(frames.eda(spark, sf))
+
+
+def _target_association(eda):
+    m = A.association_matrix(_matrix_frame(eda), _MATRIX_COLS)
     return m.where((F.col("feature_b") == "target") & (F.col("feature_a") != "target")) \
             .select(F.col("feature_a").alias("feature"), F.round("cramers_v", 4).alias("cramers_v"))
 
@@ -382,17 +386,17 @@ def findings_long(spark, sf):
     ``unionByName`` of the business splits, target associations, hypothesis
     statistics and top-N coverage."""
     from convlens.operators import slices
-    from convlens.plans import q_eda
 
-    biz = slices.business_splits(frames.eda(spark, sf))
+    eda = cut_lineage(frames.eda(spark, sf))  # read by all four parts
+    biz = slices.business_splits(eda)
     biz_long = biz.select([F.col(c).cast("double").alias(c) for c in _BIZ_COLS]) \
                   .unpivot([], list(_BIZ_COLS), "metric", "value") \
                   .select(F.lit("business").alias("section"), F.lit("all").alias("name"), "metric", "value")
-    assoc = target_association(spark, sf).select(F.lit("association").alias("section"), F.col("feature").alias("name"),
+    assoc = _target_association(eda).select(F.lit("association").alias("section"), F.col("feature").alias("name"),
                                                  F.lit("cramers_v").alias("metric"), F.col("cramers_v").alias("value"))
-    hyp = hypothesis_battery(spark, sf).select(F.lit("hypothesis").alias("section"), F.col("id").alias("name"),
+    hyp = A.hypothesis_battery(eda).select(F.lit("hypothesis").alias("section"), F.col("id").alias("name"),
                                                F.lit("statistic").alias("metric"), F.col("statistic").alias("value"))
-    cov = q_eda.topn_coverage(spark, sf).select(F.lit("coverage").alias("section"), F.col("column").alias("name"),
+    cov = slices.topn_coverage(eda, CFG.top_n_by_column).select(F.lit("coverage").alias("section"), F.col("column").alias("name"),
                                                 F.lit("coverage_pct").alias("metric"),
                                                 F.col("coverage_pct").cast("double").alias("value"))
     return biz_long.unionByName(assoc).unionByName(hyp).unionByName(cov)
