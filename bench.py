@@ -34,7 +34,7 @@ def main() -> None:
     from convlens.plans.q_association import _CATS, vif_table
     from convlens.plans.q_ingest import _records
     from convlens.plans.q_models import MAX_TREES
-    from convlens.session import build_session, scratch_path
+    from convlens.session import build_session, drop_scratch, scratch_path
     from convlens.sources import sinks
     from convlens.sources import testdata as td
 
@@ -54,15 +54,14 @@ def main() -> None:
 
     # 01 load + label: sessions and target_by_session phase tables
     def load_label():
-        sinks.write_phase_table(sessions, f"{out}/sessions")
-        sinks.write_phase_table(labeling.target_table(spark.read.parquet(f"{out}/sessions"), hits, cfg),
-                                f"{out}/target")
+        # both in sorted buckets by session: cleaning needs no exchange
+        bucketed = sinks.write_bucketed(sessions, "bench_sessions", f"{out}/sessions", buckets=2 * cpus)
+        sinks.write_bucketed(labeling.target_table(bucketed, hits, cfg), "bench_target", f"{out}/target", buckets=2 * cpus)
     timed("load_label", load_label)
 
     # 02 clean -> dataset (partitioned by visit month)
     def clean():
-        s = spark.read.parquet(f"{out}/sessions")
-        t = spark.read.parquet(f"{out}/target")
+        s, t = spark.table("bench_sessions"), spark.table("bench_target")
         d = sinks.with_visit_month(cleaning.clean(s, t, cfg))
         sinks.write_phase_table(d, f"{out}/dataset", partition_by=["visit_ym"])
     timed("clean", clean)
@@ -127,6 +126,9 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "pipeline_total", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf).replace("sf", ""), "cpus": cpus}))
+    for name in ("bench_sessions", "bench_target"):
+        spark.sql(f"DROP TABLE {name}")
+    drop_scratch(spark)
     spark.stop()
 
 

@@ -57,9 +57,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return conf_dir.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+    return _MADE[-1]
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Removes what ``scratch_path`` named in this process, through the file system of the folder; for the end of a run, when no
+    result that reads it is wanted any more. Returns how many folders there were."""
+    paths, gone = spark.sparkContext._jvm.org.apache.hadoop.fs, 0
+    while _MADE:
+        path = paths.Path(_MADE.pop())
+        gone += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
 
 
 def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:

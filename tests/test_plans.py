@@ -129,3 +129,16 @@ def test_tails_of_distributions(spark):
     for p, (x, k) in zip(got, cases):
         want = stats.chi2_sf(x, k)
         assert abs(p - want) <= 1e-6 * want + 1e-300, (x, k, p, want)
+
+
+def test_scratch_is_removed(spark):
+    import os
+
+    from convlens import session
+
+    session._MADE.clear()
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.scratch_path(spark, "never-written")
+    assert session.drop_scratch(spark) == 1 and session._MADE == []
+    assert not os.path.exists(path.removeprefix("file://").removeprefix("file:"))
