@@ -242,7 +242,24 @@ def vif_table(df, cols: list[str]):
     return df.sparkSession.createDataFrame(rows, "feature string, vif double, above_10 int")
 
 
-@register("vif")
+def _vif_sql(cols: list[str]) -> str:
+    """The diagonal of the inverse correlation matrix by Gauss-Jordan elimination, a column a step."""
+    n = len(cols)
+    corr = lambda a, b: "1.0" if a == b else f"corr({min(a, b)}, {max(a, b)})"
+    rows = ", ".join("[" + ", ".join([*(corr(a, b) for b in cols), *("1.0" if i == j else "0.0" for j in range(n))]) + "]" for i, a in enumerate(cols))
+    names = ", ".join(f"'{c}'" for c in cols)
+    return WF.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, med AS (SELECT {', '.join(f'median({c}) AS m_{c}' for c in cols)} FROM features),
+imp AS (SELECT {', '.join(f'coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}' for c in cols)} FROM features, med),
+start AS (SELECT [{rows}] AS m FROM imp),
+gj AS (SELECT 1 AS k, m FROM start UNION ALL
+       SELECT k + 1, list_transform(range(1, {n + 1}), lambda i: CASE WHEN i = k THEN list_transform(m[k], lambda x: x / m[k][k])
+              ELSE list_transform(range(1, {2 * n + 1}), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END) FROM gj WHERE k <= {n}),
+v AS (SELECT unnest([{names}]) AS feature, unnest(list_transform(range(1, {n + 1}), lambda i: m[i][{n} + i])) AS vif FROM gj WHERE k = {n + 1})
+SELECT feature, round(vif, 4) AS vif, CAST(vif > 10 AS INTEGER) AS above_10 FROM v"""
+
+
+@register("vif", _vif_sql(list(NUMERIC_FEATURES)))
 def vif(spark, sf):
     return vif_table(features(spark, sf), list(NUMERIC_FEATURES))
 
