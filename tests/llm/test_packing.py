@@ -76,3 +76,39 @@ def test_query(spark, sf):
     for r in got:
         total[r.doc_id] = total.get(r.doc_id, 0) + r.length
     assert total == sizes
+
+
+def plain(lengths, capacities, overhead):
+    """The same policy read plainly: every open bin is looked at for every item."""
+    worth = min((c + overhead) / c for c in capacities)
+    bins, offsets, used, room, put = [], [], [], [], []
+    for k, n in enumerate(lengths):
+        if n == 0 and used:
+            bins.append(len(used) - 1)
+            offsets.append(used[-1])
+            continue
+        fits = [b for b in range(len(used)) if room[b] >= n and room[b] > 0]
+        if fits:
+            b = min(fits, key=lambda b: (room[b], -put[b]))  # least room, then the bin last put there
+        else:
+            def cost(c):
+                to_come = sum(x for x in lengths[k + 1:] if x <= c - n) - sum(room)
+                return c + overhead - worth * max(0, min(c - n, to_come)), c
+            b = len(used)
+            used.append(0)
+            room.append(min((c for c in capacities if c >= n), key=cost))
+            put.append(0)
+        bins.append(b)
+        offsets.append(used[b])
+        used[b] += n
+        room[b] -= n
+        put[b] = k + 1
+    return bins, offsets, [min(c for c in capacities if c >= u) for u in used]
+
+
+def test_equals_a_plain_reading_of_the_policy():
+    rng = random.Random(11)
+    for overhead in (0.0, 32.0):
+        for _ in range(150):
+            lengths = sorted((rng.choice([0, 1, 128, rng.randint(1, 128), rng.randint(1, 20)]) for _ in range(rng.randint(0, 90))), reverse=True)
+            assert pack(lengths, list(SIZES), overhead) == plain(lengths, SIZES, overhead)

@@ -65,3 +65,38 @@ def test_query(spark, sf):
     count = Counter(r.shard for r in got)
     assert len(got) == len(docs) and len(count) == 16 and max(count.values()) - min(count.values()) <= 1
     assert {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
+
+
+def test_equals_a_plain_reading(spark):
+    """Every draw, permutation and slot followed by hand from the same hashes."""
+    import struct
+
+    import xxhash
+
+    def spark_hash(number, row):
+        first = xxhash.xxh64_intdigest(struct.pack("<i", number), 42)
+        return struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(struct.pack("<q", row), first)))[0]
+
+    n_shards, seed, per_piece = 5, 3, 12
+    df = spark.range(0, 317, 1, 4)
+    held = {}
+    for r in df.selectExpr("id", "spark_partition_id() AS b").collect():
+        held.setdefault(r.b, []).append(r.id)
+    blocks = [held[b] for b in sorted(held)]
+    matrix = sharding.communication_matrix([len(b) for b in blocks], sharding.shard_sizes(317, n_shards), seed)
+    shards = [[] for _ in range(n_shards)]
+    for b, (ids, counts) in enumerate(zip(blocks, matrix)):
+        rows = sorted(((spark_hash(2 * seed, (b << 33) + i), (b << 33) + i, x) for i, x in enumerate(ids)))
+        at = 0
+        for s, count in enumerate(counts):
+            shards[s] += [(row, x) for _, row, x in rows[at:at + count]]
+            at += count
+    pieces = -(-317 // (n_shards * per_piece))
+    want = set()
+    for s, rows in enumerate(shards):
+        key = lambda row: spark_hash(2 * seed + 1, row)
+        piece = lambda row: int(((key(row) & (1 << 64) - 1) >> 11) * 2.0 ** -53 * pieces)
+        order = sorted(rows, key=lambda r: (piece(r[0]), key(r[0]), r[0]))
+        want |= {(x, s, slot) for slot, (_, x) in enumerate(order)}
+    got = sharding.shuffle_to_shards(df, n_shards, seed, rows_per_piece=per_piece).collect()
+    assert {(r.id, r.shard, r.slot) for r in got} == want
