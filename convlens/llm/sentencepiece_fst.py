@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Three machines are compiled from a model file: the normaliser (rewriting rules, white space to ``▁``, the leading space), the
-pieces (a trie whose accepting paths emit a piece's id at its weight), and byte fallback (for characters that no piece covers, their
+Three machines are compiled from a model file: the normaliser (the rules of its precompiled character map, white space to ``▁``,
+the leading space), the pieces (a trie whose accepting paths emit a piece's id at its weight), and byte fallback (for characters that no piece covers, their
 UTF-8 bytes as byte pieces, or the unknown piece). Each text is composed with them and the path of least weight in the tropical
 semiring is taken, over character positions from left to right.
 
@@ -10,6 +10,9 @@ pieces are further composed with an acceptor of neighbours: two pieces may follo
 their characters by rank gives just these two. A sequence whose neighbours are all accepted is the one that merging gives, so
 exactly one path of finite weight is left and it is SentencePiece's own result.
 
+User-defined pieces are copied by the normaliser, the longest one at each position. In a BPE model they stand alone, and what is
+between them is encoded for itself; in a unigram model they weigh 0.1 (less, by their bytes, where scores are above zero).
+
 A text is cut where no piece of more than one character reaches across (before a run of spaces): the composition falls
 apart there, and paths of repeated parts are kept for reuse in a bounded table. Defined results: a null text gives null ids; an
 empty text gives none; control pieces are never made from text; decoding turns unknown ids into the model's unknown
@@ -24,7 +27,7 @@ import struct
 import sys
 import types
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,13 +85,114 @@ def read_model(path: str) -> dict:
         p = dict(_fields(v))
         pieces.append((p.get(1, b"").decode(), struct.unpack("<f", p[2])[0] if 2 in p else 0.0, p.get(3, NORMAL)))
     trainer = dict(_fields(next((v for k, v in fields if k == 2), b"")))
-    norm = dict(_fields(next((v for k, v in fields if k == 3), b"")))
-    if norm.get(2):
-        raise ValueError("a precompiled character map is not supported; pass its rules to Encoder instead")
+    norm = dict(_fields(b"".join(v for k, v in fields if k == 3)))  # a message given in parts
     if trainer.get(3, UNIGRAM) not in (UNIGRAM, BPE):
         raise ValueError("only unigram and BPE models are supported")
     return {"key": hashlib.sha1(raw).hexdigest(), "pieces": pieces, "kind": trainer.get(3, UNIGRAM), "unknown": trainer.get(44, b" \xe2\x81\x87 ").decode(),
-            "prefix": bool(norm.get(3, 1)), "collapse": bool(norm.get(4, 1)), "escape": bool(norm.get(5, 1))}
+            "prefix": bool(norm.get(3, 1)), "collapse": bool(norm.get(4, 1)), "escape": bool(norm.get(5, 1)),
+            "map": norm.get(2, b"")}
+
+
+class Tree:
+    """Left sides of rules as a tree by character, with the right side where one ends."""
+
+    def __init__(self, rules: dict[str, str]):
+        self.root: dict[str, list] = {}
+        self.lefts = [left for left in rules if left]
+        for left in self.lefts:
+            node = self.root
+            for c in left:
+                arc = node.setdefault(c, [{}, None])
+                node = arc[0]
+            arc[1] = rules[left]
+
+    def begins(self) -> set[str]:
+        """The left sides' first one or two characters."""
+        return {left[:2] for left in self.lefts}
+
+    def longest(self, text: str, i: int) -> tuple[int, str] | None:
+        """The end and the right side of the longest left side that begins at position i."""
+        node, found = self.root, None
+        for j in range(i, len(text)):
+            if (arc := node.get(text[j])) is None:
+                break
+            node = arc[0]
+            if arc[1] is not None:
+                found = j + 1, arc[1]
+        return found
+
+
+class CharacterMap:
+    """The same of a precompiled character map, used as it is stored: the size of a double-array tree over UTF-8 bytes, its units of 32
+    bits, then the right sides, each ended by a zero byte. A unit holds its byte, the way to its children and whether a value is one of them."""
+
+    def __init__(self, blob: bytes):
+        size = int.from_bytes(blob[:4], "little")
+        units = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64)
+        self.rights = blob[4 + size:]
+        self.bytes_of = units & 0x800000FF
+        self.children = np.where(units & 0x200, units >> 10 << 8, units >> 10)
+        self.steps = list(zip(self.bytes_of.tolist(), self.children.tolist(), (units >> 8 & 1).tolist(), (units & 0x7FFFFFFF).tolist()))
+
+    def begins(self) -> set[str]:
+        width = lambda byte: 1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
+        some_byte, out = np.arange(1, 256), set()
+        nodes = [(b"", int(self.children[0]))] if self.steps else []
+        while nodes:
+            block, nodes = nodes[-4096:], nodes[:-4096]
+            at = np.array([base for _, base in block])[:, None] ^ some_byte
+            rows, cols = np.nonzero((at < len(self.steps)) & (self.bytes_of[np.minimum(at, len(self.steps) - 1)] == some_byte))
+            for r, k in zip(rows.tolist(), at[rows, cols].tolist()):
+                byte, child, ends, _ = self.steps[k]
+                left = block[r][0] + bytes([byte])
+                one = width(left[0])
+                if ends and len(left) == one:
+                    out.add(left.decode())
+                if len(left) > one and len(left) == one + width(left[one]):
+                    out.add(left.decode())
+                else:
+                    nodes.append((left, k ^ child))
+        return out
+
+    def longest(self, text: str, i: int) -> tuple[int, str] | None:
+        steps, found = self.steps, None
+        base = steps[0][1] if steps else 0
+        for j in range(i, len(text)):
+            for byte in text[j].encode("utf-8", "surrogatepass"):
+                k = base ^ byte
+                if not byte or k >= len(steps) or steps[k][0] != byte:
+                    return found
+                base = k ^ steps[k][1]
+            if steps[k][2]:
+                begin = steps[base][3]
+                found = j + 1, self.rights[begin:self.rights.index(0, begin)].decode()
+        return found
+
+
+class Normaliser:
+    """Rewriting rules as a machine. At each position the longest kept string that begins there is copied; else the longest left side is
+    read (of the given rules before the model's map) and its right side written; else one character is copied."""
+
+    def __init__(self, rules: dict[str, str], kept: Iterable[str] = (), blob: bytes = b""):
+        self.machines = [Tree({k: k for k in kept}), Tree(rules), *([CharacterMap(blob)] if blob else [])]
+        begins = set().union(*(machine.begins() for machine in self.machines))
+        one_of = lambda chars: "[" + "".join(map(re.escape, sorted(chars))) + "]"
+        singles, pairs = {x for x in begins if len(x) == 1}, [x for x in begins if len(x) == 2]
+        starts = [one_of(singles)] if singles else []
+        starts += [f"{one_of({x[0] for x in pairs})}(?={one_of({x[1] for x in pairs})})"] if pairs else []
+        #: where a left side may begin; all else is copied in runs
+        self.starts = re.compile("|".join(starts)) if starts else None
+
+    def __call__(self, text: str) -> str:
+        if self.starts is None:
+            return text
+        out, at = [], 0
+        while found := self.starts.search(text, at):
+            i = found.start()
+            end, new = next(filter(None, (machine.longest(text, i) for machine in self.machines)), (i + 1, text[i]))
+            out += text[at:i], new
+            at = end
+        return "".join([*out, text[at:]])
 
 
 class Encoder(dict):
@@ -98,12 +202,16 @@ class Encoder(dict):
         super().__init__()
         self.older: dict[str, bytes] = {}  # the parts kept before: those used again are taken over
         self.pieces, self.kind, self.keep, self.model = model["pieces"], model["kind"], keep, model
-        self.rules = rules or {}
-        self.rewrite = re.compile("|".join(re.escape(k) for k in sorted(self.rules, key=len, reverse=True))) if self.rules else None
-        self.ids = {p: i for i, (p, _, kind) in enumerate(self.pieces) if kind in (NORMAL, USER)}
+        users = {p: i for i, (p, _, kind) in enumerate(self.pieces) if kind == USER}
+        self.rewrite = Normaliser(rules or {}, users, model.get("map", b""))
+        self.ids = {p: i for i, (p, _, kind) in enumerate(self.pieces) if kind == NORMAL or (kind == USER and self.kind == UNIGRAM)}
+        self.users = users if self.kind == BPE else {}
+        self.alone = re.compile("(" + "|".join(map(re.escape, sorted(users, key=len, reverse=True))) + ")") if self.users else None
         self.bytes = {int(p[1:-1], 16): i for i, (p, _, kind) in enumerate(self.pieces) if kind == BYTE}
         self.unknown = next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
         self.worst = min((s for _, s, kind in self.pieces if kind == NORMAL), default=0.0) - 10.0
+        best = max((s for _, s, kind in self.pieces if kind == NORMAL and s > 0), default=0.0)
+        self.weights = [0.1 - len(p.encode()) * best if kind == USER else -s for p, s, kind in self.pieces]
         self.follows: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int]] = {}  # of a piece that merging builds: the two that its last merge joins
         usable = self.ids if self.kind == UNIGRAM else [p for p in self.ids if self.builds(p)]
@@ -247,7 +355,7 @@ class Encoder(dict):
             if not arcs or arcs[-1][0] != i + 1:
                 arcs.append((i + 1, -1))
             for j, k in arcs:
-                w = weight[i] - (self.pieces[k][1] if k >= 0 else self.worst)
+                w = weight[i] + (self.weights[k] if k >= 0 else -self.worst)
                 if w < weight[j]:
                     weight[j], last[j], start[j] = w, k, i
         out: list[int] = []
@@ -273,16 +381,27 @@ class Encoder(dict):
         return out
 
     def normalise(self, text: str) -> str:
-        if self.rewrite:
-            text = self.rewrite.sub(lambda m: self.rules[m[0]], text)
+        some = bool(text)
+        text = self.rewrite(text)
         if self.model["collapse"]:
             text = re.sub(" +", " ", text.strip(" "))
-        if text and self.model["prefix"]:
+            some = bool(text)
+        if some and self.model["prefix"]:
             text = " " + text
-        return text.replace(" ", SPACE) if self.model["escape"] else text
+        if self.model["escape"]:
+            text = text.replace(" ", SPACE)
+        if self.model["collapse"]:  # also one that stood in the text
+            text = text.rstrip(SPACE if self.model["escape"] else " ")
+        return text
 
     def encode(self, text: str) -> np.ndarray:
-        parts = self.cut.findall(self.normalise(text))
+        text = self.normalise(text)
+        if self.alone:
+            parts = []
+            for i, some in enumerate(self.alone.split(text)):
+                parts.append(array("i", [self.users[some]]).tobytes() if i % 2 else b"".join(map(self.__getitem__, self.cut.findall(some))))
+            return np.frombuffer(b"".join(parts), np.int32)
+        parts = self.cut.findall(text)
         return np.frombuffer(b"".join(map(self.__getitem__, parts)), np.int32)
 
 
