@@ -208,6 +208,12 @@ def hash_unit_sql(key: str, seed, salt: str = "") -> str:
     return f"((('0x' || substr(md5({s}), 1, 8))::BIGINT) % 10000)"
 
 
+def rank_sql(src: str, salt: str = "") -> str:
+    tail = f" || ':{CFG.seed}'" + (f" || ':{salt}'" if salt else "")
+    return (f"SELECT session_id, target, row_number() OVER (PARTITION BY target ORDER BY md5(session_id{tail})) AS r, "
+            f"count(*) OVER (PARTITION BY target) AS n FROM {src}")
+
+
 SPLIT = f"""sp AS (SELECT *, CASE WHEN {hash_unit_sql('session_id', CFG.seed)} < {int(round(CFG.test_size * 10000))}
                          THEN 'test' ELSE 'train' END AS split FROM features),
 train AS (SELECT * FROM sp WHERE split = 'train'),

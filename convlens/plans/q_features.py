@@ -11,7 +11,7 @@ from convlens.functions import columns as C
 from convlens.operators import features as FE
 from convlens.operators import splits as SP
 from convlens.plans import frames
-from convlens.plans.oracle import CFG, FEATURE_BASE, SPLIT_BASE, grouped_top, hash_unit_sql, with_
+from convlens.plans.oracle import CFG, FEATURE_BASE, SPLIT_BASE, grouped_top, hash_unit_sql, rank_sql, with_
 from convlens.plans.registry import register
 
 WF = with_(*FEATURE_BASE)
@@ -64,15 +64,9 @@ def split_nested(spark, sf):
              .select("session_id", "split")
 
 
-def _rank_sql(src: str, salt: str = "") -> str:
-    tail = f" || ':{CFG.seed}'" + (f" || ':{salt}'" if salt else "")
-    return (f"SELECT session_id, target, row_number() OVER (PARTITION BY target ORDER BY md5(session_id{tail})) AS r, "
-            f"count(*) OVER (PARTITION BY target) AS n FROM {src}")
-
-
 @register("split_stratified", with_(*FEATURE_BASE[:-1]) + f"""
-, a AS ({_rank_sql('dataset')}),
-b AS ({_rank_sql(f"(SELECT session_id, target FROM a WHERE r > floor(n * {CFG.test_size} + 0.5)) x", 'val')})
+, a AS ({rank_sql('dataset')}),
+b AS ({rank_sql(f"(SELECT session_id, target FROM a WHERE r > floor(n * {CFG.test_size} + 0.5)) x", 'val')})
 SELECT session_id, target, 'test' AS split FROM a WHERE r <= floor(n * {CFG.test_size} + 0.5)
 UNION ALL SELECT session_id, target, CASE WHEN r <= floor(n * {CFG.val_size} + 0.5) THEN 'val' ELSE 'fit' END FROM b""")
 def split_stratified(spark, sf):
@@ -82,7 +76,7 @@ def split_stratified(spark, sf):
 
 
 @register("stratified_folds", with_(*FEATURE_BASE[:-1]) + f"""
-, a AS ({_rank_sql('dataset', 'cv')})
+, a AS ({rank_sql('dataset', 'cv')})
 SELECT session_id, target, CAST(r > floor(n * (1 / 3) + 0.5) AS INTEGER) + CAST(r > floor(n * (2 / 3) + 0.5) AS INTEGER) AS fold FROM a""")
 def stratified_folds(spark, sf):
     return SP.stratified_folds(frames.dataset(spark, sf).select("session_id", "target"), folds=3, seed=CFG.seed)

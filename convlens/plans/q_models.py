@@ -1,5 +1,6 @@
 """Model queries: rows-only checks --
-learners are iterative, so there is no SQL oracle."""
+learners are iterative, so there is no SQL oracle; the fitted encoder's slots
+have one."""
 
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ from convlens.operators import modeling as M
 from convlens.operators import splits as SP
 from convlens.operators import trees
 from convlens.plans import frames
-from convlens.plans.oracle import CFG
+from convlens.plans.oracle import CFG, FEATURE_BASE, grouped_top, hash_unit_sql, rank_sql, with_
 from convlens.plans.registry import register
 from convlens.session import cut_lineage, scratch_path
 from convlens.sources import sinks
@@ -156,7 +157,30 @@ def linear_contributions(spark, sf):
     return M.linear_contributions(_pipeline(spark, sf, "logreg_full"), test)
 
 
-@register("feature_encoding")
+def _encoding_sql() -> str:
+    """The encoder's slots in SQL: split, grouping, medians and means are learned on the fit part."""
+    chance = ("300 + CASE WHEN device_category = 'F' THEN 2500 ELSE 0 END + CASE WHEN utm_medium IN ('1-urgent', '(none)') THEN 2000 ELSE 0 END"
+              " + CASE WHEN geo_city IN ('NATION_3', 'NATION_8') THEN 1500 ELSE 0 END + CASE WHEN visit_number = 1 THEN 1000 ELSE 0 END")
+    ctes = [*FEATURE_BASE,
+            f"labelled AS (SELECT session_id, CAST({hash_unit_sql('session_id', 7, 'learnable')} < {chance} AS INTEGER) AS target FROM dataset)",
+            f"a AS ({rank_sql('labelled')})",
+            f"b AS ({rank_sql(f'(SELECT session_id, target FROM a WHERE r > floor(n * {CFG.test_size} + 0.5)) x', 'val')})",
+            f"fitted AS (SELECT * FROM features WHERE session_id IN (SELECT session_id FROM b WHERE r > floor(n * {CFG.val_size} + 0.5)))",
+            f"tested AS (SELECT * FROM features WHERE session_id IN (SELECT session_id FROM a WHERE r <= floor(n * {CFG.test_size} + 0.5)))",
+            grouped_top("fitted", "fitted_grouped", CFG.top_n_by_column, CFG.other),
+            grouped_top("fitted", "tested_grouped", CFG.top_n_by_column, CFG.other, "tested"),
+            "medians AS (SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in NUMERIC_FEATURES) + " FROM fitted)",
+            "means AS (SELECT " + ", ".join(f"avg(coalesce(CAST(f.{c} AS DOUBLE), m.{c})) AS {c}" for c in NUMERIC_FEATURES) + " FROM fitted f, medians m)",
+            "labels_ AS (SELECT " + ", ".join(f"list(DISTINCT {c}) AS {c}" for c in CATEGORICAL_FEATURES) + " FROM fitted_grouped)"]
+    # every column has one slot more than labels: that of values not seen in the fit part
+    width = " + ".join([str(len(NUMERIC_FEATURES)), *(f"len(l.{c}) + 1" for c in CATEGORICAL_FEATURES)])
+    active = " + ".join([str(len(CATEGORICAL_FEATURES)),
+                         *(f"CAST(coalesce(CAST(t.{c} AS DOUBLE), m.{c}) <> v.{c} AS INTEGER)" for c in NUMERIC_FEATURES)])
+    return with_(*ctes) + (f"SELECT session_id, CAST({width} AS INTEGER) AS width, CAST({active} AS INTEGER) AS active "
+                           "FROM tested_grouped t, medians m, means v, labels_ l")
+
+
+@register("feature_encoding", _encoding_sql())
 def feature_encoding(spark, sf):
     """The fitted encoder (builder -> grouping -> one-hot + impute/scale ->
     vector) applied to the test part: vector width and active slots."""
