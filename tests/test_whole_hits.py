@@ -20,7 +20,7 @@ def hits(tmp_path_factory):
 
 
 @pytest.mark.parametrize("name, want", [
-    ("dedup_rows", {("1", "RF"), ("1", "RO"), ("2", "RO"), ("2", "NO"), ("3", "RF"), (None, "RF"), ("4", None)})])
+    ("dedup_rows", {("1", "RF"), ("1", "RO"), ("2", "RO"), ("2", "NO"), ("3", "RF"), (None, "RF"), ("4", None)}), ("distinct_sessions", {(2, 4)})])
 def test_actions_hold_the_line_status(spark, hits, name, want):
     got = [tuple(r) for r in E.queries()[name](spark, hits).collect()]
     assert len(got) == len(want) and set(got) == want
