@@ -4,10 +4,12 @@ import contextlib
 import io
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from convlens.contracts import MODEL_INPUT_COLUMNS
+from convlens.contracts import MODEL_INPUT_COLUMNS, NUMERIC_FEATURES
 from convlens.functions import columns as C
+from convlens.operators import association as A
 from convlens.operators import features as FE
 from convlens.operators.ordered import sequence_within_group
 from convlens.session import cut_lineage
@@ -53,3 +55,19 @@ def test_sequence_shuffles_rows_once_and_cuts_hot_slices(spark):
     plan = sequence_within_group(df, ["g"], "day", ["k"], "seq")._jdf.queryExecution().executedPlan().toString()
     exchanged = re.findall(r"Exchange hashpartitioning\((.*?), \d+\).*\n.*?Project \[(.*?)\]|", plan)
     assert "_sub" not in "".join(a for a, _ in exchanged)  # rows are not dealt again by their sub-slice
+
+
+def test_pearson_equals_numpy_over_pairs(spark):
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(1e6, 1, 300), rng.normal(0, 1, 300)
+    rows = [(None if i % 7 == 0 else float(a[i]), float(a[i] + b[i]), None if i % 3 else 4.0, float(i) if i % 3 else None, float("nan") if i == 5 else 1.0 * i)
+            for i in range(300)]
+    cols = list("abcde")
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(5)
+    got = {(r.feature_a, r.feature_b): r.r for r in A.pearson_long(df, cols).collect()}
+    keep = [r for r in rows if r[0] is not None]
+    assert abs(got["a", "b"] - np.corrcoef([r[0] for r in keep], [r[1] for r in keep])[0, 1]) < 1e-6
+    assert got["a", "c"] is None and got["c", "d"] is None and np.isnan(got["b", "e"]) and len(got) == 10
+    assert got["d", "e"] is not None and np.isnan(got["d", "e"]) and got["c", "e"] is None
+    plan = A.pearson_long(df, list(cols))._jdf.queryExecution().executedPlan().toString()
+    assert "covar" not in plan and len(NUMERIC_FEATURES) == 16
