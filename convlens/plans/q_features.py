@@ -13,6 +13,7 @@ from convlens.operators import splits as SP
 from convlens.plans import frames
 from convlens.plans.oracle import CFG, FEATURE_BASE, SPLIT_BASE, grouped_top, hash_unit_sql, rank_sql, with_
 from convlens.plans.registry import register
+from convlens.session import cut_lineage
 
 WF = with_(*FEATURE_BASE)
 WS = with_(*SPLIT_BASE)
@@ -28,8 +29,11 @@ def split_features(spark, sf):
     return SP.split_hash(features(spark, sf), "session_id", CFG.test_size, CFG.seed)
 
 
-def train_test(spark, sf):
+def train_test(spark, sf, *columns):
+    """Train and test part; with ``columns``, of these only, cut from the cleaning lineage: for what reads them more than once."""
     s = split_features(spark, sf)
+    if columns:
+        s = cut_lineage(s.select("session_id", *columns, "split"))
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
@@ -71,7 +75,7 @@ SELECT session_id, target, 'test' AS split FROM a WHERE r <= floor(n * {CFG.test
 UNION ALL SELECT session_id, target, CASE WHEN r <= floor(n * {CFG.val_size} + 0.5) THEN 'val' ELSE 'fit' END FROM b""")
 def split_stratified(spark, sf):
     """test / val / fit with exact counts per class."""
-    d = frames.dataset(spark, sf).select("session_id", "target")
+    d = cut_lineage(frames.dataset(spark, sf).select("session_id", "target"))  # read by several passes
     return SP.split_stratified(d, "session_id", "target", CFG.test_size, CFG.val_size, CFG.seed)
 
 
@@ -79,7 +83,8 @@ def split_stratified(spark, sf):
 , a AS ({rank_sql('dataset', 'cv')})
 SELECT session_id, target, CAST(r > floor(n * (1 / 3) + 0.5) AS INTEGER) + CAST(r > floor(n * (2 / 3) + 0.5) AS INTEGER) AS fold FROM a""")
 def stratified_folds(spark, sf):
-    return SP.stratified_folds(frames.dataset(spark, sf).select("session_id", "target"), folds=3, seed=CFG.seed)
+    d = cut_lineage(frames.dataset(spark, sf).select("session_id", "target"))  # read by several passes
+    return SP.stratified_folds(d, folds=3, seed=CFG.seed)
 
 
 @register("split_summary", WS + """
@@ -127,7 +132,7 @@ def rare_topn_fit(spark, sf):
 
 
 def grouper(spark, sf):
-    train, test = train_test(spark, sf)
+    train, test = train_test(spark, sf, *CATS)
     model = FE.RareCategoryGrouper(topNJson=json.dumps(TOPN)).fit(train)
     return model, train, test
 
@@ -146,7 +151,7 @@ _IMP = list(NUMERIC_FEATURES)
 , m AS (SELECT """ + ", ".join(f"median({c}) AS m_{c}" for c in _IMP) + """ FROM train)
 SELECT session_id, """ + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in _IMP) + " FROM test, m")
 def impute_median(spark, sf):
-    train, test = train_test(spark, sf)
+    train, test = train_test(spark, sf, *_IMP)
     return FE.MedianImputer(inputCols=_IMP).fit(train).transform(test).select("session_id", *_IMP)
 
 
@@ -186,7 +191,7 @@ _TE = list(CATS)
     f"round(coalesce(st_{c}.e, (SELECT p FROM prior)), 6) AS {c}_te" for c in _TE) + " FROM test t " + " ".join(
     f"LEFT JOIN st_{c} ON t.{c} = st_{c}.v" for c in _TE))
 def target_encode(spark, sf):
-    train, test = train_test(spark, sf)
+    train, test = train_test(spark, sf, "target", *_TE)
     out = FE.target_encode(train, test, _TE, smoothing=1.0)
     return out.select("session_id", *[C.round6(f"{c}_te").alias(f"{c}_te") for c in _TE])
 
@@ -205,7 +210,7 @@ ot_{c} AS (SELECT v, fold, sum(cnt) OVER (PARTITION BY v) - cnt AS oc, sum(pos)
     for c in _TE) + " FROM tf t JOIN fp ON t.fold = fp.fold " + " ".join(
     f"LEFT JOIN ot_{c} ON t.{c} IS NOT DISTINCT FROM ot_{c}.v AND t.fold = ot_{c}.fold" for c in _TE))
 def target_encode_oof(spark, sf):
-    train, _ = train_test(spark, sf)
+    train, _ = train_test(spark, sf, "target", *_TE)
     out = FE.target_encode_oof(train, _TE, seed=CFG.seed, folds=5, smoothing=1.0)
     return out.select("session_id", *[C.round6(f"{c}_te").alias(f"{c}_te") for c in _TE])
 
