@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
+from convlens.plans import frames
 from convlens.plans.oracle import CFG, HITS, TARGET_SET, with_
 from convlens.plans.registry import register
 from convlens.session import scratch_path
@@ -16,15 +15,14 @@ SELECT DISTINCT session_id FROM hits WHERE event_action IN ({TARGET_SET}) AND se
 def stream_label(spark, sf):
     """Line items replayed as a hit stream -> converted session ids, each given out once; equals the
     batch label (C1) once the stream has caught up."""
-    path = f"{sf.rstrip('/')}/lineitem.parquet"
-    schema = spark.read.parquet(path).schema
     base = scratch_path(spark, "stream-label")
-    # the table replayed as eight shuffled files, in micro-batches of two: ids recur over batches, old hits come late
-    spark.read.parquet(path).repartition(8).write.parquet(base + "/in")
-    src = SL.hits_stream(spark, base + "/in", schema, max_files=2)
-    hits = src.select(F.col("l_orderkey").cast("string").alias("session_id"),
-                      F.col("l_returnflag").alias("event_action"))
-    SL.run_to_table(SL.converted_once(hits, CFG), base + "/out", base + "/ckpt")
+    hits = frames.hits(spark, sf)
+    # the hits replayed as shuffled files in four micro-batches: ids recur over batches, old hits come late; files enough that all cores
+    # write and read them
+    quarter = max(2, spark.sparkContext.defaultParallelism)
+    hits.repartition(4 * quarter).write.parquet(base + "/in")
+    src = SL.hits_stream(spark, base + "/in", hits.schema, max_files=quarter)
+    SL.run_to_table(SL.converted_once(src, CFG), base + "/out", base + "/ckpt")
     return SL.read_converted(spark, base + "/out")
 
 

@@ -40,12 +40,14 @@ def converted_once(hits: DataFrame, cfg: ConversionConfig = DEFAULT_CONFIG, key:
     """Streaming DataFrame that gives out every converted session id once. ``retention``: for how many milliseconds after
     its last conversion an id is remembered; None: for ever. Age is counted from the arrival of a batch, not from a hit's own
     time, so no hit is late."""
-    schema = f"`{key}` string, arrival timestamp"
-
     def apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:  # a hot session leaves a task a few times, not with all its hits
             yield batch.drop_duplicates()
 
+    ids = converted_sessions_stream(hits, cfg, key, action).select(F.col(key).cast("string").alias(key))
+    if retention is None:  # nothing times out: Spark's own state, no Python call per id
+        return ids.mapInPandas(apart, f"`{key}` string").dropDuplicates([key])
+
     def once(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
@@ -55,16 +57,10 @@ def converted_once(hits: DataFrame, cfg: ConversionConfig = DEFAULT_CONFIG, key:
         if not state.exists:
             yield pd.DataFrame({key: [k[0]]})
         state.update((True,))
-        if retention is not None:
-            state.setTimeoutTimestamp(max(state.getCurrentProcessingTimeMs(), state.getCurrentWatermarkMs()) + retention)
-
-    ids = converted_sessions_stream(hits, cfg, key, action).select(F.col(key).cast("string").alias(key), F.current_timestamp().alias("arrival"))
-    ids = ids.mapInPandas(apart, schema)
-    if retention is None:
-        timeout = GroupStateTimeout.NoTimeout
-    else:
-        ids, timeout = ids.withWatermark("arrival", "0 seconds"), GroupStateTimeout.EventTimeTimeout
-    return ids.groupBy(key).applyInPandasWithState(once, f"`{key}` string", "given boolean", "append", timeout)
+        state.setTimeoutTimestamp(max(state.getCurrentProcessingTimeMs(), state.getCurrentWatermarkMs()) + retention)
+
+    ids = ids.select(key, F.current_timestamp().alias("arrival")).mapInPandas(apart, f"`{key}` string, arrival timestamp").withWatermark("arrival", "0 seconds")
+    return ids.groupBy(key).applyInPandasWithState(once, f"`{key}` string", "given boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def run_to_table(stream_df: DataFrame, out_path: str, checkpoint: str, query_name: str | None = None) -> None:
