@@ -1,7 +1,7 @@
 """What is fitted on what: own rows, judged by the fits that run."""
 
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from convlens.contracts import CATEGORICAL_FEATURES, MODEL_INPUT_COLUMNS, NUMERIC_FEATURES
@@ -20,6 +20,16 @@ def visits(spark):
                            "device_screen_resolution": F.when(k % 3 > 0, "360x640").otherwise("400x800")}).coalesce(2)
 
 
+def test_forest_keeps_the_rows_nodes_and_its_trees(visits, monkeypatch):
+    seen, fit = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: seen.append((self.copy(), df)) or fit(self, df))
+    forest = M.fit_forest(visits, frames.CFG, num_trees=4, max_depth=5, min_leaf=5).stages[-1]
+    (learner, rows), = seen
+    assert learner.getCacheNodeIds()
+    plain = fit(learner.setCacheNodeIds(False), rows)
+    assert forest.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:] and forest.totalNumNodes > 12
+
+
 def test_encoder_is_fitted_once_and_without_a_learner(spark, visits, monkeypatch):
     monkeypatch.setattr(Q, "parts", lambda spark, sf: (visits.where("session_id < 300"), None, visits.where("session_id >= 300"), None))
     encoders, fitted = [], M.fit_encoder
