@@ -5,6 +5,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from convlens.contracts import CATEGORICAL_FEATURES, MODEL_INPUT_COLUMNS, NUMERIC_FEATURES
+from convlens.operators import features as FE
 from convlens.operators import modeling as M
 from convlens.plans import frames
 from convlens.plans import q_models as Q
@@ -30,6 +31,15 @@ def test_forest_keeps_the_rows_nodes_and_its_trees(visits, monkeypatch):
     assert forest.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:] and forest.totalNumNodes > 12
 
 
+def test_medians_of_boosting_are_learned_before_the_joins(visits, monkeypatch):
+    plans, fit = [], FE.MedianImputer._fit
+    monkeypatch.setattr(FE.MedianImputer, "_fit", lambda self, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or fit(self, df))
+    data, _ = M._boosting_frame(visits, frames.CFG, 1.0)
+    assert len(plans) == 1 and "Join" not in plans[0]
+    got = {(r.target, r.weight, r.n) for r in data.groupBy("target", "weight").agg(F.count("*").alias("n")).collect()}
+    assert got == {(1, 400 / (2 * 134), 134), (0, 400 / (2 * 266), 266)}
+
+
 def test_encoder_is_fitted_once_and_without_a_learner(spark, visits, monkeypatch):
     monkeypatch.setattr(Q, "parts", lambda spark, sf: (visits.where("session_id < 300"), None, visits.where("session_id >= 300"), None))
     encoders, fitted = [], M.fit_encoder
