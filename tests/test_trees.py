@@ -57,6 +57,32 @@ def test_rounds_are_those_of_shorter_ensembles(spark, planted):
     assert 1 < best < 40 and max(aucs[:best + 10]) == aucs[best - 1]  # the signal is learned, the noise is not followed
 
 
+def test_boosting_stops_where_the_whole_ensemble_would(spark, planted):
+    _, fit, val, whole = planted
+    asked = []
+
+    def boost(n):
+        asked.append(n)
+        return GBTClassifier(labelCol="target", maxIter=n, maxDepth=3, stepSize=0.3, seed=1).fit(fit)
+
+    aucs = trees.staged_auc(whole, val)
+    assert trees.staged_auc(whole, val, first=30) == pytest.approx(aucs[30:], abs=1e-12)
+    for patience in (3, 12):
+        asked.clear()
+        gbt, best = M.boost_until(boost, val, 40, patience)
+        assert best == M.best_round(aucs, patience) and asked[-1] <= (16 if patience == 3 else 40)
+        assert np.allclose(trees.node_tables(trees.truncated(gbt, best, spark), spark, 3)[0],
+                           trees.node_tables(trees.truncated(whole, best, spark), spark, 3)[0])
+
+
+def test_boosting_may_grow_to_the_surveyed_number_of_trees():
+    import inspect
+
+    from convlens.plans import q_models
+
+    assert q_models.MAX_TREES == inspect.signature(M.fit_boosted).parameters["max_iter"].default == 1500
+
+
 def test_best_round_looks_no_further_than_its_patience():
     assert M.best_round([0.5, 0.6, 0.6, 0.59, 0.7], 2) == 2
     assert M.best_round([0.5, 0.6, 0.6, 0.59, 0.7], 3) == 5
