@@ -142,6 +142,32 @@ def test_permutation_importance(spark, planted):
     assert abs(got["b"].importance - sum(drops) / 3) < 1e-6
 
 
+def test_importance_from_vectors_equals_whole_models(spark, planted, monkeypatch):
+    from convlens.operators import features as FE
+
+    asm, _, val, gbt = planted
+    model, data = PipelineModel(stages=[asm, gbt]), val.drop("features")
+    assert M.slots_by_column(model, data, ["c", "a", "b"]) == ({"c": [2], "a": [0], "b": [1]}, 3)
+    skipping = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features", handleInvalid="skip")
+    assert M.slots_by_column(PipelineModel(stages=[skipping, gbt]), data, ["a"]) is None
+    assert all(len(v) == 1 for v in FE.columns_by_feature().values())
+    # a column that nothing is made of moves nothing
+    got = {tuple(r) for r in M.permutation_importance(model, data, ["a", "b", "c", "session_id"], repeats=2, seed=9).collect()}
+    assert ("session_id", 0.0, 0.0) in got
+    monkeypatch.setattr(M, "slots_by_column", lambda *_: None)
+    assert got == {tuple(r) for r in M.permutation_importance(model, data, ["a", "b", "c"], repeats=2, seed=9).collect()} | {("session_id", 0.0, 0.0)}
+
+
+def test_parts_are_even(spark):
+    from convlens.session import even, part_count
+
+    cores = spark.sparkContext.defaultParallelism
+    assert [part_count(spark, n) for n in (0, 25_000, 25_001)] == [1, 1, 2 if cores > 1 else 1]
+    assert part_count(spark, 25_000 * cores + 1) == cores and part_count(spark, 1_000_000 * cores + 1) == 2 * cores
+    sizes = [len(p) for p in even(spark.range(60_000).coalesce(1), "id").rdd.glom().collect()]
+    assert sum(sizes) == 60_000 and max(sizes) < 1.1 * 60_000 / len(sizes)
+
+
 @pytest.mark.parametrize("few", [1, 5, 100_000])
 def test_least_hashes(spark, few):
     import hashlib
